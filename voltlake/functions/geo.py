@@ -206,10 +206,55 @@ def _part_interior(part: Column) -> Column:
     )
 
 
+def _line_vertex(geometry: Column) -> Column:
+    """The inner vertex of a line next to its centroid; of a line without inner vertices, the
+    end next to it."""
+
+    def weighted(s: Column) -> Column:
+        length = F.sqrt(_square(s["bx"] - s["ax"]) + _square(s["by"] - s["ay"]))
+        return F.struct(
+            length.alias("length"),
+            (length * (s["ax"] + s["bx"]) / 2).alias("x"),
+            (length * (s["ay"] + s["by"]) / 2).alias("y"),
+        )
+
+    def total(parts: Column, name: str) -> Column:
+        return F.aggregate(parts, F.lit(0.0), lambda acc, s: acc + s[name])
+
+    def nearest(points: Column, centre: Column) -> Column:
+        ranked = F.transform(
+            points,
+            lambda p: F.struct(
+                (_square(p["x"] - centre["x"]) + _square(p["y"] - centre["y"])).alias("d"),
+                p["x"].alias("x"), p["y"].alias("y"),
+            ),
+        )
+        return F.array_min(ranked)
+
+    def centre(parts: Column) -> Column:
+        length = F.nullif(total(parts, "length"), F.lit(0.0))
+        return xy(total(parts, "x") / length, total(parts, "y") / length)
+
+    parts = F.transform(segments(geometry), weighted)
+    inner = F.flatten(
+        F.transform(
+            F.flatten(geometry), lambda r: F.slice(r, F.lit(2), F.greatest(F.size(r) - 2, F.lit(0)))
+        )
+    )
+    candidates = F.when(F.size(inner) > 0, inner).otherwise(vertices(geometry))
+    found = let(parts, lambda p: let(centre(p), lambda c: nearest(candidates, c)))
+    return F.struct(found["x"].alias("x"), found["y"].alias("y"))
+
+
 def representative_point(geometry: Column, kind: Column) -> Column:
-    """A point on the geometry: the point itself, or the middle of an area's widest inner span."""
+    """A point on the geometry: the point itself, a vertex of a line, or the middle of an area's
+    widest inner span."""
     inner = F.array_max(F.transform(geometry, _part_interior))
     first = vertices(geometry)[0]
-    return F.when(kind == "point", first).otherwise(
-        F.coalesce(F.struct((-inner["west"]).alias("x"), inner["y"].alias("y")), first)
+    return (
+        F.when(kind == "point", first)
+        .when(kind.isin("linestring", "multilinestring"), _line_vertex(geometry))
+        .otherwise(
+            F.coalesce(F.struct((-inner["west"]).alias("x"), inner["y"].alias("y")), first)
+        )
     )

@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A key is hot if it holds more than this share of its side, so a side has fewer than
 # 1 / HOT_SHARE hot keys. That bound, not the data, limits what is fetched and broadcast.
@@ -63,7 +64,9 @@ def skew_join(
     for side, hot_side in enumerate((hot_left, hot_right)):
         for *key, n in hot_side:
             pieces.setdefault(tuple(key), [1, 1])[side] = n
-    schema = left.select(*keys).schema.add("n_left", "int").add("n_right", "int")
+    schema = left.select(*keys).schema
+    for salts in ("n_left", "n_right"):
+        schema = schema.add(salts, T.IntegerType())
     hot = F.broadcast(  # fewer than 2 / share rows
         left.sparkSession.createDataFrame([(*k, *n) for k, n in pieces.items()], schema)
     )

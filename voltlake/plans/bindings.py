@@ -6,7 +6,7 @@ stations, orders for connectors, events for status rows and parts for POIs.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from voltlake.plans.warehouse import (
     LazyTables,
     Tables,
     build_tables,
+    load_warehouse,
 )
 from voltlake.runtime import scratch_path, use_utc
 from voltlake.sources.snapshots import scan_snapshots
@@ -38,14 +39,19 @@ STATUS_OF_EVENT = {
 
 
 class Inputs:
-    """The given tables and the domain tables derived from them."""
+    """The given tables and the domain tables derived from them. Plans made once are kept;
+    no data is."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = use_utc(spark)
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
+        self._folders: dict[bool, str] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     # ---- small pieces ----------------------------------------------------------------
 
@@ -151,6 +157,7 @@ class Inputs:
 
     # ---- POIs ------------------------------------------------------------------------
 
+    @cached_property
     def poi_features(self) -> DataFrame:
         """OSM-like features in degrees around the stations' positions."""
         p = F.col("p_partkey")
@@ -197,9 +204,10 @@ class Inputs:
             .otherwise(F.array(F.array(outer), F.array(second)))
         )
 
+    @cached_property
     def planar_pois(self) -> DataFrame:
         """id_poi, poi_cat, geom_type and geometry in metres, plus the position in degrees."""
-        return prepare_pois(self.poi_features())
+        return prepare_pois(self.poi_features)
 
     # ---- raw snapshots ---------------------------------------------------------------
 
@@ -316,8 +324,12 @@ class Inputs:
 
     def snapshot_folder(self, split_listing: bool = False) -> str:
         """Folder with one file per snapshot, written once per session."""
-        app = self.spark.sparkContext.applicationId
-        return _write_snapshots(app, self.sf_dir, split_listing)
+        if split_listing not in self._folders:
+            listing = F.col("event_id") % 2 if split_listing else None
+            path = scratch_path(self.spark, "snapshots")
+            self.snapshot_documents(listing).write.partitionBy("snapshot").text(path)
+            self._folders[split_listing] = path
+        return self._folders[split_listing]
 
     def documents(self, split_listing: bool = False) -> DataFrame:
         """The snapshot files, scanned."""
@@ -327,7 +339,7 @@ class Inputs:
 
     def warehouse_sources(self) -> LazyTables:
         def pois() -> DataFrame:
-            return self.planar_pois().where(F.col("poi_cat").isNotNull())
+            return self.planar_pois.where(F.col("poi_cat").isNotNull())
 
         def mapping() -> DataFrame:
             stations = self.raw_charging_stations().withColumnRenamed("id", "id_cs")
@@ -345,19 +357,25 @@ class Inputs:
             }
         )
 
+    @cached_property
+    def warehouse(self) -> str:
+        """Database holding the loaded star schema."""
+        location = scratch_path(self.spark, "warehouse")
+        database = "voltlake_" + location.rsplit("-", 1)[1]
+        load_warehouse(
+            self.spark, database, self.warehouse_sources(), STAGING_SPECS + MAIN_SPECS, location
+        )
+        return database
+
+    @cached_property
     def star_schema(self) -> Tables:
         """All staging and main tables as lazy plans."""
         return build_tables(self.warehouse_sources(), STAGING_SPECS + MAIN_SPECS)
 
 
-@lru_cache(maxsize=None)
-def _write_snapshots(app: str, sf_dir: str, split_listing: bool) -> str:
-    spark = SparkSession.getActiveSession()
-    inputs = Inputs(spark, sf_dir)
-    listing = F.col("event_id") % 2 if split_listing else None
-    path = scratch_path(spark, "snapshots")
-    inputs.snapshot_documents(listing).write.partitionBy("snapshot").text(path)
-    return path
+@cache
+def inputs_of(spark: SparkSession, sf_dir: str) -> Inputs:
+    return Inputs(spark, sf_dir)
 
 
 def json_text(text: Column) -> Column:

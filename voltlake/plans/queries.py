@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +14,7 @@ from voltlake.operators import poi as pois
 from voltlake.operators import status as status_ops
 from voltlake.operators.spatial import match_pois
 from voltlake.plans import warehouse
-from voltlake.plans.bindings import SNAPSHOT_PATTERN, Inputs, city_code
+from voltlake.plans.bindings import SNAPSHOT_PATTERN, Inputs, city_code, inputs_of
 from voltlake.runtime import scratch_path
 from voltlake.schemas import MAIN, PRIMARY_KEYS, REFERENCES, STAGING
 from voltlake.sinks.files import archive_snapshots, read_archive, write_table
@@ -30,7 +29,7 @@ QUERIES: dict[str, Query] = {}
 
 def query(function: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
     """Registers a function of the inputs under its own name."""
-    QUERIES[function.__name__] = lambda spark, sf_dir: function(Inputs(spark, sf_dir))
+    QUERIES[function.__name__] = lambda spark, sf_dir: function(inputs_of(spark, sf_dir))
     return function
 
 
@@ -262,22 +261,22 @@ def staging_cast(i: Inputs) -> DataFrame:
 
 @query
 def poi_tag_filter(i: Inputs) -> DataFrame:
-    return pois.tag_filter(i.poi_features()).select("osmid", "amenity", "shop")
+    return pois.tag_filter(i.poi_features).select("osmid", "amenity", "shop")
 
 
 @query
 def poi_id(i: Inputs) -> DataFrame:
-    return pois.with_poi_id(i.poi_features()).select("id_poi", "osmid")
+    return pois.with_poi_id(i.poi_features).select("id_poi", "osmid")
 
 
 @query
 def poi_category(i: Inputs) -> DataFrame:
-    return pois.with_category(pois.with_poi_id(i.poi_features())).select("id_poi", "poi_cat")
+    return pois.with_category(pois.with_poi_id(i.poi_features)).select("id_poi", "poi_cat")
 
 
 @query
 def poi_point(i: Inputs) -> DataFrame:
-    return pois.with_position(i.poi_features()).select(
+    return pois.with_position(i.poi_features).select(
         "osmid", F.round("longitude", 9).alias("longitude"),
         F.round("latitude", 9).alias("latitude"),
     )
@@ -285,7 +284,7 @@ def poi_point(i: Inputs) -> DataFrame:
 
 @query
 def project_utm32(i: Inputs) -> DataFrame:
-    planar = i.poi_features().select("osmid", to_utm32(F.col("lon"), F.col("lat")).alias("p"))
+    planar = i.poi_features.select("osmid", to_utm32(F.col("lon"), F.col("lat")).alias("p"))
     return planar.select("osmid", F.round("p.x", 3).alias("x"), F.round("p.y", 3).alias("y"))
 
 
@@ -309,7 +308,7 @@ def _city_features(i: Inputs) -> DataFrame:
     p = F.col("osmid")
     home, other = city_code(p % 25), city_code(p % 25 + 1)
     cities = F.when(p % 10 == 0, F.array(home, other)).otherwise(F.array(home))
-    return pois.with_poi_id(i.poi_features()).select(
+    return pois.with_poi_id(i.poi_features).select(
         "id_poi", "geom_type", F.explode(cities).alias("city_code")
     ).withColumn("city", poi_city_name(F.col("city_code"))).drop("city_code")
 
@@ -331,13 +330,13 @@ def city_lookup(i: Inputs) -> DataFrame:
 
 @query
 def buffer_distance(i: Inputs) -> DataFrame:
-    named = pois.with_category(pois.with_poi_id(i.poi_features()))
+    named = pois.with_category(pois.with_poi_id(i.poi_features))
     return named.select("id_poi", "poi_cat", buffer_metres(F.col("poi_cat")).alias("radius"))
 
 
 def _write_pois(i: Inputs) -> str:
     path = scratch_path(i.spark, "poi")
-    prepared = pois.prepare_pois(i.poi_features(), columns=pois.POI_COLUMNS)
+    prepared = pois.prepare_pois(i.poi_features, columns=pois.POI_COLUMNS)
     pois.write_by_geometry_kind(prepared, path)
     return path
 
@@ -348,7 +347,7 @@ def _stations(i: Inputs) -> DataFrame:
 
 @query
 def poi_station_match(i: Inputs) -> DataFrame:
-    return match_pois(i.planar_pois(), _stations(i))
+    return match_pois(i.planar_pois, _stations(i))
 
 
 @query
@@ -365,7 +364,7 @@ def poi_station_pipeline(i: Inputs) -> DataFrame:
 
 
 def _table_query(table: str) -> Callable[[Inputs], DataFrame]:
-    return lambda i: with_ntz(i.star_schema()[table])
+    return lambda i: with_ntz(i.star_schema[table])
 
 
 for _name, _table in {
@@ -384,7 +383,7 @@ for _name, _table in {
 
 @query
 def dim_poi(i: Inputs) -> DataFrame:
-    return i.star_schema()["poi"].select(
+    return i.star_schema["poi"].select(
         "id_poi", "poi_category", F.round("longitude", 9).alias("longitude"),
         F.round("latitude", 9).alias("latitude"),
         F.size(vertices(F.col("geom"))).alias("n_vertices"),
@@ -397,25 +396,11 @@ def _row_count(df: DataFrame, table: str) -> DataFrame:
 
 @query
 def star_schema_rowcounts(i: Inputs) -> DataFrame:
-    return quality.union_all([_row_count(df, name) for name, df in i.star_schema().items()])
-
-
-@lru_cache(maxsize=None)
-def _loaded_warehouse(app: str, sf_dir: str) -> str:
-    """Loads the warehouse once per session and data set; returns the database."""
-    spark = SparkSession.getActiveSession()
-    location = scratch_path(spark, "warehouse")
-    database = "voltlake_" + location.rsplit("-", 1)[1]
-    warehouse.load_warehouse(
-        spark, database, Inputs(spark, sf_dir).warehouse_sources(),
-        warehouse.STAGING_SPECS + warehouse.MAIN_SPECS, location,
-    )
-    return database
+    return quality.union_all([_row_count(df, name) for name, df in i.star_schema.items()])
 
 
 def _published(i: Inputs, table: str) -> DataFrame:
-    database = _loaded_warehouse(i.spark.sparkContext.applicationId, i.sf_dir)
-    return i.spark.table(f"{database}.{table}")
+    return i.spark.table(f"{i.warehouse}.{table}")
 
 
 @query
@@ -430,7 +415,7 @@ def dim_scan(i: Inputs) -> DataFrame:
 
 @query
 def parameterised_sql(i: Inputs) -> DataFrame:
-    i.star_schema()["charging_station"].createOrReplaceTempView("voltlake_station")
+    i.star_schema["charging_station"].createOrReplaceTempView("voltlake_station")
     return warehouse.run_sql(
         i.spark,
         "select city, count(*) as n_stations from IDENTIFIER(:table) "
@@ -446,13 +431,13 @@ def parameterised_sql(i: Inputs) -> DataFrame:
 @query
 def dq_row_count(i: Inputs) -> DataFrame:
     return quality.union_all(
-        [quality.evaluate(df, [quality.not_empty(t)]) for t, df in i.star_schema().items()]
+        [quality.evaluate(df, [quality.not_empty(t)]) for t, df in i.star_schema.items()]
     )
 
 
 @query
 def dq_length(i: Inputs) -> DataFrame:
-    tables = i.star_schema()
+    tables = i.star_schema
     trimmed = quality.has_length("postal_code_length", "postal_code", 5)
     raw = quality.has_length("raw_postal_code_length", "postal_code", 5)
     return quality.evaluate(tables["charging_station"], [trimmed]).unionByName(
@@ -464,7 +449,7 @@ def dq_length(i: Inputs) -> DataFrame:
 def dq_range(i: Inputs) -> DataFrame:
     rule = quality.in_open_range("power_limits_connectors", "max_power", 2, 400)
     ampere = quality.in_open_range("ampere_limits_connectors", "ampere", 2, 400)
-    return quality.evaluate(i.star_schema()["connector"], [rule, ampere])
+    return quality.evaluate(i.star_schema["connector"], [rule, ampere])
 
 
 @query
@@ -477,7 +462,7 @@ def dq_quantifier(i: Inputs) -> DataFrame:
         quality.QualityRule("all_sensors", sensor),
         quality.QualityRule("any_null", "cast(null as boolean)", "any"),
     ]
-    return quality.evaluate(i.star_schema()["status_chargingpoints"], rules)
+    return quality.evaluate(i.star_schema["status_chargingpoints"], rules)
 
 
 @query
@@ -486,7 +471,7 @@ def dq_not_null(i: Inputs) -> DataFrame:
     return quality.union_all(
         [
             quality.count_nulls(df, schemas[name], name)
-            for name, df in i.star_schema().items()
+            for name, df in i.star_schema.items()
             if any(not f.nullable for f in schemas[name])
         ]
     )
@@ -494,7 +479,7 @@ def dq_not_null(i: Inputs) -> DataFrame:
 
 @query
 def dq_unique_key(i: Inputs) -> DataFrame:
-    tables = i.star_schema()
+    tables = i.star_schema
     return quality.union_all(
         [quality.key_uniqueness(tables[t], keys, t) for t, keys in PRIMARY_KEYS.items()]
     )
@@ -502,7 +487,7 @@ def dq_unique_key(i: Inputs) -> DataFrame:
 
 @query
 def dq_orphans(i: Inputs) -> DataFrame:
-    tables = i.star_schema()
+    tables = i.star_schema
     return quality.union_all(
         [
             quality.orphans(
@@ -516,7 +501,7 @@ def dq_orphans(i: Inputs) -> DataFrame:
 
 @query
 def dq_one_to_one(i: Inputs) -> DataFrame:
-    features = pois.with_poi_id(i.poi_features())
+    features = pois.with_poi_id(i.poi_features)
     return quality.key_uniqueness(features, ["id_poi"], "features").unionByName(
         quality.key_uniqueness(_city_features(i), ["id_poi"], "features of all cities")
     )
@@ -527,17 +512,17 @@ def dq_one_to_one(i: Inputs) -> DataFrame:
 
 @query
 def status_series_cp(i: Inputs) -> DataFrame:
-    return with_ntz(utilization.point_series(i.star_schema()["status_chargingpoints"]))
+    return with_ntz(utilization.point_series(i.star_schema["status_chargingpoints"]))
 
 
 @query
 def status_series_connector(i: Inputs) -> DataFrame:
-    return with_ntz(utilization.connector_series(i.star_schema()["status_connectors"]))
+    return with_ntz(utilization.connector_series(i.star_schema["status_connectors"]))
 
 
 @query
 def status_numeric(i: Inputs) -> DataFrame:
-    facts = i.star_schema()["status_chargingpoints"]
+    facts = i.star_schema["status_chargingpoints"]
     number = status_number(F.col("status_cp"))
     return facts.groupBy("status_cp", number.alias("status_num")).agg(
         F.count(F.lit(1)).alias("n")
@@ -546,26 +531,26 @@ def status_numeric(i: Inputs) -> DataFrame:
 
 @query
 def status_share(i: Inputs) -> DataFrame:
-    facts = i.star_schema()["status_chargingpoints"]
+    facts = i.star_schema["status_chargingpoints"]
     shares = utilization.status_share(facts, "id_chargingpoint", "status_cp")
     return utilization.most_frequent_first(shares, "id_chargingpoint")
 
 
 @query
 def status_share_connector(i: Inputs) -> DataFrame:
-    facts = i.star_schema()["status_connectors"]
+    facts = i.star_schema["status_connectors"]
     return utilization.status_share(facts, "id_connector", "status_connector")
 
 
 @query
 def points_of_station(i: Inputs) -> DataFrame:
-    t = i.star_schema()
+    t = i.star_schema
     return utilization.points_of_station(t["charging_point"], t["charging_station"])
 
 
 @query
 def drilldown(i: Inputs) -> DataFrame:
-    t = i.star_schema()
+    t = i.star_schema
     return with_ntz(
         utilization.drilldown(
             t["charging_station"], t["charging_point"], t["connector"], t["status_connectors"]
@@ -575,9 +560,9 @@ def drilldown(i: Inputs) -> DataFrame:
 
 @query
 def station_header(i: Inputs) -> DataFrame:
-    return utilization.station_header(i.star_schema()["charging_station"])
+    return utilization.station_header(i.star_schema["charging_station"])
 
 
 @query
 def station_positions(i: Inputs) -> DataFrame:
-    return utilization.station_positions(i.star_schema()["charging_station"])
+    return utilization.station_positions(i.star_schema["charging_station"])

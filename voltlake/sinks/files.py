@@ -26,8 +26,8 @@ def write_table(df: DataFrame, path: str, output_format: str = "csv", sep: str =
 def archive_snapshots(documents: DataFrame, folder: str) -> str:
     """Raw snapshots into one compacted table, partitioned by day; returns its path.
 
-    The table is named after the newest snapshot. Rows are ranged by day and name, so a day
-    holding most snapshots is spread over many files.
+    The table is named after the newest snapshot. Rows are gathered by day in one shuffle; the
+    rebalance hint splits a day that holds most of them and merges small ones.
     """
     newest = documents.agg(F.max("path").alias("path")).select(
         F.regexp_extract(snapshot_name(F.col("path")), r"^(\d+_\d+)", 1).alias("t")
@@ -35,7 +35,7 @@ def archive_snapshots(documents: DataFrame, folder: str) -> str:
     path = f"{folder}/{ARCHIVE_PREFIX}{newest}"
     (
         documents.withColumn("snapshot_date", F.to_date(snapshot_time(F.col("path"))))
-        .repartitionByRange("snapshot_date", "path")
+        .hint("rebalance", "snapshot_date")
         .write.mode("overwrite")
         .option("compression", "zstd")
         .partitionBy("snapshot_date")

@@ -34,10 +34,13 @@ def _rings(part: Column) -> Column:
 def geojson_geometry(kind: Column, coordinates: Column) -> Column:
     """GeoJSON coordinates (as text) to the geometry column; other kinds give null."""
     pair = F.from_json(coordinates, "array<double>")
+    line = F.from_json(coordinates, "array<array<double>>")
     area = F.from_json(coordinates, "array<array<array<double>>>")
     areas = F.from_json(coordinates, "array<array<array<array<double>>>>")
     return (
         F.when(kind == "point", point_geometry(pair[0], pair[1]))
+        .when(kind == "linestring", F.array(_rings(F.array(line))))
+        .when(kind == "multilinestring", F.array(_rings(area)))
         .when(kind == "polygon", F.array(_rings(area)))
         .when(kind == "multipolygon", F.transform(areas, _rings))
     )
@@ -48,7 +51,7 @@ def read_geojson(
 ) -> DataFrame:
     """Columns ``properties`` plus ``geom_type`` and ``geometry``."""
     record = F.from_json(
-        "value", f"properties:{RECORD}, geometry:struct<type:string,coordinates:string>"
+        "value", f"struct<properties:{RECORD},geometry:struct<type:string,coordinates:string>>"
     )
     parsed = spark.read.text(path).select(record.alias("f"))
     kind = F.lower("f.geometry.type")

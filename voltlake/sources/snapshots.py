@@ -36,8 +36,9 @@ def scan_snapshots(
 ) -> DataFrame:
     """One row per file: path, content."""
     return (
-        spark.read.options(**_text_options(pattern))
-        .text(path)
+        spark.read.format("text")
+        .options(**_text_options(pattern))
+        .load(path)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
     )
 
