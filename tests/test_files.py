@@ -9,7 +9,6 @@ from voltlake.schemas import MAIN, STAGING, table
 from voltlake.sinks.files import archive_snapshots, read_archive, write_table
 from voltlake.sources.delimited import read_delimited
 from voltlake.sources.poi import read_geojson
-from voltlake.sources.snapshots import scan_snapshots
 from voltlake.streaming.intake import take_in
 
 
@@ -83,11 +82,14 @@ def test_archive(spark, tmp_path):
     raw.mkdir()
     snapshot(raw, "20211001_100000", "a", "b")
     snapshot(raw, "20211002_100000", "c")
-    path = archive_snapshots(scan_snapshots(spark, str(raw)), str(tmp_path))
+    path = archive_snapshots(spark, str(raw), str(tmp_path))
     assert path.endswith("/archive_cp_data_cities_20211002_100000")
     back = read_archive(spark, path)
     assert sorted(str(r["snapshot_date"]) for r in back.collect()) == ["2021-10-01", "2021-10-02"]
     assert status.cp_status(back).count() == 3
+    (raw / "zz.json").write_text("{}")
+    with pytest.raises(ValueError):
+        archive_snapshots(spark, str(raw), str(tmp_path))
 
 
 def test_intake_takes_new_files_only(spark, tmp_path):

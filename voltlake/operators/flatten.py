@@ -65,7 +65,7 @@ def _keep_last(df: DataFrame, array: str) -> DataFrame:
 
 
 def listed_points(documents: DataFrame) -> DataFrame:
-    """One row per file with the array of its points: struct<id, id_cs, timestamp, point>.
+    """One row per file: path and the array of its points, struct<id, id_cs, timestamp, point>.
 
     Children hang on the last listing of a repeated station; a parent without children
     leaves nothing behind.

@@ -6,6 +6,7 @@ stations, orders for connectors, events for status rows and parts for POIs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,7 @@ from voltlake.runtime import scratch_path, use_utc
 from voltlake.sources.snapshots import scan_snapshots
 
 EVENTS_PER_SNAPSHOT = 1000
+SNAPSHOTS_PER_FILE = 16
 SNAPSHOT_PATTERN = "*.txt"
 
 STATUS_OF_EVENT = {
@@ -46,7 +48,7 @@ class Inputs:
         self.spark = use_utc(spark)
         self.sf_dir = sf_dir
         self._tables: dict[str, DataFrame] = {}
-        self._folders: dict[bool, str] = {}
+        self._folders: dict[str, str] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -212,7 +214,7 @@ class Inputs:
     # ---- raw snapshots ---------------------------------------------------------------
 
     def snapshot_documents(self, listing: Column | None = None) -> DataFrame:
-        """Snapshot texts as the poll would have written them: snapshot, content.
+        """Snapshot texts as the poll would have written them: path, content.
 
         A snapshot covers a block of event ids. The id is a key, so a document holds a fixed
         number of events however the users or stations are skewed. ``listing`` splits a
@@ -292,7 +294,7 @@ class Inputs:
         return documents.select(
             F.concat(
                 F.date_format(polled, "yyyyMMdd_HHmmss"), F.lit("_cp_data_cities")
-            ).alias("snapshot"),
+            ).alias("path"),
             F.concat(
                 F.lit("{"), F.array_join(F.transform("cities", lambda c: c["json"]), ","),
                 F.lit("}"),
@@ -322,18 +324,36 @@ class Inputs:
         )
         return s.select(F.col("id").alias("id_cs"), "city", F.to_json(head).alias("head"))
 
-    def snapshot_folder(self, split_listing: bool = False) -> str:
-        """Folder with one file per snapshot, written once per session."""
-        if split_listing not in self._folders:
-            listing = F.col("event_id") % 2 if split_listing else None
-            path = scratch_path(self.spark, "snapshots")
-            self.snapshot_documents(listing).write.partitionBy("snapshot").text(path)
-            self._folders[split_listing] = path
-        return self._folders[split_listing]
+    def snapshot_folder(self) -> str:
+        """Folder with one file per snapshot, as the poll leaves them."""
+        return self._written("files", self._write_files)
 
-    def documents(self, split_listing: bool = False) -> DataFrame:
+    def _write_files(self, path: str) -> None:
+        documents = self.snapshot_documents().withColumnRenamed("path", "snapshot")
+        documents.write.partitionBy("snapshot").text(path)
+
+    def files(self) -> DataFrame:
         """The snapshot files, scanned."""
-        return scan_snapshots(self.spark, self.snapshot_folder(split_listing), SNAPSHOT_PATTERN)
+        return scan_snapshots(self.spark, self.snapshot_folder(), SNAPSHOT_PATTERN)
+
+    def documents(self, split_listing: bool = False) -> DataFrame:
+        """The same snapshots from a compacted table, many per file."""
+        listing = F.col("event_id") % 2 if split_listing else None
+
+        def write(path: str) -> None:
+            self.snapshot_documents(listing).write.option(
+                "maxRecordsPerFile", SNAPSHOTS_PER_FILE
+            ).parquet(path)
+
+        return self.spark.read.parquet(self._written(f"documents-{split_listing}", write))
+
+    def _written(self, name: str, write: Callable[[str], None]) -> str:
+        """Path of derived files, written once per session."""
+        if name not in self._folders:
+            path = scratch_path(self.spark, name)
+            write(path)
+            self._folders[name] = path
+        return self._folders[name]
 
     # ---- star schema -----------------------------------------------------------------
 

@@ -406,6 +406,12 @@ CP_STATUS = (
     'city_ts AS "timestamp" FROM evt'
 )
 CONNECTOR_STATUS = 'SELECT id, status, city_ts AS "timestamp" FROM conn'
+ALL_STATUS = (
+    with_(EVENTS, CONNECTORS_SEEN)
+    + "SELECT 'CP' || user_id AS id, status, sensor AS parkingsensor_status, "
+    "city_ts AS \"timestamp\", 'point' AS level FROM evt UNION ALL "
+    "SELECT id, status, NULL, city_ts, 'connector' FROM conn"
+)
 ALL_MATCHES = with_(matches()) + "SELECT id_poi, id_cs FROM matches"
 CATEGORY_MATCHES = with_(matches(HAS_CATEGORY)) + "SELECT id_poi, id_cs FROM matches"
 
@@ -424,11 +430,11 @@ ORACLE: dict[str, str] = {
     "WHERE snapshot = (SELECT max(snapshot) FROM ev))",
     "raw_archive": with_(EVENTS)
     + f"SELECT snapshot, CAST(CAST({POLLED} AS DATE) AS VARCHAR) AS snapshot_date, "
-    "count(*) AS n_points FROM ev GROUP BY ALL",
+    "CAST(count(DISTINCT city) AS INTEGER) AS n_cities FROM ev GROUP BY 1, 2",
     "quarantine": with_(EVENTS)
     + "SELECT DISTINCT snapshot AS path, true AS readable FROM ev UNION ALL "
     "SELECT 'page ' || page_id, false FROM pages",
-    "stream_intake": with_(EVENTS) + CP_STATUS,
+    "stream_intake": ALL_STATUS,
     "explode_children": with_(EVENTS) + "SELECT snapshot, id_cs, event_id AS uid FROM evt",
     "dynamic_columns": with_(EVENTS)
     + "SELECT CAST(id_cs AS VARCHAR) AS id_cs, '[\"RFID\"]' AS capabilities, "
@@ -459,10 +465,7 @@ ORACLE: dict[str, str] = {
     "connector_master": CONNECTOR_MASTER,
     "cp_status": with_(EVENTS) + CP_STATUS,
     "connector_status": with_(EVENTS, CONNECTORS_SEEN) + CONNECTOR_STATUS,
-    "status_all_snapshots": with_(EVENTS, CONNECTORS_SEEN)
-    + "SELECT 'CP' || user_id AS id, status, sensor AS parkingsensor_status, "
-    "city_ts AS \"timestamp\", 'point' AS level FROM evt UNION ALL "
-    "SELECT id, status, NULL, city_ts, 'connector' FROM conn",
+    "status_all_snapshots": ALL_STATUS,
     "csv_scan": with_(STATIONS)
     + "SELECT * REPLACE (nullif(owner, '') AS owner) FROM stations",
     "empty_as_null": with_(POINTS)

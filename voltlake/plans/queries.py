@@ -52,13 +52,14 @@ def snapshot() -> Column:
 @query
 def raw_snapshot_scan(i: Inputs) -> DataFrame:
     doc = F.from_json("content", "map<string,string>")
-    return i.documents().select(snapshot(), F.size(doc).alias("n_cities"))
+    return i.files().select(snapshot(), F.size(doc).alias("n_cities"))
 
 
 @query
 def snapshot_time(i: Inputs) -> DataFrame:
     time = snapshots.snapshot_time(F.col("path")).cast("timestamp_ntz")
-    return i.documents().select(snapshot(), time.alias("polled_at"))
+    listed = snapshots.list_snapshots(i.spark, i.snapshot_folder(), SNAPSHOT_PATTERN)
+    return listed.select(snapshot(), time.alias("polled_at"))
 
 
 @query
@@ -86,13 +87,12 @@ def latest_snapshot(i: Inputs) -> DataFrame:
 
 @query
 def raw_archive(i: Inputs) -> DataFrame:
-    path = archive_snapshots(i.documents(), scratch_path(i.spark, "archive"))
-    archived = read_archive(i.spark, path)
-    points = flatten.point_rows(archived).groupBy("path").agg(F.count("id").alias("n_points"))
-    days = archived.select("path", "snapshot_date")
-    return days.join(points, "path").select(
-        snapshot(), F.col("snapshot_date").cast("string").alias("snapshot_date"), "n_points"
+    path = archive_snapshots(
+        i.spark, i.snapshot_folder(), scratch_path(i.spark, "archive"), SNAPSHOT_PATTERN
     )
+    day = F.col("snapshot_date").cast("string").alias("snapshot_date")
+    doc = F.from_json("content", "map<string,string>")
+    return read_archive(i.spark, path).select(snapshot(), day, F.size(doc).alias("n_cities"))
 
 
 @query
@@ -108,7 +108,12 @@ def quarantine(i: Inputs) -> DataFrame:
 def stream_intake(i: Inputs) -> DataFrame:
     target, checkpoint = scratch_path(i.spark, "intake"), scratch_path(i.spark, "progress")
     take_in(i.spark, i.snapshot_folder(), target, checkpoint, pattern=SNAPSHOT_PATTERN)
-    return with_ntz(i.spark.read.parquet(f"{target}/status_cp").drop("query_date"))
+    points = i.spark.read.parquet(f"{target}/status_cp").withColumn("level", F.lit("point"))
+    connectors = i.spark.read.parquet(f"{target}/status_connectors").withColumn(
+        "level", F.lit("connector")
+    )
+    both = points.unionByName(connectors, allowMissingColumns=True)
+    return with_ntz(both.drop("query_date"))
 
 
 # ---- nested records ----------------------------------------------------------------------
@@ -374,13 +379,17 @@ for _name, _table in {
     "dim_charging_point": "charging_point",
     "dim_connector": "connector",
     "dim_time": "time",
-    "mapping_load": "mapping_poi_cs",
 }.items():
     _function = _table_query(_table)
     _function.__name__ = _name
     query(_function)
 
 
+@query
+def mapping_load(i: Inputs) -> DataFrame:
+    return _round_trip(i, i.star_schema["mapping_poi_cs"], MAIN["mapping_poi_cs"])
+
+
 @query
 def dim_poi(i: Inputs) -> DataFrame:
     return i.star_schema["poi"].select(

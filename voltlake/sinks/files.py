@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlake.constants import ARCHIVE_PREFIX
-from voltlake.sources.snapshots import snapshot_name, snapshot_time
+from voltlake.constants import ARCHIVE_PREFIX, SNAPSHOT_NAME
+from voltlake.sources.snapshots import newest_path, scan_snapshots, snapshot_time
 
 
 def write_table(df: DataFrame, path: str, output_format: str = "csv", sep: str = ";") -> None:
@@ -23,18 +25,21 @@ def write_table(df: DataFrame, path: str, output_format: str = "csv", sep: str =
         raise NotImplementedError(f"output format {output_format!r}")
 
 
-def archive_snapshots(documents: DataFrame, folder: str) -> str:
-    """Raw snapshots into one compacted table, partitioned by day; returns its path.
+def archive_snapshots(
+    spark: SparkSession, source: str, folder: str, pattern: str = "*.json"
+) -> str:
+    """Raw snapshot files into one compacted table, partitioned by day; returns its path.
 
     The table is named after the newest snapshot. Rows are gathered by day in one shuffle; the
     rebalance hint splits a day that holds most of them and merges small ones.
     """
-    newest = documents.agg(F.max("path").alias("path")).select(
-        F.regexp_extract(snapshot_name(F.col("path")), r"^(\d+_\d+)", 1).alias("t")
-    ).first()["t"]
-    path = f"{folder}/{ARCHIVE_PREFIX}{newest}"
+    newest = re.search(SNAPSHOT_NAME, newest_path(spark, source, pattern))
+    if newest is None:
+        raise ValueError(f"the newest file below {source} carries no snapshot time")
+    path = f"{folder}/{ARCHIVE_PREFIX}{newest[2]}"
     (
-        documents.withColumn("snapshot_date", F.to_date(snapshot_time(F.col("path"))))
+        scan_snapshots(spark, source, pattern)
+        .withColumn("snapshot_date", F.to_date(snapshot_time(F.col("path"))))
         .hint("rebalance", "snapshot_date")
         .write.mode("overwrite")
         .option("compression", "zstd")

@@ -56,22 +56,27 @@ def stream_snapshots(
     )
 
 
-def latest_snapshot(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
-    """Only the last file by name.
-
-    The first job lists names without opening files; its one-row result makes the second
-    scan read a single file.
-    """
-    newest = (
+def list_snapshots(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+    """The files' paths, without opening them."""
+    return (
         spark.read.format("binaryFile")
         .options(pathGlobFilter=pattern, recursiveFileLookup="true")
         .load(path)
-        .agg(F.max("path").alias("path"))
-        .first()["path"]
+        .select("path")
     )
+
+
+def newest_path(spark: SparkSession, path: str, pattern: str = "*.json") -> str:
+    """Last file by name."""
+    newest = list_snapshots(spark, path, pattern).agg(F.max("path").alias("path")).first()["path"]
     if newest is None:
         raise FileNotFoundError(f"no {pattern} below {path}")
-    return scan_snapshots(spark, newest, pattern)
+    return newest
+
+
+def latest_snapshot(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+    """Only the last file by name; the scan opens no other."""
+    return scan_snapshots(spark, newest_path(spark, path, pattern), pattern)
 
 
 def latest_document(documents: DataFrame) -> DataFrame:
