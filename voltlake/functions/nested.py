@@ -1,5 +1,10 @@
-"""Expressions over nested records. A record is ``map<string,string>``: an absent key and a
-key holding null stay different, which a struct could not tell."""
+"""Expressions over nested records.
+
+An absent key and a key holding null must stay different. A record with unknown keys is a
+``map<string,string>``. A record with declared keys is a struct of variants, which the JSON
+parser fills without touching other keys: an absent key is null there, a key holding null is a
+variant null.
+"""
 
 from __future__ import annotations
 
@@ -39,6 +44,26 @@ def fields(
     return [field(record, key, default_for(key, fill)).alias(key) for key in keys]
 
 
+def record_type(keys: list[str], **nested: str) -> str:
+    """Struct of variants for ``keys``; ``nested`` gives further members with their type."""
+    members = [f"`{k}`:variant" for k in keys if k not in nested]
+    members += [f"`{k}`:{kind}" for k, kind in nested.items()]
+    return f"struct<{','.join(members)}>"
+
+
+def text_of(value: Column, default: str | None = None) -> Column:
+    """Text of a variant: ``default`` if the key was absent, null if it held null."""
+    text = value.cast("string")
+    return text if default is None else F.when(value.isNull(), F.lit(default)).otherwise(text)
+
+
+def texts(
+    record: Column, keys: list[str], fill: str | None | Mapping[str, str | None] = MISSING
+) -> list[Column]:
+    """One aliased text column per declared key of a struct of variants."""
+    return [text_of(record[key], default_for(key, fill)).alias(key) for key in keys]
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it many times inside ``body``.
 

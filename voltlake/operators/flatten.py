@@ -13,14 +13,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltlake.constants import MISSING
-from voltlake.functions.nested import computed_once, fields, is_last_of_key
-from voltlake.sources.snapshots import STATION_DOCUMENT, STATUS_DOCUMENT, parse_documents
-
-
-def station_rows(documents: DataFrame) -> DataFrame:
-    """One row per station over all cities: path, city_key, timestamp, station (a record)."""
-    parsed = parse_documents(documents, STATION_DOCUMENT)
-    cities = parsed.select("path", F.explode(computed_once(F.col("doc"))).alias("city_key", "city_value"))
+from voltlake.functions.nested import (
+    RECORD,
+    computed_once,
+    fields,
+    is_last_of_key,
+    let,
+    record_type,
+    text_of,
+)
+from voltlake.sources.snapshots import document_type
+
+
+def station_rows(documents: DataFrame, station_type: str = RECORD) -> DataFrame:
+    """One row per station over all cities: path, city_key, timestamp, station."""
+    doc = F.from_json("content", document_type(station_type))
+    cities = documents.select("path", F.explode(doc).alias("city_key", "city_value"))
     return cities.select(
         "path",
         "city_key",
@@ -29,18 +37,24 @@ def station_rows(documents: DataFrame) -> DataFrame:
     ).where(F.col("station").isNotNull())
 
 
-def station_rows_ts(documents: DataFrame) -> DataFrame:
+def station_rows_ts(documents: DataFrame, point_type: str = RECORD) -> DataFrame:
     """One row per station with its city's own time: path, id, timestamp, evses."""
-    return _listed_stations(documents).select("path", F.inline(computed_once(F.col("stations"))))
+    return documents.select("path", F.inline(_listed_stations(point_type)))
+
 
+# The steps below are one expression over one document: nothing is written between them, and
+# no filter looks for unreadable documents, since it would parse each text a second time and
+# such documents leave no rows anyway.
 
-def _listed_stations(documents: DataFrame) -> DataFrame:
-    """One row per file with the array of its stations in file order."""
+
+def _listed_stations(point_type: str) -> Column:
+    """Stations of a document in file order: array of struct<id, timestamp, evses>."""
+    station = f"struct<id:string,evses:array<{point_type}>>"
 
     def of_city(entry: Column) -> Column:
         stations = F.filter(entry["value"]["data"], lambda s: s.isNotNull())
         return F.transform(
-            F.coalesce(stations, F.array().cast("array<struct<id:string,evses:array<map<string,string>>>>")),
+            F.coalesce(stations, F.array().cast(f"array<{station}>")),
             lambda s: F.struct(
                 s["id"].alias("id"),
                 F.try_to_timestamp(entry["value"]["timestamp"]).alias("timestamp"),
@@ -48,59 +62,72 @@ def _listed_stations(documents: DataFrame) -> DataFrame:
             ),
         )
 
-    # No filter on unreadable documents: it would parse each text twice, and they leave no rows.
-    parsed = parse_documents(documents, STATUS_DOCUMENT)
-    return parsed.select(
-        "path", F.flatten(F.transform(F.map_entries("doc"), of_city)).alias("stations")
-    )
+    doc = F.from_json("content", document_type(station))
+    return F.flatten(F.transform(F.map_entries(doc), of_city))
+
+
+def _keep_last(items: Column) -> Column:
+    """Of array elements with equal ``id``, the last one. Arrays without repeats pass as they
+    are after one hash-set look."""
 
+    def filtered(array: Column, ids: Column) -> Column:
+        zipped = F.arrays_zip(array.alias("item"), is_last_of_key(ids).alias("last"))
+        return F.transform(F.filter(zipped, lambda z: z["last"]), lambda z: z["item"])
 
-def _keep_last(df: DataFrame, array: str) -> DataFrame:
-    """Keeps, of array elements with equal ``id``, the last one."""
-    ids = F.transform(F.col(array), lambda x: x["id"])
-    flagged = df.withColumn("last_flags", is_last_of_key(ids))
-    zipped = F.arrays_zip(F.col(array).alias("item"), F.col("last_flags").alias("last"))
-    kept = F.transform(F.filter(zipped, lambda z: z["last"]), lambda z: z["item"])
-    return flagged.withColumn(array, kept).drop("last_flags")
+    def resolved(array: Column) -> Column:
+        return let(
+            F.transform(array, lambda x: x["id"]),
+            lambda ids: F.when(F.size(F.array_distinct(ids)) == F.size(ids), array).otherwise(
+                filtered(array, ids)
+            ),
+        )
+
+    return let(items, resolved)
 
 
-def listed_points(documents: DataFrame) -> DataFrame:
-    """One row per file: path and the array of its points, struct<id, id_cs, timestamp, point>.
+def _listed_points(point_type: str) -> Column:
+    """Points of a document: array of struct<id, id_cs, timestamp, point>.
 
     Children hang on the last listing of a repeated station; a parent without children
     leaves nothing behind.
     """
 
     def of_station(station: Column) -> Column:
-        points = F.filter(station["evses"], lambda p: p.isNotNull())
         return F.transform(
-            points,
+            F.filter(station["evses"], lambda p: p.isNotNull()),
             lambda p: F.struct(
-                F.try_element_at(p, F.lit("id")).alias("id"),
+                text_of(p["id"], MISSING).alias("id"),
                 station["id"].alias("id_cs"),
                 station["timestamp"].alias("timestamp"),
                 p.alias("point"),
             ),
         )
 
-    stations = _keep_last(_listed_stations(documents), "stations")
-    lists = F.filter(F.transform("stations", of_station), lambda x: x.isNotNull())
-    return stations.select("path", F.flatten(lists).alias("points"))
+    lists = F.transform(_keep_last(_listed_stations(point_type)), of_station)
+    return F.flatten(F.filter(lists, lambda points: points.isNotNull()))
 
 
-def point_rows(documents: DataFrame) -> DataFrame:
-    """One row per charging point: path, id, id_cs, timestamp, point (a record)."""
-    return listed_points(documents).select("path", F.inline(computed_once(F.col("points"))))
+def _with_id(keys: list[str]) -> list[str]:
+    return list(dict.fromkeys(["id", *keys]))
 
 
-def connector_rows(documents: DataFrame) -> DataFrame:
-    """One row per connector: path, id_cp, timestamp, connector (a record)."""
-    points = _keep_last(listed_points(documents), "points").select("path", F.inline(computed_once(F.col("points"))))
-    listed = F.from_json(
-        F.try_element_at("point", F.lit("connectors")), "array<map<string,string>>"
-    )
+def point_rows(documents: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per charging point: path, id, id_cs, timestamp, point (a struct of variants with
+    ``keys``)."""
+    return documents.select("path", F.inline(_listed_points(record_type(_with_id(keys)))))
+
+
+def connector_rows(documents: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per connector: path, id_cp, timestamp, connector (a struct of variants with
+    ``keys``). Connectors hang on the last listing of a repeated point."""
+    connectors = f"array<{record_type(_with_id(keys))}>"
+    listed = _listed_points(record_type(["id"], connectors=connectors))
+    points = documents.select("path", F.inline(_keep_last(listed)))
     return points.select(
-        "path", F.col("id").alias("id_cp"), "timestamp", F.explode(listed).alias("connector")
+        "path",
+        F.col("id").alias("id_cp"),
+        "timestamp",
+        F.explode(computed_once(F.col("point.connectors"))).alias("connector"),
     ).where(F.col("connector").isNotNull())
 
 

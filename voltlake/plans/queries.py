@@ -169,10 +169,10 @@ def attach_parent_ts(i: Inputs) -> DataFrame:
 
 @query
 def last_wins_parent(i: Inputs) -> DataFrame:
-    points = flatten.point_rows(i.documents(split_listing=True))
+    points = flatten.point_rows(i.documents(split_listing=True), ["uid"])
     return points.select(
         snapshot(), F.col("id_cs").cast("int").alias("id_cs"),
-        F.col("point")["uid"].cast("bigint").alias("uid"),
+        F.col("point.uid").cast("bigint").alias("uid"),
     )
 
 

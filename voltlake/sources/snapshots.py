@@ -6,14 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltlake.constants import SNAPSHOT_NAME, SNAPSHOT_TIME_FORMAT
-from voltlake.functions.nested import RECORD, RECORDS
 
-# Whole stations as records, for master data.
-STATION_DOCUMENT = f"map<string,struct<timestamp:string,data:array<{RECORD}>>>"
-# Only what status extraction needs; the parser skips all other keys.
-STATUS_DOCUMENT = (
-    f"map<string,struct<timestamp:string,data:array<struct<id:string,evses:{RECORDS}>>>>"
-)
+def document_type(station: str) -> str:
+    """Type of a snapshot whose stations have the given type."""
+    return f"map<string,struct<timestamp:string,data:array<{station}>>>"
 
 
 def snapshot_name(path: Column) -> Column:
@@ -85,11 +81,6 @@ def latest_document(documents: DataFrame) -> DataFrame:
     return documents.where(F.col("path") == newest)
 
 
-def parse_documents(documents: DataFrame, schema: str) -> DataFrame:
-    """Adds ``doc``, the parsed content; null where the text is not a snapshot."""
-    return documents.withColumn("doc", F.from_json("content", schema))
-
-
 def split_payloads(documents: DataFrame) -> DataFrame:
     """Adds ``readable``: false for payloads that do not parse. Readers keep the readable rows;
     the others go to a quarantine table instead of stopping the job."""
