@@ -260,6 +260,11 @@ def test_match_edges(spark, monkeypatch):
     assert got == [("edge", 1), ("hole", 4), ("hole", 5), ("twice", 6)]
 
 
+def test_no_pois_no_pairs(spark, monkeypatch):
+    assert planar_match(spark, monkeypatch, [], [(1, 0, 0)]) == []
+    assert planar_match(spark, monkeypatch, random_case(2)[0], []) == []
+
+
 def test_stations_without_position_match_nothing(spark):
     stations = spark.createDataFrame(
         [(1, None, 50.0), (2, 9.0, None), (3, 9.0, 50.0)],

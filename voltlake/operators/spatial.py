@@ -3,7 +3,7 @@
 A grid turns the distance join into an equi-join. Cells come in levels, each four times as
 wide as the one before. A POI goes to the first level whose cells are at least as wide as its
 buffered bounds, where it touches at most 2 x 2 cells; a station goes to its one cell on every
-level. So a pair can meet in one cell only, and the candidates per POI follow its own size.
+level in use. So a pair can meet in one cell only, and the candidates per POI follow its own size.
 """
 
 from __future__ import annotations
@@ -44,10 +44,12 @@ def station_points(stations: DataFrame) -> DataFrame:
     return planar.select("id_cs", F.col("p.x").alias("sx"), F.col("p.y").alias("sy"))
 
 
-def station_cells(points: DataFrame, sizes: list[float]) -> DataFrame:
-    levels = points.withColumn("level", F.explode(F.lit(list(range(len(sizes))))))
+def station_cells(points: DataFrame, sizes: list[float], levels: list[int]) -> DataFrame:
+    """One row per station and level."""
+    listed = F.lit(levels).cast("array<int>")
+    placed = points.withColumn("level", F.explode(listed))
     size = _size_of(F.col("level"), sizes)
-    return levels.withColumns(
+    return placed.withColumns(
         {"cell_x": _cell(F.col("sx"), size), "cell_y": _cell(F.col("sy"), size)}
     )
 
@@ -116,9 +118,12 @@ def match_pois(
     latitude in degrees. A POI listed for two cities gives its pairs once.
     """
     sizes = cell_sizes(distances, default)
+    cells = poi_cells(pois, distances, default, sizes)
+    # Stations are copied only to levels that hold a POI; at most LEVELS rows come back.
+    levels = sorted(row["level"] for row in cells.select("level").distinct().collect())
     pairs = skew_join(
-        station_cells(station_points(stations), sizes),
-        poi_cells(pois, distances, default, sizes),
+        station_cells(station_points(stations), sizes, levels),
+        cells,
         CELL_KEYS,
         _within_buffer(),
         left_id="id_cs",

@@ -62,9 +62,9 @@ CONNECTORS_SEEN = """lastp AS (
   QUALIFY row_number() OVER (PARTITION BY no, user_id ORDER BY event_id DESC) = 1
 ), conn AS (
   SELECT 'CP' || user_id AS id_cp, 'C' || user_id || '-0' AS id, status, 'SOCKET' AS format,
-    user_id, event_id, city_ts FROM lastp WHERE event_id % 5 <> 0
+    user_id, event_id, city_ts, snapshot FROM lastp WHERE event_id % 5 <> 0
   UNION ALL
-  SELECT 'CP' || user_id, 'C' || user_id || '-1', 'AVAILABLE', 'CABLE', user_id, event_id, city_ts
+  SELECT 'CP' || user_id, 'C' || user_id || '-1', 'AVAILABLE', 'CABLE', user_id, event_id, city_ts, snapshot
   FROM lastp WHERE event_id % 5 <> 0 AND user_id % 2 = 0
 )"""
 
@@ -183,7 +183,7 @@ def _box(ring: int, x0: str, y0: str, x1: str, y1: str, kind: str) -> str:
     corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
     return " UNION ALL ".join(
         f"SELECT id_poi, poi_cat, {ring} AS ring, {i} AS i, lon + {x} AS lon, lat + {y} AS lat "
-        f"FROM features WHERE geom_type = '{kind}'"
+        f"FROM wanted WHERE geom_type = '{kind}'"
         for i, (x, y) in enumerate(corners)
     )
 
@@ -192,7 +192,7 @@ def matches(where: str = "true") -> str:
     """CTE ``matches``: every POI against every station, edge by edge."""
     corners = " UNION ALL ".join(
         [
-            "SELECT id_poi, poi_cat, 0 AS ring, 0 AS i, lon, lat FROM features "
+            "SELECT id_poi, poi_cat, 0 AS ring, 0 AS i, lon, lat FROM wanted "
             "WHERE geom_type = 'point'",
             _box(0, "-a", "-b", "a", "b", "polygon"),
             _box(1, "-a / 2", "-b / 2", "a / 4", "b / 4", "polygon"),
@@ -200,8 +200,8 @@ def matches(where: str = "true") -> str:
             _box(1, "a * 2", "-b", "a * 5", "b / 2", "multipolygon"),
         ]
     )
-    return f"""{FEATURES}, corners AS (
-  SELECT *, {RADIUS} AS r FROM ({corners}) WHERE {where}
+    return f"""{FEATURES}, wanted AS (SELECT * FROM features WHERE {where}), corners AS (
+  SELECT *, {RADIUS} AS r FROM ({corners})
 ), {utm('corners', 'cxy')}, edges AS (
   SELECT id_poi, r, x AS ax, y AS ay,
     lead(x) OVER w AS bx, lead(y) OVER w AS by_, count(*) OVER (PARTITION BY id_poi) AS n_corners
@@ -274,6 +274,39 @@ ROW_COUNTS = ALL_CTES + " UNION ALL ".join(
 )
 
 
+def file_load_counts() -> str:
+    """Rows per table when the star schema is loaded from the snapshot files."""
+    last = "snapshot = (SELECT max(snapshot) FROM ev)"
+    wanted = (
+        f"({_in('amenity', POI_TAGS['amenity'])} OR {_in('shop', POI_TAGS['shop'])})"
+    )
+    seen = f"SELECT DISTINCT id_cs FROM ev WHERE {last}"
+    counts = {
+        "charging_stations": f"({seen})",
+        "charging_points": f"(SELECT * FROM ev WHERE {last})",
+        "connectors": f"(SELECT * FROM conn WHERE {last})",
+        "status_cp": "ev",
+        "status_connectors": "conn",
+        "time": "(SELECT DISTINCT city_ts FROM evt)",
+        "mapping_poi_cs": f"(SELECT * FROM matches WHERE id_cs IN ({seen}))",
+        "poi": f"(SELECT * FROM features WHERE {wanted})",
+    }
+    tables = {
+        "staging_connectors": "connectors", "staging_charging_points": "charging_points",
+        "staging_charging_stations": "charging_stations", "staging_status_cp": "status_cp",
+        "staging_status_connectors": "status_connectors", "status_chargingpoints": "status_cp",
+        "status_connectors": "status_connectors", "charging_station": "charging_stations",
+        "charging_point": "charging_points", "connector": "connectors", "time": "time",
+        "mapping_poi_cs": "mapping_poi_cs", "poi": "poi",
+    }
+    return with_(EVENTS, CONNECTORS_SEEN, matches(wanted)) + union(
+        [
+            f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {counts[c]}"
+            for t, c in tables.items()
+        ]
+    )
+
+
 def rule(name: str, predicate: str, source: str, how: str = "all") -> str:
     passed = f"count(*) FILTER (WHERE coalesce({predicate}, false))"
     held = f"{passed} = count(*)" if how == "all" else f"{passed} > 0"
@@ -494,7 +527,8 @@ ORACLE: dict[str, str] = {
     "buffer_distance": with_(FEATURES)
     + f"SELECT id_poi, poi_cat, {RADIUS} AS radius FROM features",
     "poi_station_match": ALL_MATCHES,
-    "poi_station_pipeline": ALL_MATCHES,
+    "poi_station_files": ALL_MATCHES,
+    "load_from_files": file_load_counts(),
     "mapping_load": CATEGORY_MATCHES,
     "fact_status_cp": with_(FACTS)
     + f"SELECT {key_hash('id_cp', 'ts')} AS id_status_cp, id_cp AS id_chargingpoint, "

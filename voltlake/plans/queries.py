@@ -13,7 +13,7 @@ from voltlake.operators import flatten, master, quality, utilization
 from voltlake.operators import poi as pois
 from voltlake.operators import status as status_ops
 from voltlake.operators.spatial import match_pois
-from voltlake.plans import warehouse
+from voltlake.plans import jobs, warehouse
 from voltlake.plans.bindings import SNAPSHOT_PATTERN, Inputs, city_code, inputs_of
 from voltlake.runtime import scratch_path
 from voltlake.schemas import MAIN, PRIMARY_KEYS, REFERENCES, STAGING
@@ -42,6 +42,10 @@ def with_ntz(df: DataFrame) -> DataFrame:
     return df.select(*[ntz(n) if t == "timestamp" else F.col(n) for n, t in df.dtypes])
 
 
+def _row_count(df: DataFrame, table: str) -> DataFrame:
+    return df.agg(F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+
+
 def snapshot() -> Column:
     return snapshots.snapshot_name(F.col("path")).alias("snapshot")
 
@@ -356,13 +360,30 @@ def poi_station_match(i: Inputs) -> DataFrame:
 
 
 @query
-def poi_station_pipeline(i: Inputs) -> DataFrame:
+def poi_station_files(i: Inputs) -> DataFrame:
     """Files in, mapping file out: stations and POIs are read, matched, written, read back."""
-    stations = _round_trip(
-        i, i.raw_charging_stations(), STAGING["staging_charging_stations"], empty_as_null=True
+    stations, mapping = scratch_path(i.spark, "csv"), scratch_path(i.spark, "mapping")
+    write_table(i.raw_charging_stations(), stations)
+    jobs.match_files(i.spark, stations, _write_pois(i), mapping)
+    return read_delimited(i.spark, mapping, MAIN["mapping_poi_cs"])
+
+
+@query
+def load_from_files(i: Inputs) -> DataFrame:
+    """Snapshot files to flat files to the checked star schema: rows per table."""
+    base = scratch_path(i.spark, "load")
+    flat = jobs.process_snapshots(
+        i.spark, i.snapshot_folder(), f"{base}/flat", pattern=SNAPSHOT_PATTERN
+    )
+    jobs.prepare_poi_files(i.poi_features, f"{base}/poi")
+    jobs.match_files(
+        i.spark, flat["staging_charging_stations"], f"{base}/poi", f"{base}/mapping"
     )
-    pairs = match_pois(i.spark.read.parquet(_write_pois(i)), stations.withColumnRenamed("id", "id_cs"))
-    return _round_trip(i, pairs, MAIN["mapping_poi_cs"])
+    database = "voltlake_" + base.rsplit("-", 1)[1]
+    tables = jobs.load_files(
+        i.spark, database, flat, f"{base}/poi", f"{base}/mapping", location=f"{base}/tables"
+    )
+    return quality.union_all([_row_count(df, name) for name, df in tables.items()])
 
 
 # ---- star schema -------------------------------------------------------------------------
@@ -399,10 +420,6 @@ def dim_poi(i: Inputs) -> DataFrame:
     )
 
 
-def _row_count(df: DataFrame, table: str) -> DataFrame:
-    return df.agg(F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
-
-
 @query
 def star_schema_rowcounts(i: Inputs) -> DataFrame:
     return quality.union_all([_row_count(df, name) for name, df in i.star_schema.items()])
