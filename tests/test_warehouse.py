@@ -177,6 +177,51 @@ def test_load_publishes_checked_tables(spark, tmp_path):
     assert len(names) == 1
 
 
+def test_null_in_a_not_null_column_stops_the_load(spark, tmp_path):
+    database = "wh_null"
+    warehouse.load_warehouse(spark, database, sources(spark), SPECS, str(tmp_path / "wh"))
+    broken = sources(spark)
+    broken["staging_mapping_poi_cs"] = spark.createDataFrame([("node/1", None)], "id_poi string, id_cs int")
+    with pytest.raises(Exception, match="mapping_poi_cs.id_cs is null"):
+        warehouse.load_warehouse(spark, database, broken, SPECS)
+    assert spark.table(f"{database}.mapping_poi_cs").first()["id_cs"] == 7
+
+
+def test_jobs_from_files_to_tables(spark, tmp_path):
+    import json
+
+    from voltlake.plans import jobs
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for hour, power in (("10", 400), ("11", 22)):
+        (raw / f"20211001_{hour}0000_cp_data_cities.json").write_text(DOCUMENT % power)
+    base = str(tmp_path)
+    flat = jobs.process_snapshots(spark, str(raw), f"{base}/flat", archive=f"{base}/archive")
+    assert (tmp_path / "archive" / "archive_cp_data_cities_20211001_110000").is_dir()
+    features = spark.createDataFrame(
+        [("node", 1, "fuel", None, "point", [[[(7.1, 50.7)]]], "Bonn"),
+         ("node", 2, "bench", None, "point", [[[(7.1, 50.7)]]], "Bonn")],
+        "element_type string, osmid bigint, amenity string, shop string, geom_type string, "
+        "geometry array<array<array<struct<x:double,y:double>>>>, city string",
+    )
+    jobs.prepare_poi_files(features, f"{base}/poi")
+    jobs.match_files(spark, flat["staging_charging_stations"], f"{base}/poi", f"{base}/map")
+    tables = jobs.load_files(
+        spark, "wh_jobs", flat, f"{base}/poi", f"{base}/map", location=f"{base}/tables"
+    )
+    counts = {name: df.count() for name, df in tables.items()}
+    # Both snapshots carry the same city time, the status rows stay two.
+    assert counts["status_chargingpoints"] == counts["status_connectors"] == 2
+    assert all(n == 1 for name, n in counts.items() if "status" not in name)
+    assert tables["mapping_poi_cs"].first().asDict() == {"id_poi": "node/1", "id_cs": 7}
+    assert tables["connector"].first()["max_power"] == 22  # of the last snapshot
+    with pytest.raises(QualityError):
+        jobs.prepare_poi_files(features.union(features), f"{base}/poi2")
+    again = features.union(features.withColumn("city", F.lit("Koeln")))
+    jobs.prepare_poi_files(again, f"{base}/poi3")  # two cities may share a POI
+
+
 def test_reads_by_time_skip_days(spark, tmp_path):
     rows = [(f"k{d}{h}", f"p{h}", dt.datetime(2021, 10, d, h), "AVAILABLE", None)
             for d in range(1, 6) for h in range(4)]

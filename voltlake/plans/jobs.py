@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 
 from voltlake.constants import BUFFER_METRES, DEFAULT_BUFFER_METRES, POI_TAGS
 from voltlake.operators.master import master_data
-from voltlake.operators.poi import POI_COLUMNS, prepare_pois, tag_filter, write_by_geometry_kind
+from voltlake.operators.poi import (
+    POI_COLUMNS,
+    prepare_pois,
+    tag_filter,
+    with_poi_id,
+    write_by_geometry_kind,
+)
+from voltlake.operators.quality import require_unique, with_shape
 from voltlake.operators.spatial import match_pois
 from voltlake.operators.status import extract_status
 from voltlake.plans.warehouse import (
@@ -21,6 +30,8 @@ from voltlake.sinks.files import archive_snapshots, write_table
 from voltlake.sources.delimited import read_delimited
 from voltlake.sources.snapshots import latest_snapshot, scan_snapshots
 
+log = logging.getLogger(__name__)
+
 # Folder of each flattened table below the target, by staging table.
 FLAT_FOLDERS = {
     "staging_charging_stations": "charging_stations",
@@ -59,7 +70,9 @@ def process_snapshots(
     )
     paths = flat_paths(target)
     for table, df in flat.items():
-        write_table(df, paths[table], output_format)
+        observed, shape = with_shape(df, table)
+        write_table(observed, paths[table], output_format)
+        log.info("%s: %s", table, shape.get)
     if archive is not None:
         archive_snapshots(spark, source, archive, pattern)
     return paths
@@ -69,8 +82,10 @@ def prepare_poi_files(
     features: DataFrame, target: str, tags: dict[str, list[str]] = POI_TAGS
 ) -> None:
     """Wanted features to POIs with category, position and planar geometry, one folder per
-    geometry kind."""
+    geometry kind. An id found twice in one city is an error; the check reads the ids only."""
     wanted = tag_filter(features, tags)
+    keys = [k for k in ("city", "id_poi") if k == "id_poi" or k in features.columns]
+    require_unique(with_poi_id(wanted), keys, "POI features")
     write_by_geometry_kind(prepare_pois(wanted, tags, POI_COLUMNS), target)
 
 

@@ -9,13 +9,12 @@ import uuid
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltlake.functions.values import calendar_fields, status_key
 from voltlake.operators.quality import (
-    QualityError,
     QualityRule,
     has_length,
     in_open_range,
@@ -67,6 +66,18 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
+def enforced(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Stops the write at the first null in a NOT NULL column; no pass of its own."""
+
+    def checked(f: T.StructField) -> Column:
+        if f.nullable:
+            return F.col(f.name)
+        message = F.lit(f"{spec.name}.{f.name} is null")
+        return F.coalesce(F.col(f.name), F.raise_error(message).cast(f.dataType)).alias(f.name)
+
+    return df.select(*[checked(f) for f in spec.schema])
+
+
 def status_chargingpoints(t: Tables) -> DataFrame:
     return t["staging_status_cp"].select(
         status_key(F.col("id_cp"), F.col("ts")).alias("id_status_cp"),
@@ -174,14 +185,15 @@ def load_table(spark: SparkSession, database: str, spec: TableSpec, tables: Tabl
     was; after a good one the older versions are dropped.
     """
     version = f"{spec.name}__{uuid.uuid4().hex[:12]}"
-    writer = _laid_out(typed(spec.build(tables), spec.schema), spec).write.mode("overwrite")
+    rows = enforced(typed(spec.build(tables), spec.schema), spec)
+    writer = _laid_out(rows, spec).write.mode("overwrite").format("parquet")
     if spec.day_of is not None:
         writer = writer.partitionBy(DAY)
-    writer.format("parquet").saveAsTable(f"{database}.{version}")
     try:
+        writer.saveAsTable(f"{database}.{version}")
         require(spark.table(f"{database}.{version}"), spec.rules, spec.name)
-    except QualityError:
-        spark.sql(f"DROP TABLE {database}.{version}")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{version}")
         raise
     columns = ", ".join(f"`{f.name}`" for f in spec.schema)
     views = {spec.name: columns}
