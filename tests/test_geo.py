@@ -236,7 +236,9 @@ def test_match_equals_brute_force(spark, monkeypatch):
     rows, spots = random_case(3)
     expected = brute(rows, spots)
     assert len(expected) > 300
-    assert planar_match(spark, monkeypatch, rows, spots) == expected
+    for broadcast_rows in (10**6, 0):
+        got = planar_match(spark, monkeypatch, rows, spots, broadcast_rows=broadcast_rows)
+        assert got == expected
 
 
 def test_match_with_hot_cells_equals_brute_force(spark, monkeypatch):
@@ -244,7 +246,9 @@ def test_match_with_hot_cells_equals_brute_force(spark, monkeypatch):
     rows, spots = random_case(5)
     spots += [(1000 + i, 10.0 + i % 3, 10.0) for i in range(350)]
     rows += [(f"h{i}", "mall", "point", [[[(12.0 + i % 60, 9.0)]]]) for i in range(75)]
-    got = planar_match(spark, monkeypatch, rows, spots, hot_share=0.01, hot_rows=5)
+    got = planar_match(
+        spark, monkeypatch, rows, spots, hot_share=0.01, hot_rows=5, broadcast_rows=0
+    )
     assert got == brute(rows, spots)
 
 
@@ -281,9 +285,10 @@ def test_match_plan_has_no_cross_join(spark):
     stations = spark.createDataFrame(
         [(i, 9.0, 50.0) for i, _, _ in spots], "id_cs int, longitude double, latitude double"
     )
-    df = spatial.match_pois(features(spark, rows), stations)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    for broadcast_rows, wanted in ((10**6, "BroadcastHashJoin"), (0, "SortMergeJoin")):
+        df = spatial.match_pois(features(spark, rows), stations, broadcast_rows=broadcast_rows)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert wanted in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 # ---- hot keys ----------------------------------------------------------------------------
@@ -292,17 +297,24 @@ def test_match_plan_has_no_cross_join(spark):
 def test_hot_keys_are_the_heavy_ones(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id")).alias("k"))
     hot = hot_keys(df, ["k"], share=0.1, rows=50)
-    assert hot == [(0, 4)]
-    assert hot_keys(df, ["k"], share=0.1, rows=500) == []
-    assert hot_keys(df.where("false"), ["k"]) == []
+    assert hot == (1000, [(0, 4)])
+    assert hot_keys(df, ["k"], share=0.1, rows=500) == (1000, [])
+    assert hot_keys(df.where("false"), ["k"]) == (0, [])
 
 
 def test_skew_join_equals_plain_join(spark):
     left = spark.range(300).selectExpr("if(id < 100, 0, id % 40) k", "id l")
     right = spark.range(200).selectExpr("if(id < 70, 0, id % 50) k", "id r")
-    options = dict(left_id="l", right_id="r", share=0.05, rows=5)
-    got = skew_join(left, right, ["k"], (F.col("l") + F.col("r")) % 3 == 0, **options)
     expected = left.join(right, "k").where("(l + r) % 3 = 0")
-    assert got.columns == ["k", "l", "r"]
-    assert got.count() == expected.count()
-    assert got.exceptAll(expected).count() == 0
+    condition = (F.col("l") + F.col("r")) % 3 == 0
+    for options in ({"rows": 5, "broadcast_rows": 0}, {"broadcast_rows": 0}, {}):
+        got = skew_join(
+            left, right, ["k"], condition, left_id="l", right_id="r", share=0.05, **options
+        )
+        assert got.columns == ["k", "l", "r"]
+        assert got.count() == expected.count()
+        assert got.exceptAll(expected).count() == 0
+    # Text has no bounded width, so it is not broadcast on a row count.
+    named = left.withColumn("name", F.col("l").cast("string"))
+    got = skew_join(named, right, ["k"], condition, left_id="l", right_id="r")
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()

@@ -9,16 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A key is hot if it holds more than this share of its side, so a side has fewer than
-# 1 / HOT_SHARE hot keys. That bound, not the data, limits what is fetched and broadcast.
+# 1 / HOT_SHARE hot keys. That bound, not the data, limits what is fetched.
 HOT_SHARE = 0.001
 # Below this many rows a key is left alone however large its share.
 HOT_ROWS = 100_000
+# A counted side of fixed-width columns up to this many rows is broadcast, some 20 MB.
+BROADCAST_ROWS = 250_000
 
 
 def hot_keys(
     df: DataFrame, keys: list[str], share: float = HOT_SHARE, rows: int = HOT_ROWS
-) -> list[tuple]:
-    """(*key, pieces) of each hot key.
+) -> tuple[int, list[tuple]]:
+    """Number of rows and (*key, pieces) of each hot key.
 
     Keys are counted with a partial aggregate. Any key above the share is among the 1/share
     largest, so only those come back.
@@ -30,8 +32,17 @@ def hot_keys(
         .observe(seen, F.sum("n").alias("total"))
     )
     largest = counts.orderBy(F.desc("n")).limit(math.ceil(1 / share)).collect()
-    limit = max(share * (seen.get["total"] or 0), rows)
-    return [(*row[:-1], math.ceil(row["n"] / limit)) for row in largest if row["n"] > limit]
+    total = seen.get["total"] or 0
+    limit = max(share * total, rows)
+    hot = [(*row[:-1], math.ceil(row["n"] / limit)) for row in largest if row["n"] > limit]
+    return total, hot
+
+
+def _fixed_width(df: DataFrame) -> bool:
+    return all(
+        isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType))
+        for f in df.schema
+    )
 
 
 def skew_join(
@@ -44,21 +55,30 @@ def skew_join(
     right_id: str,
     share: float = HOT_SHARE,
     rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Inner join on ``keys`` and ``condition``, hot keys cut into pieces on both sides.
 
-    A row of a hot key gets one of its own side's salts by its id and is copied to every salt
-    of the other side, so each pair of rows meets exactly once. Rows of other keys get salt 0
-    and no copy. The condition is tested inside the join; no candidate pair is written out.
+    The left side is counted. If it is small it is broadcast, and the right side stays where
+    it is. Otherwise both are shuffled: a row of a hot key gets one of its own side's salts by
+    its id and is copied to every salt of the other side, so each pair of rows meets exactly
+    once. Rows of other keys get salt 0 and no copy. The merge hint keeps Spark from
+    broadcasting a side whose size it underrates, such as geometries made from a few columns.
+    The condition is tested inside the join; no candidate pair is written out.
     """
     on_keys = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
     rest = [F.col(f"b.{c}") for c in right.columns if c not in keys]
     columns = [*[F.col(f"a.{c}") for c in left.columns], *rest]
 
-    hot_left = hot_keys(left, keys, share, rows)
-    hot_right = hot_keys(right, keys, share, rows)
+    n_left, hot_left = hot_keys(left, keys, share, rows)
+    if n_left <= broadcast_rows and _fixed_width(left):
+        small, large = F.broadcast(left).alias("a"), right.alias("b")
+        return large.join(small, [*on_keys, condition]).select(*columns)
+
+    _, hot_right = hot_keys(right, keys, share, rows)
     if not hot_left and not hot_right:
-        return left.alias("a").join(right.alias("b"), [*on_keys, condition]).select(*columns)
+        shuffled = left.alias("a").join(right.hint("merge").alias("b"), [*on_keys, condition])
+        return shuffled.select(*columns)
 
     pieces: dict[tuple, list[int]] = {}
     for side, hot_side in enumerate((hot_left, hot_right)):
@@ -85,4 +105,4 @@ def skew_join(
     same_salts = [
         F.col(f"a.{salt}") == F.col(f"b.{salt}") for salt in ("salt_left", "salt_right")
     ]
-    return a.alias("a").join(b.alias("b"), [*on_keys, *same_salts, condition]).select(*columns)
+    return a.alias("a").join(b.hint("merge").alias("b"), [*on_keys, *same_salts, condition]).select(*columns)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from voltlake.constants import BUFFER_METRES, DEFAULT_BUFFER_METRES
 from voltlake.functions.geo import bounds, covers_point, near_segment, segments, to_utm32
 from voltlake.functions.values import buffer_metres
-from voltlake.operators.skew import HOT_ROWS, HOT_SHARE, skew_join
+from voltlake.operators.skew import BROADCAST_ROWS, HOT_ROWS, HOT_SHARE, skew_join
 from voltlake.sources.poi import AREA_KINDS
 
 LEVELS = 6
@@ -111,6 +111,7 @@ def match_pois(
     *,
     hot_share: float = HOT_SHARE,
     hot_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Pairs id_poi, id_cs.
 
@@ -130,5 +131,6 @@ def match_pois(
         right_id="id_poi",
         share=hot_share,
         rows=hot_rows,
+        broadcast_rows=broadcast_rows,
     )
     return pairs.select("id_poi", "id_cs").dropDuplicates(["id_poi", "id_cs"])
