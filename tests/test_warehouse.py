@@ -188,8 +188,6 @@ def test_null_in_a_not_null_column_stops_the_load(spark, tmp_path):
 
 
 def test_jobs_from_files_to_tables(spark, tmp_path):
-    import json
-
     from voltlake.plans import jobs
 
     raw = tmp_path / "raw"

@@ -155,14 +155,10 @@ MAIN_SPECS = [
 
 def build_tables(sources: Tables, specs: list[TableSpec]) -> Tables:
     """All tables of ``specs``, lazily, each seeing the sources and the other tables."""
-    makers: dict[str, Callable[[], DataFrame]] = {
-        name: lambda name=name: sources[name] for name in sources
-    }
-    everything = LazyTables(makers)
+    makers = {name: lambda name=name: sources[name] for name in sources}
     for spec in specs:
-        everything._makers[spec.name] = lambda spec=spec: typed(
-            spec.build(everything), spec.schema
-        )
+        makers[spec.name] = lambda spec=spec: typed(spec.build(everything), spec.schema)
+    everything = LazyTables(makers)
     return LazyTables({s.name: lambda s=s: everything[s.name] for s in specs})
 
 
