@@ -9,7 +9,7 @@ from voltlake.schemas import MAIN, STAGING, table
 from voltlake.sinks.files import archive_snapshots, read_archive, write_table
 from voltlake.sources.delimited import read_delimited
 from voltlake.sources.poi import read_geojson
-from voltlake.streaming.intake import take_in
+from voltlake.streaming.intake import take_in, taken_in
 
 
 def test_separators_quotes_and_blanks_survive(spark, tmp_path):
@@ -99,7 +99,7 @@ def test_intake_takes_new_files_only(spark, tmp_path):
     snapshot(raw, "20211001_100000", "a", "b")
     (raw / "20211001_101000_cp_data_cities.json").write_text("<html>busy</html>")
     take_in(spark, *where)
-    seen = lambda: spark.read.parquet(f"{where[1]}/status_cp")
+    seen = lambda: taken_in(spark, where[1])[0]
     bad = lambda: spark.read.parquet(f"{where[1]}/quarantine")
     assert (seen().count(), bad().count()) == (2, 1)
     take_in(spark, *where)

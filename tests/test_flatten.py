@@ -120,6 +120,24 @@ def test_connectors_hang_on_the_last_point(spark):
     assert rows(status.connector_status(docs), "id", "status") == [("c2", "RESERVED")]
 
 
+def test_status_table_gives_both_series(spark):
+    mixed = [
+        point("p", status="A", connectors=[{"id": "c1"}, None]),
+        point("q", parkingsensor_status=None),
+        point("p", status=None, connectors=[{"id": "c2", "status": "RESERVED"}, {"status": None}]),
+    ]
+    docs = documents(
+        spark, {"a": city(T1, station(1, mixed)), "b": city(T2, station(2, [point("r", connectors=[])]))},
+        {"a": city(T1, station(1, [point("p", connectors=[{"id": "c3"}])]))}, {}, "<html>",
+    )
+    points, connectors = status.split_status(status.status_table(docs))
+    columns = ("id", "status", "parkingsensor_status", "timestamp")
+    assert rows(points, *columns) == rows(status.cp_status(docs), *columns)
+    columns = ("id", "status", "timestamp")
+    assert rows(connectors, *columns) == rows(status.connector_status(docs), *columns)
+    assert rows(connectors, "id", "status") == [("-", None), ("c2", "RESERVED"), ("c3", "-")]
+
+
 def test_is_last_of_key_equals_brute_force(spark):
     cases = [[], ["a"], ["a", "a"], ["a", "b", "a", "c", "b"], [None, "x", None], list("abcabcddd")]
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, k array<string>")
@@ -218,7 +236,8 @@ def test_explode_then_nest_is_identity(spark):
 def test_texts_are_parsed_once(spark):
     """The plan must not parse a document a second time for a derived filter."""
     docs = documents(spark, {})
-    for df in (status.cp_status(docs), status.connector_status(docs), *master.master_data(docs)):
+    flat = [status.cp_status(docs), status.connector_status(docs), status.status_table(docs)]
+    for df in (*flat, *master.master_data(docs)):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("from_json(") == 1
         assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()

@@ -85,6 +85,22 @@ def _keep_last(items: Column) -> Column:
     return let(items, resolved)
 
 
+def _with_last_flag(items: Column) -> Column:
+    """Array of struct<item, last>: is the element the last one with its ``id``?"""
+
+    def flags(ids: Column) -> Column:
+        plain = F.size(F.array_distinct(ids)) == F.size(ids)
+        return F.when(plain, F.transform(ids, lambda _: F.lit(True))).otherwise(
+            is_last_of_key(ids)
+        )
+
+    def zipped(array: Column) -> Column:
+        last = let(F.transform(array, lambda x: x["id"]), flags)
+        return F.arrays_zip(array.alias("item"), last.alias("last"))
+
+    return let(items, zipped)
+
+
 def _listed_points(point_type: str) -> Column:
     """Points of a document: array of struct<id, id_cs, timestamp, point>.
 
@@ -131,6 +147,19 @@ def connector_rows(documents: DataFrame, keys: list[str]) -> DataFrame:
     ).where(F.col("connector").isNotNull())
 
 
+def point_rows_with_connectors(
+    documents: DataFrame, keys: list[str], connector_keys: list[str]
+) -> DataFrame:
+    """Points and their connectors from one parse: path, id, timestamp, point (a struct of
+    variants with ``keys`` and the array ``connectors``), is_last (the point's last listing)."""
+    connectors = f"array<{record_type(_with_id(connector_keys))}>"
+    listed = _listed_points(record_type(_with_id(keys), connectors=connectors))
+    rows = documents.select("path", F.inline(_with_last_flag(listed)))
+    return rows.select(
+        "path", "item.id", "item.timestamp", "item.point", F.col("last").alias("is_last")
+    )
+
+
 def keep_last_parent(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
     """Table form of "the last duplicate wins": one row per key, the one with the largest
     ``order``. The aggregate is reduced before the shuffle, so a key that fills a third of the

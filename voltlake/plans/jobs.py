@@ -17,7 +17,7 @@ from voltlake.operators.poi import (
 )
 from voltlake.operators.quality import require_unique, with_shape
 from voltlake.operators.spatial import match_pois
-from voltlake.operators.status import extract_status
+from voltlake.operators.status import split_status, status_table
 from voltlake.plans.warehouse import (
     MAIN_SPECS,
     STAGING_SPECS,
@@ -25,6 +25,7 @@ from voltlake.plans.warehouse import (
     load_warehouse,
     staging_from_files,
 )
+from voltlake.runtime import scratch_path
 from voltlake.schemas import MAIN, STAGING
 from voltlake.sinks.files import archive_snapshots, write_table
 from voltlake.sources.delimited import read_delimited
@@ -57,14 +58,17 @@ def process_snapshots(
 ) -> dict[str, str]:
     """Master data of the last snapshot and the status of all of them; optionally the archive.
 
-    Returns the written paths by staging table.
+    Every snapshot is parsed once for both status levels, by way of a written status table in
+    the shared folder. Returns the written paths by staging table.
     """
+    parsed = scratch_path(spark, "status")
+    status_table(scan_snapshots(spark, source, pattern)).write.parquet(parsed)
     flat = dict(
         zip(
             FLAT_FOLDERS,
             [
                 *master_data(latest_snapshot(spark, source, pattern)),
-                *extract_status(scan_snapshots(spark, source, pattern)),
+                *split_status(spark.read.parquet(parsed)),
             ],
         )
     )

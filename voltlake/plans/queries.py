@@ -21,7 +21,7 @@ from voltlake.sinks.files import archive_snapshots, read_archive, write_table
 from voltlake.sources import snapshots
 from voltlake.sources.delimited import bind_by_name, read_delimited
 from voltlake.sources.poi import read_features
-from voltlake.streaming.intake import take_in
+from voltlake.streaming.intake import take_in, taken_in
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,6 +46,13 @@ def _row_count(df: DataFrame, table: str) -> DataFrame:
     return df.agg(F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
 
 
+def _both_levels(points: DataFrame, connectors: DataFrame) -> DataFrame:
+    both = points.withColumn("level", F.lit("point")).unionByName(
+        connectors.withColumn("level", F.lit("connector")), allowMissingColumns=True
+    )
+    return with_ntz(both)
+
+
 def snapshot() -> Column:
     return snapshots.snapshot_name(F.col("path")).alias("snapshot")
 
@@ -112,12 +119,7 @@ def quarantine(i: Inputs) -> DataFrame:
 def stream_intake(i: Inputs) -> DataFrame:
     target, checkpoint = scratch_path(i.spark, "intake"), scratch_path(i.spark, "progress")
     take_in(i.spark, i.snapshot_folder(), target, checkpoint, pattern=SNAPSHOT_PATTERN)
-    points = i.spark.read.parquet(f"{target}/status_cp").withColumn("level", F.lit("point"))
-    connectors = i.spark.read.parquet(f"{target}/status_connectors").withColumn(
-        "level", F.lit("connector")
-    )
-    both = points.unionByName(connectors, allowMissingColumns=True)
-    return with_ntz(both.drop("query_date"))
+    return _both_levels(*taken_in(i.spark, target))
 
 
 # ---- nested records ----------------------------------------------------------------------
@@ -220,11 +222,7 @@ def connector_status(i: Inputs) -> DataFrame:
 
 @query
 def status_all_snapshots(i: Inputs) -> DataFrame:
-    cps, connectors = status_ops.extract_status(i.documents(), "both")
-    both = cps.withColumn("level", F.lit("point")).unionByName(
-        connectors.withColumn("level", F.lit("connector")), allowMissingColumns=True
-    )
-    return with_ntz(both)
+    return _both_levels(*status_ops.extract_status(i.documents(), "both"))
 
 
 # ---- delimited files ---------------------------------------------------------------------
