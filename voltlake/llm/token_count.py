@@ -30,7 +30,7 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters for which the split here isn't proven to be the library's.
 DOUBTFUL = r"[^\x09\x0A\x0D\x20-\x7E\xA0-\u02FF]"
 #: Encodings of merged pre-tokens that a worker remembers.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
 
 
 class Counter49k:
@@ -82,7 +82,7 @@ class Counter49k:
             others = Counter(t for t in found if t not in self.single)
             out[i] = len(found) - others.total()
             rest[i] = others
-            unknown |= others.keys() - self.merged.keys()
+            unknown.update(t for t in others if t not in self.merged)
         fresh = list(unknown)
         sizes = dict(zip(fresh, self.sizes(fresh), strict=True))
         for i, others in rest.items():
