@@ -42,3 +42,28 @@ def null_safe(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     for name in names:
         on = on & left[name].eqNullSafe(right[name])
     return on
+
+
+def text_digest(text: Column) -> Column:
+    return F.sha2(F.encode(F.coalesce(text, F.lit("")), "UTF-8"), 256)
+
+
+def kept_rows(docs: DataFrame, verdicts: DataFrame, id_col: str, digest: Column) -> DataFrame:
+    """Rows of ``docs`` that stay, by verdicts of __id, __digest and __stays, one for each row.
+
+    Rows are found again by id and digest, wherever they are read; only keys that are dropped or
+    that repeat are looked up. Of rows with one key, at most one stays.
+    """
+    special = (
+        verdicts.groupBy("__id", "__digest")
+        .agg(F.count("*").alias("__n"), F.max("__stays").alias("__stays"))
+        .where("__n > 1 or not __stays")
+    )
+    special = staged(special, "special")
+    keyed = docs.withColumns({"__id": F.col(id_col), "__digest": digest})
+    marked = keyed.join(special, null_safe(keyed, special, ["__id", "__digest"]), "left").select(
+        *[keyed[c] for c in keyed.columns], "__n", "__stays"
+    )
+    once = marked.where(F.col("__n").isNull())
+    repeated = marked.where("__stays").dropDuplicates(["__id", "__digest"])
+    return once.unionByName(repeated).drop("__id", "__digest", "__n", "__stays")

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltlake.llm.common import SPACES, null_safe, staged
+from voltlake.llm.common import SPACES, kept_rows, null_safe, staged
 
 #: Shortest and longest chunk, in characters.
 CHUNK_MIN, CHUNK_MAX = 1024, 8192
@@ -71,16 +71,10 @@ def _split_identifiers(recipes: DataFrame, chunks: DataFrame, parts: DataFrame)
     )
 
 
-def exact_duplicates(
-    docs: DataFrame,
-    *,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    chunk_min: int = CHUNK_MIN,
-    chunk_max: int = CHUNK_MAX,
-    hash_bits: int = 64,
+def _verdicts(
+    docs: DataFrame, id_col: str, text_col: str, chunk_min: int, chunk_max: int, hash_bits: int
 ) -> DataFrame:
-    """One row per document: id, keep_id, group_size, kept, text_sha256."""
+    """__id, __sha, __row of every document with n and first of its group (null if alone)."""
     source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__source"))
     cut = _with_recipe(source, "__source", chunk_min, chunk_max, hash_bits).withColumn(
         "__sha", F.sha2(F.encode("__text", "UTF-8"), 256)
@@ -96,8 +90,8 @@ def exact_duplicates(
         .withColumn("hash", chunk_hash(F.col("chunk"), hash_bits))
     )
     chunks = parts.select("hash", "chunk").distinct()
-    clash = chunks.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    if clash:
+    clash = chunks.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+    if not clash.isEmpty():
         recipes = staged(_split_identifiers(recipes, staged(chunks, "chunks"), parts), "identified")
 
     groups = (
@@ -109,11 +103,25 @@ def exact_duplicates(
         .where("n > 1")
     )
     alone = F.col("n").isNull()
-    return recipes.join(groups, "__recipe", "left").select(
+    stays = alone | (F.col("first.__row") == F.col("__row"))
+    return recipes.join(groups, "__recipe", "left").withColumn("__stays", stays)
+
+
+def exact_duplicates(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chunk_min: int = CHUNK_MIN,
+    chunk_max: int = CHUNK_MAX,
+    hash_bits: int = 64,
+) -> DataFrame:
+    """One row per document: id, keep_id, group_size, kept, text_sha256."""
+    return _verdicts(docs, id_col, text_col, chunk_min, chunk_max, hash_bits).select(
         F.col("__id").alias(id_col),
-        F.when(alone, F.col("__id")).otherwise(F.col("first.__id")).alias("keep_id"),
+        F.when(F.col("n").isNull(), F.col("__id")).otherwise(F.col("first.__id")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
-        (alone | (F.col("first.__row") == F.col("__row"))).alias("kept"),
+        F.col("__stays").alias("kept"),
         F.col("__sha").alias("text_sha256"),
     )
 
@@ -121,25 +129,9 @@ def exact_duplicates(
 def without_exact_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
-
-    Rows are found again by id and digest. Where rows repeat under one id, one of them stays.
-    """
-    verdicts = staged(exact_duplicates(docs, id_col=id_col, text_col=text_col), "verdicts")
-    special = (
-        verdicts.groupBy(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha"))
-        .agg(F.count("*").alias("__n"), F.max("kept").alias("__stays"))
-        .where("__n > 1 or not __stays")
-    )
-    keyed = docs.withColumns(
-        {
-            "__id": F.col(id_col),
-            "__sha": F.sha2(F.encode(normalised(F.col(text_col)), "UTF-8"), 256),
-        }
-    )
-    marked = keyed.join(special, null_safe(keyed, special, ["__id", "__sha"]), "left").select(
-        *[keyed[c] for c in keyed.columns], "__n", "__stays"
+    """The rows of ``docs`` that stay, with all their columns."""
+    verdicts = _verdicts(docs, id_col, text_col, CHUNK_MIN, CHUNK_MAX, 64).select(
+        "__id", F.col("__sha").alias("__digest"), "__stays"
     )
-    once = marked.where(F.col("__n").isNull())
-    repeated = marked.where("__stays").dropDuplicates(["__id", "__sha"])
-    return once.unionByName(repeated).drop("__id", "__sha", "__n", "__stays")
+    digest = F.sha2(F.encode(normalised(F.col(text_col)), "UTF-8"), 256)
+    return kept_rows(docs, verdicts, id_col, digest)

@@ -8,7 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from voltlake.llm.common import read_table
+from voltlake.llm.decontaminate import contamination
 from voltlake.llm.exact_dedup import exact_duplicates
+from voltlake.llm.language import identify_languages
+from voltlake.llm.mixing import mix
+from voltlake.llm.pii import find_personal_data, fit_tagger
+from voltlake.llm.simhash import simhash_groups
+from voltlake.llm.substring_dedup import remove_repeats
 from voltlake.llm.token_count import count_tokens
 from voltlake.llm.url_filter import judge_urls
 
@@ -23,22 +29,58 @@ URL_RULES = [
 ]
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read_table(spark, sf_dir, "documents"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(read_table(spark, sf_dir, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
     return judge_urls(read_table(spark, sf_dir, "pages"), rules)
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return find_personal_data(docs, fit_tagger(docs))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return count_tokens(read_table(spark, sf_dir, "documents"), vocabulary, limit=2048)
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_url_filter, op5_exact_dedup, op10_token_counts)
+    f.__name__: f
+    for f in (
+        op1_mix_sources,
+        op2_language_id,
+        op3_url_filter,
+        op4_simhash,
+        op5_exact_dedup,
+        op6_decontaminate,
+        op8_substring_dedup,
+        op9_personal_data,
+        op10_token_counts,
+    )
 }
 
 _URL = r"regexp_extract(url, '://([^/?#]*)([^?#]*)', {})"
@@ -72,4 +114,49 @@ ORACLE: dict[str, str] = {
           FROM texts)
         SELECT doc_id, keep_id, group_size, r = 1 AS kept, sha256(t) AS text_sha256
         FROM ranked""",
+    "op6_decontaminate": r"""
+        WITH d AS (
+          SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+          FROM documents),
+        b AS (
+          SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+          FROM benchmark),
+        windows AS (
+          SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i : i + 9], ' ') AS s
+          FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+        places AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM d),
+        cut AS (
+          SELECT r, p, n, array_to_string(w[p : p + n - 1], ' ') AS s
+          FROM places, (SELECT DISTINCT n FROM windows) WHERE p + n - 1 <= len(w)),
+        matches AS (SELECT r, p, n, item_id FROM cut JOIN windows USING (n, s)),
+        covered AS (
+          SELECT r, count(DISTINCT q) AS n_hit
+          FROM (SELECT r, unnest(range(p, p + n)) AS q FROM (SELECT DISTINCT r, p, n FROM matches)) GROUP BY r),
+        named AS (
+          SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+          FROM (SELECT DISTINCT r, item_id::VARCHAR AS i FROM matches) GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+               coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)""",
+    "op8_substring_dedup": r"""
+        WITH d AS (
+          SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+          FROM documents),
+        windows AS (
+          SELECT r, p, md5(array_to_string(w[p : p + 34], ' ')) AS s
+          FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)),
+        repeated AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
+        removed AS (
+          SELECT DISTINCT r, unnest(range(p, p + 35)) AS q
+          FROM windows WHERE s IN (SELECT s FROM repeated)),
+        words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS q FROM d),
+        kept AS (
+          SELECT r, string_agg(word, ' ' ORDER BY q) AS t, count(*) AS n
+          FROM words ANTI JOIN removed USING (r, q) GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+               sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (r)""",
 }

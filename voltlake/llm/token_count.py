@@ -31,6 +31,8 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 DOUBTFUL = r"[^\x09\x0A\x0D\x20-\x7E\xA0-\u02FF]"
 #: Encodings of merged pre-tokens that a worker remembers.
 REMEMBERED = 1 << 19
+#: Texts counted together.
+SLICE = 256
 
 
 class Counter49k:
@@ -125,9 +127,11 @@ def count_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = counter_of(vocabulary)
         for batch in batches:
-            sizes = pa.array(counter.count(batch["text"].to_pylist()), pa.int64())
+            sizes: list[int] = []
+            for at in range(0, batch.num_rows, SLICE):  # few texts' words are held at a time
+                sizes += counter.count(batch["text"].slice(at, SLICE).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch["id"], batch["n_bytes"], sizes], ["id", "n_bytes", "n_tokens"]
+                [batch["id"], batch["n_bytes"], pa.array(sizes, pa.int64())], ["id", "n_bytes", "n_tokens"]
             )
 
     text = F.coalesce(text_col, F.lit(""))
