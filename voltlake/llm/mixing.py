@@ -5,13 +5,12 @@ average. Whole takes are certain, the fraction left is an inclusion probability.
 method moves these probabilities inside the unit cube along directions in which neither the
 number of documents nor the number of words changes, until they are 0 or 1. With two totals to
 hold, any three documents leave such a direction: for sizes a, b, c it is (b - c, c - a, a - b).
-What is left, two documents at most, is the landing problem: the choice that costs least
-balance among those that keep the probabilities.
+The flight leaves two documents at most. With a few of all sizes that were kept back they are
+the landing problem: of the choices that come nearest to both totals one is drawn.
 
 Sources are flown in buckets of bounded size, however many documents they have. Each bucket
-leaves two documents at most; these are flown again, until one bucket a source is left. Long
-documents move first, so that short ones are left to the landing. Random numbers come from
-the seed, the source and the bucket, so reruns agree on any layout of the rows.
+leaves two documents at most; these are flown again, until one bucket a source is left. Random
+numbers come from the seed, the source and the bucket, so reruns agree on any layout of the rows.
 
 Defined cases: a null text has no words; null is a source of its own, after all others; repeated
 rows are drawn one by one; a document without words may be taken and adds nothing; extra columns
@@ -21,16 +20,18 @@ are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import random
-from collections.abc import Iterable
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltlake.llm.common import WORD, staged, text_digest
 
 #: Documents flown together.
 BUCKET_ROWS = 8192
+#: Documents kept back for the landing, which weighs all 2^(these + 2) choices.
+LANDING_ROWS = 14
 #: Distance from 0 or 1 below which a probability has arrived.
 ARRIVED = 1e-9
 
@@ -62,20 +63,42 @@ def flight(sizes: list[float], probs: list[float], draw: random.Random) -> list[
 
 
 def landing(sizes: list[float], probs: list[float], draw: random.Random) -> list[float]:
-    """The documents that a flight left, two at most, set to 0 or 1.
+    """The few documents that are left, set to 0 or 1.
 
-    Of all distributions that keep both probabilities, the one whose draws lie closest to the
-    expected words: both follow one uniform number, against each other.
+    All choices are weighed. Of those that come nearest to the words, and then the documents,
+    expected of them, one is drawn by how likely the probabilities make it.
     """
     out = list(probs)
     left = [i for i, p in enumerate(out) if 0 < p < 1]
-    u = draw.random()
-    at = 0.0
-    for i in left:  # systematic: what one takes of the unit interval, the next leaves free
-        out[i], at = float((u - at) % 1.0 < out[i]), at + out[i]
+    if not left:
+        return out
+    p, size = np.array([out[i] for i in left]), np.array([sizes[i] for i in left])
+    choices = (np.arange(1 << len(left))[:, None] >> np.arange(len(left))) & 1
+    apart = np.abs(choices @ size - p @ size) / max(1.0, size.mean()) + 0.25 * np.abs(choices.sum(1) - p.sum())
+    near = np.argsort(apart, kind="stable")[: max(1, len(choices) // 1024)]
+    likely = np.exp(np.where(choices[near] == 1, np.log(p), np.log1p(-p)).sum(1))
+    taken = choices[draw.choices(near.tolist(), likely.tolist())[0]]
+    for i, choice in zip(left, taken.tolist(), strict=True):
+        out[i] = float(choice)
     return out
 
 
+def settle(sizes: list[float], probs: list[float], draw: random.Random) -> list[float]:
+    """A flight and the landing.
+
+    Some documents of all sizes are kept back for the landing, or a long document that the flight
+    leaves could not be made up for. ``sizes`` are in order.
+    """
+    open_ = [i for i, p in enumerate(probs) if 0 < p < 1]
+    kept_back = {open_[k * len(open_) // LANDING_ROWS] for k in range(LANDING_ROWS)} if open_ else set()
+    moving = [i for i in open_ if i not in kept_back]
+    out = list(probs)
+    flown = flight([sizes[i] for i in moving], [probs[i] for i in moving], draw)
+    for i, p in zip(moving, flown, strict=True):
+        out[i] = p
+    return landing(sizes, out, draw)
+
+
 def targets(sizes: DataFrame, share: float, most: float, weights: tuple[int, ...]) -> DataFrame:
     """source, source_size, n, target: one row for each source of ``sizes`` (source, size).
 
@@ -115,34 +138,24 @@ def fly(pending: DataFrame, level: int, buckets, seed: int, last: bool) -> DataF
         rows = rows.sort_values(["size", "key"], ascending=[False, True], kind="stable")
         draw = random.Random(f"{seed}/{level}/{rows['source'].iloc[0]!r}/{rows['bucket'].iloc[0]}")
         sizes = rows["size"].astype(float).tolist()
-        probs = flight(sizes, rows["p"].tolist(), draw)
-        return rows.assign(p=landing(sizes, probs, draw) if last else probs)
+        return rows.assign(p=(settle if last else flight)(sizes, rows["p"].tolist(), draw))
 
     bucket = F.pmod(F.xxhash64("key", F.lit(level)), buckets)
     keyed = pending.withColumn("bucket", bucket)
     return keyed.groupBy("source", "bucket").applyInPandas(run, keyed.schema).drop("bucket")
 
 
-def mix(
-    docs: DataFrame,
-    *,
-    share: float = 1.5,
-    most: float = 2.0,
-    weights: tuple[int, ...] = (3, 1, 2),
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    seed: int = 42,
-    bucket_rows: int = BUCKET_ROWS,
+def _drawn(
+    docs: DataFrame, share: float, most: float, weights: tuple[int, ...], id_col: str, text_col: str,
+    source_col: str, seed: int, bucket_rows: int,
 ) -> DataFrame:
-    """id, size, source_size, target, taken and times of every document."""
-    text = F.col(text_col)
+    """id (as text), key, size, source_size, target, taken and times of every document."""
     sized = staged(
         docs.select(
             F.col(id_col).cast("string").alias("id"),  # pandas has no long with nulls
             F.col(source_col).alias("source"),
-            F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.sha2(F.concat_ws("/", F.col(id_col).cast("string"), text_digest(text)), 256).alias("key"),
+            F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            row_digest(id_col, text_col).alias("key"),
         ),
         "sizes",
     )
@@ -153,26 +166,74 @@ def mix(
         "id", "source", "size", "key", "n", F.floor("rate").cast("int").alias("whole"), (F.col("rate") % 1).alias("p")
     )
     largest = goals.agg(F.max("n")).first()[0] or 0
+    half = bucket_rows // 2  # documents in a bucket on average, of which a flight leaves two
     done, level = [], 0
     while True:
         last = largest <= bucket_rows
-        # Buckets hold bucket_rows / 2 documents on average; after a level two a bucket are left.
-        buckets = F.lit(1) if last else F.ceil(F.col("n") / F.lit(bucket_rows // 2))
+        buckets = F.lit(1) if last else F.ceil(F.col("n") / half)
         flown = staged(fly(pending, level, buckets, seed, last), "flight")
         done.append(flown if last else flown.where("p = 0 or p = 1"))
         if last:
             break
-        pending = flown.where("p > 0 and p < 1").withColumn("n", F.ceil(F.col("n") / F.lit(bucket_rows // 2)) * 2)
-        largest, level = -(-largest // (bucket_rows // 2)) * 2, level + 1
+        pending = flown.where("p > 0 and p < 1").withColumn("n", F.ceil(F.col("n") / half) * 2)
+        largest, level = -(-largest // half) * 2, level + 1
     settled = done[0]
     for more in done[1:]:
         settled = settled.unionByName(more)
     times = F.col("whole") + F.col("p").cast("int")
     return settled.join(aimed.drop("n", "rate"), F.col("source").eqNullSafe(F.col("goal"))).select(
-        F.col("id").cast(docs.schema[id_col].dataType).alias(id_col),
-        "size",
-        "source_size",
-        "target",
-        (F.col("size") * times).cast("long").alias("taken"),
-        times.alias("times"),
+        "id", "key", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken"), times.alias("times")
+    )
+
+
+def row_digest(id_col: str, text_col: str) -> Column:
+    """Tells rows apart that differ in id or text."""
+    id_text = F.coalesce(F.col(id_col).cast("string"), F.lit("-"))
+    return F.sha2(F.concat_ws("/", id_text, text_digest(F.col(text_col))), 256)
+
+
+def mix(
+    docs: DataFrame,
+    *,
+    share: float = 1.5,
+    most: float = 2.0,
+    weights: tuple[int, ...] = (3, 1, 2),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    seed: int = 42,
+    bucket_rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """id, size, source_size, target, taken and times of every document."""
+    drawn = _drawn(docs, share, most, weights, id_col, text_col, source_col, seed, bucket_rows)
+    return drawn.select(
+        F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "size", "source_size", "target", "taken", "times"
+    )
+
+
+def mixed_rows(
+    docs: DataFrame,
+    *,
+    share: float = 1.5,
+    most: float = 2.0,
+    weights: tuple[int, ...] = (3, 1, 2),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    seed: int = 42,
+    bucket_rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """The documents that the mix takes, with all their columns, mix_times and mix_words.
+
+    Rows that are equal in id and text are given once, with the times of all.
+    """
+    drawn = _drawn(docs, share, most, weights, id_col, text_col, source_col, seed, bucket_rows)
+    taken = staged(
+        drawn.groupBy(F.col("key").alias("__key"))
+        .agg(F.count("*").alias("__n"), F.sum("times").alias("mix_times"), F.sum("taken").alias("mix_words"))
+        .where("mix_times > 0"),
+        "taken",
     )
+    found = docs.withColumn("__key", row_digest(id_col, text_col)).join(taken, "__key")
+    once = found.where("__n = 1").unionByName(found.where("__n > 1").dropDuplicates(["__key"]))
+    return once.drop("__key", "__n")

@@ -13,6 +13,7 @@ from voltlake.llm.exact_dedup import exact_duplicates
 from voltlake.llm.language import identify_languages
 from voltlake.llm.mixing import mix
 from voltlake.llm.pii import find_personal_data, fit_tagger
+from voltlake.llm.quality import classify_quality
 from voltlake.llm.simhash import simhash_groups
 from voltlake.llm.substring_dedup import remove_repeats
 from voltlake.llm.token_count import count_tokens
@@ -54,6 +55,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents"))
 
@@ -77,6 +82,7 @@ QUERIES: dict[str, Query] = {
         op4_simhash,
         op5_exact_dedup,
         op6_decontaminate,
+        op7_quality,
         op8_substring_dedup,
         op9_personal_data,
         op10_token_counts,
