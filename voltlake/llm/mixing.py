@@ -31,7 +31,7 @@ from voltlake.llm.common import WORD, staged, text_digest
 #: Documents flown together.
 BUCKET_ROWS = 8192
 #: Documents kept back for the landing, which weighs all 2^(these + 2) choices.
-LANDING_ROWS = 14
+LANDING_ROWS = 16
 #: Distance from 0 or 1 below which a probability has arrived.
 ARRIVED = 1e-9
 
@@ -86,11 +86,17 @@ def landing(sizes: list[float], probs: list[float], draw: random.Random) -> list
 def settle(sizes: list[float], probs: list[float], draw: random.Random) -> list[float]:
     """A flight and the landing.
 
-    Some documents of all sizes are kept back for the landing, or a long document that the flight
-    leaves could not be made up for. ``sizes`` are in order.
+    Some documents are kept back for the landing, or a long document that the flight leaves could
+    not be made up for: half of them at equal steps of the words, half at equal steps of the
+    rows, so that there are long and short ones. ``sizes`` fall.
     """
     open_ = [i for i, p in enumerate(probs) if 0 < p < 1]
-    kept_back = {open_[k * len(open_) // LANDING_ROWS] for k in range(LANDING_ROWS)} if open_ else set()
+    kept_back: set[int] = set()
+    if open_:
+        half = LANDING_ROWS // 2
+        words = np.cumsum([sizes[i] for i in open_])
+        by_words = np.searchsorted(words, words[-1] * np.arange(half) / half)
+        kept_back = {open_[k] for k in by_words} | {open_[k * len(open_) // half] for k in range(half)}
     moving = [i for i in open_ if i not in kept_back]
     out = list(probs)
     flown = flight([sizes[i] for i in moving], [probs[i] for i in moving], draw)
