@@ -193,11 +193,15 @@ def test_return_type_is_checked(spark):
 
 
 def test_truthiness(spark):
-    df = spark.createDataFrame(
-        [("true",), ("false",), ("0",), ("1",), ("",), ("[]",), (None,), ("yes",)], "t string"
-    )
-    got = [r[0] for r in df.select(truthy(F.col("t"))).collect()]
-    assert got == [True, False, False, True, False, False, False, True]
+    """By the value's kind: any text but the empty one is true, also ``false`` and ``0``."""
+    cases = {
+        "true": True, "false": False, "0": False, "0.0": False, "-1": True, "0.5": True,
+        '""': False, '"false"': True, '"0"': True, '" "': True, "null": False,
+        "[]": False, "[0]": True, "{}": False, '{"a":0}': True, None: False,
+    }
+    df = spark.createDataFrame([(c,) for c in cases], "t string")
+    got = [r[0] for r in df.select(truthy(F.parse_json("t"))).collect()]
+    assert got == list(cases.values())
 
 
 def test_spread_records(spark):

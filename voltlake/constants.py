@@ -42,8 +42,4 @@ STATUS_NUMBERS = {"AVAILABLE": 0.0, "RESERVED": 0.5, "CHARGING": 1.0, "OUTOFORDE
 # What a key gets when a record lacks it, the snapshot name, the archive name.
 MISSING = "-"
 SNAPSHOT_NAME = r"((\d{8}_\d{6})_cp_data_cities)"
-SNAPSHOT_TIME_FORMAT = "yyyyMMdd_HHmmss"
 ARCHIVE_PREFIX = "archive_cp_data_cities_"
-
-# Text form of a query time inside the status keys.
-KEY_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"

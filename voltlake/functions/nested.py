@@ -82,11 +82,19 @@ def computed_once(array: Column) -> Column:
     return F.when(array.isNotNull(), array)
 
 
-def truthy(text: Column) -> Column:
-    """Truth of a JSON value given as text; absent, null, empty, zero and false are false."""
-    return F.coalesce(
-        ~F.lower(F.trim(text)).isin("", "false", "0", "0.0", "null", "[]", "{}"), F.lit(False)
+def truthy(value: Column) -> Column:
+    """Truth of a variant by its kind: text, lists and objects are true unless empty, so the text
+    ``false`` is true; numbers unless zero. Absent and null are false."""
+    kind, text = F.schema_of_variant(value), value.cast("string")
+    truth = (
+        F.when(kind == "VOID", F.lit(False))
+        .when(kind == "BOOLEAN", text == "true")
+        .when(kind == "STRING", text != "")
+        .when(kind.startswith("ARRAY"), text != "[]")
+        .when(kind.startswith("OBJECT"), text != "{}")
+        .otherwise(text.try_cast("double") != 0)
     )
+    return F.coalesce(truth, F.lit(False))
 
 
 def is_last_of_key(keys: Column) -> Column:

@@ -11,9 +11,9 @@ from voltlake.constants import (
     CITY_POI_NAMES,
     BUFFER_METRES,
     DEFAULT_BUFFER_METRES,
-    KEY_TIME_FORMAT,
     STATUS_NUMBERS,
 )
+from voltlake.functions.times import utc_text, utc_wall
 
 
 def lookup(key: Column, values: dict, default: Column | None = None) -> Column:
@@ -24,8 +24,8 @@ def lookup(key: Column, values: dict, default: Column | None = None) -> Column:
 
 
 def status_key(entity: Column, time: Column) -> Column:
-    """Key of a status row: hash of the entity id and the query time in a fixed text form."""
-    return F.md5(F.concat(entity, F.date_format(time, KEY_TIME_FORMAT)).cast("binary"))
+    """Key of a status row: hash of the entity id and the query time as UTC text."""
+    return F.md5(F.concat(entity, utc_text(time)).cast("binary"))
 
 
 def status_number(status: Column) -> Column:
@@ -51,7 +51,8 @@ def two_digit_share(part: Column, whole: Column) -> Column:
 
 
 def calendar_fields(time: Column) -> list[Column]:
-    """hour, day, ISO week, month, year and weekday (0 = Sunday)."""
+    """hour, day, ISO week, month, year and weekday (0 = Sunday), in UTC."""
+    time = utc_wall(time)
     return [
         F.hour(time).alias("hour"),
         F.dayofmonth(time).alias("day"),

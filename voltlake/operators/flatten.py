@@ -22,18 +22,21 @@ from voltlake.functions.nested import (
     record_type,
     text_of,
 )
-from voltlake.sources.snapshots import document_type
+from voltlake.functions.times import utc_time
+from voltlake.sources.snapshots import read_document
 
 
 def station_rows(documents: DataFrame, station_type: str = RECORD) -> DataFrame:
-    """One row per station over all cities: path, city_key, timestamp, station."""
-    doc = F.from_json("content", document_type(station_type))
+    """One row per station over all cities: path, city_key, timestamp, station. A city without a
+    valid time has no rows; ``quarantine_parts`` lists it."""
+    doc = read_document(F.col("content"), station_type)
     cities = documents.select("path", F.explode(doc).alias("city_key", "city_value"))
+    time, stations = utc_time(F.col("city_value.timestamp")), F.col("city_value.data")
     return cities.select(
         "path",
         "city_key",
-        F.try_to_timestamp(F.col("city_value.timestamp")).alias("timestamp"),
-        F.explode(computed_once(F.col("city_value.data"))).alias("station"),
+        time.alias("timestamp"),
+        F.explode(F.when(time.isNotNull(), stations)).alias("station"),
     ).where(F.col("station").isNotNull())
 
 
@@ -52,17 +55,18 @@ def _listed_stations(point_type: str) -> Column:
     station = f"struct<id:string,evses:array<{point_type}>>"
 
     def of_city(entry: Column) -> Column:
+        return let(utc_time(entry["value"]["timestamp"]), lambda time: timed(entry, time))
+
+    def timed(entry: Column, time: Column) -> Column:
         stations = F.filter(entry["value"]["data"], lambda s: s.isNotNull())
         return F.transform(
-            F.coalesce(stations, F.array().cast(f"array<{station}>")),
+            F.coalesce(F.when(time.isNotNull(), stations), F.array().cast(f"array<{station}>")),
             lambda s: F.struct(
-                s["id"].alias("id"),
-                F.try_to_timestamp(entry["value"]["timestamp"]).alias("timestamp"),
-                s["evses"].alias("evses"),
+                s["id"].alias("id"), time.alias("timestamp"), s["evses"].alias("evses")
             ),
         )
 
-    doc = F.from_json("content", document_type(station))
+    doc = read_document(F.col("content"), station)
     return F.flatten(F.transform(F.map_entries(doc), of_city))
 
 

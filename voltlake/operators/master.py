@@ -35,7 +35,7 @@ def station_master(documents: DataFrame, flatten: bool = True) -> DataFrame:
         text_of(place["longitude"]).try_cast("double").alias("longitude"),
         text_of(operator["name"], MISSING).alias("operator_name"),
         text_of(operator["hotline"], MISSING).alias("operator_hotline"),
-        truthy(text_of(opening["twentyfourseven"])).alias("open_24_7"),
+        truthy(opening["twentyfourseven"]).alias("open_24_7"),
     ]
     if not flatten:
         columns.append(text_of(opening["regular_hours"], MISSING).alias("opening_times_expanded"))

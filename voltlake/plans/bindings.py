@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from voltlake.constants import CITIES
 from voltlake.functions.geo import xy
+from voltlake.functions.times import utc_instant, wall_text
 from voltlake.operators.poi import prepare_pois
 from voltlake.operators.spatial import match_pois
 from voltlake.plans.warehouse import (
@@ -24,7 +25,7 @@ from voltlake.plans.warehouse import (
     build_tables,
     load_warehouse,
 )
-from voltlake.runtime import scratch_path, use_utc
+from voltlake.runtime import scratch_path
 from voltlake.sources.snapshots import scan_snapshots
 
 EVENTS_PER_SNAPSHOT = 1000
@@ -45,7 +46,7 @@ class Inputs:
     no data is."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = use_utc(spark)
+        self.spark = spark
         self.sf_dir = sf_dir
         self._tables: dict[str, DataFrame] = {}
         self._folders: dict[str, str] = {}
@@ -81,7 +82,7 @@ class Inputs:
             self._status(F.col("event_type")).alias("status_cp"),
             F.concat(F.lit("CP"), F.col("user_id")).alias("id_cp"),
             F.get_json_object("props", "$.k").alias("parkingsensor_status"),
-            F.col("ts").cast("timestamp").alias("ts"),
+            utc_instant(F.col("ts")).alias("ts"),
         )
 
     def raw_status_connectors(self) -> DataFrame:
@@ -91,7 +92,7 @@ class Inputs:
             F.concat(F.lit("C"), "user_id", F.lit("-"), F.col("event_id") % 2).alias(
                 "id_connector"
             ),
-            F.col("ts").cast("timestamp").alias("ts"),
+            utc_instant(F.col("ts")).alias("ts"),
         )
 
     def raw_charging_stations(self) -> DataFrame:
@@ -282,18 +283,19 @@ class Inputs:
         )
         city = F.concat(
             F.lit('"'), "city", F.lit('":{"timestamp":"'),
-            F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit('","data":['),
+            wall_text(F.col("ts")), F.lit('","data":['),
             F.array_join(F.transform("stations", lambda s: s["json"]), ","), F.lit("]}"),
         )
         documents = cities.groupBy("snapshot_no").agg(
             F.sort_array(F.collect_list(F.struct("city", city.alias("json")))).alias("cities")
         )
-        polled = F.timestamp_seconds(
-            F.unix_timestamp(F.lit("2024-01-01 00:00:00")) + F.col("snapshot_no") * 600
+        polled = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(
+            mins=(F.col("snapshot_no") * 10).cast("int")
         )
         return documents.select(
             F.concat(
-                F.date_format(polled, "yyyyMMdd_HHmmss"), F.lit("_cp_data_cities")
+                F.translate(F.substring(polled.cast("string"), 1, 19), " -:", "_"),
+                F.lit("_cp_data_cities"),
             ).alias("path"),
             F.concat(
                 F.lit("{"), F.array_join(F.transform("cities", lambda c: c["json"]), ","),
@@ -334,7 +336,7 @@ class Inputs:
 
     def files(self) -> DataFrame:
         """The snapshot files, scanned."""
-        return scan_snapshots(self.spark, self.snapshot_folder(), SNAPSHOT_PATTERN)
+        return scan_snapshots(self.spark, self.snapshot_folder(), SNAPSHOT_PATTERN, recursive=True)
 
     def documents(self, split_listing: bool = False) -> DataFrame:
         """The same snapshots from a compacted table, many per file."""

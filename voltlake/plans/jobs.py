@@ -53,7 +53,9 @@ def process_snapshots(
     target: str,
     *,
     archive: str | None = None,
+    archive_name: str | None = None,
     pattern: str = "*.json",
+    recursive: bool = False,
     output_format: str = "csv",
 ) -> dict[str, str]:
     """Master data of the last snapshot and the status of all of them; optionally the archive.
@@ -62,12 +64,12 @@ def process_snapshots(
     the shared folder. Returns the written paths by staging table.
     """
     parsed = scratch_path(spark, "status")
-    status_table(scan_snapshots(spark, source, pattern)).write.parquet(parsed)
+    status_table(scan_snapshots(spark, source, pattern, recursive)).write.parquet(parsed)
     flat = dict(
         zip(
             FLAT_FOLDERS,
             [
-                *master_data(latest_snapshot(spark, source, pattern)),
+                *master_data(latest_snapshot(spark, source, pattern, recursive)),
                 *split_status(spark.read.parquet(parsed)),
             ],
         )
@@ -78,7 +80,9 @@ def process_snapshots(
         write_table(observed, paths[table], output_format)
         log.info("%s: %s", table, shape.get)
     if archive is not None:
-        archive_snapshots(spark, source, archive, pattern)
+        archive_snapshots(
+            spark, source, archive, pattern, name=archive_name, recursive=recursive
+        )
     return paths
 
 
@@ -103,7 +107,7 @@ def match_files(
 ) -> None:
     """Station and POI files to the mapping file."""
     table = read_delimited(
-        spark, stations, STAGING["staging_charging_stations"], empty_as_null=True
+        spark, stations, STAGING["staging_charging_stations"], empty_as_null=True, multi_line=True
     )
     pairs = match_pois(
         spark.read.parquet(pois), table.withColumnRenamed("id", "id_cs"), distances, default

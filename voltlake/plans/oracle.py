@@ -467,6 +467,12 @@ ORACLE: dict[str, str] = {
     "quarantine": with_(EVENTS)
     + "SELECT DISTINCT snapshot AS path, true AS readable FROM ev UNION ALL "
     "SELECT 'page ' || page_id, false FROM pages",
+    "quarantine_parts": with_(EVENTS)
+    + "SELECT path, city, CAST(station AS INTEGER) AS station, reason FROM "
+    "(SELECT DISTINCT snapshot AS path FROM ev), (VALUES ('broken', NULL, 'city'), "
+    "('late', NULL, 'time'), ('odd', 0, 'station'), ('odd', 1, 'points')) "
+    "AS parts(city, station, reason) "
+    "UNION ALL SELECT 'page ' || page_id, NULL, NULL, 'document' FROM pages",
     "stream_intake": ALL_STATUS,
     "explode_children": with_(EVENTS) + "SELECT snapshot, id_cs, event_id AS uid FROM evt",
     "dynamic_columns": with_(EVENTS)

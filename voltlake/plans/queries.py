@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltlake.functions.geo import to_utm32, vertices
+from voltlake.functions.times import utc_wall
 from voltlake.functions.values import buffer_metres, poi_city_name, status_number
 from voltlake.operators import flatten, master, quality, utilization
 from voltlake.operators import poi as pois
@@ -35,7 +36,7 @@ def query(function: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFra
 
 def ntz(column: str) -> Column:
     """UTC wall time, the form the given tables use."""
-    return F.col(column).cast("timestamp_ntz").alias(column)
+    return utc_wall(F.col(column)).alias(column)
 
 
 def with_ntz(df: DataFrame) -> DataFrame:
@@ -69,7 +70,7 @@ def raw_snapshot_scan(i: Inputs) -> DataFrame:
 @query
 def snapshot_time(i: Inputs) -> DataFrame:
     time = snapshots.snapshot_time(F.col("path")).cast("timestamp_ntz")
-    listed = snapshots.list_snapshots(i.spark, i.snapshot_folder(), SNAPSHOT_PATTERN)
+    listed = snapshots.list_snapshots(i.spark, i.snapshot_folder(), SNAPSHOT_PATTERN, recursive=True)
     return listed.select(snapshot(), time.alias("polled_at"))
 
 
@@ -91,7 +92,7 @@ def station_rows_ts(i: Inputs) -> DataFrame:
 
 @query
 def latest_snapshot(i: Inputs) -> DataFrame:
-    latest = snapshots.latest_snapshot(i.spark, i.snapshot_folder(), SNAPSHOT_PATTERN)
+    latest = snapshots.latest_snapshot(i.spark, i.snapshot_folder(), SNAPSHOT_PATTERN, recursive=True)
     points = master.charging_point_master(latest)
     return bind_by_name(points, STAGING["staging_charging_points"]).select("id_cs", "id", "uid")
 
@@ -99,7 +100,8 @@ def latest_snapshot(i: Inputs) -> DataFrame:
 @query
 def raw_archive(i: Inputs) -> DataFrame:
     path = archive_snapshots(
-        i.spark, i.snapshot_folder(), scratch_path(i.spark, "archive"), SNAPSHOT_PATTERN
+        i.spark, i.snapshot_folder(), scratch_path(i.spark, "archive"), SNAPSHOT_PATTERN,
+        recursive=True,
     )
     day = F.col("snapshot_date").cast("string").alias("snapshot_date")
     doc = F.from_json("content", "map<string,string>")
@@ -115,10 +117,26 @@ def quarantine(i: Inputs) -> DataFrame:
     return snapshots.split_payloads(answers).select("path", "readable")
 
 
+@query
+def quarantine_parts(i: Inputs) -> DataFrame:
+    """Snapshots that hold a broken city, one without a time and one with odd stations."""
+    odd = (
+        '{"broken":5,"late":{"timestamp":"never","data":[{"id":"1"}]},'
+        '"odd":{"timestamp":"2024-01-01 00:00:00","data":["x",{"id":"1","evses":"none"}]},'
+    )
+    damaged = F.concat(F.lit(odd), F.substring("content", F.lit(2), F.length("content")))
+    answers = i.documents().select(snapshot().alias("path"), damaged.alias("content"))
+    pages = i.table("pages").select(
+        F.concat(F.lit("page "), "page_id").alias("path"), F.col("html").alias("content")
+    )
+    parts = snapshots.quarantine_parts(answers.unionByName(pages))
+    return parts.select("path", "city", "station", "reason")
+
+
 @query
 def stream_intake(i: Inputs) -> DataFrame:
     target, checkpoint = scratch_path(i.spark, "intake"), scratch_path(i.spark, "progress")
-    take_in(i.spark, i.snapshot_folder(), target, checkpoint, pattern=SNAPSHOT_PATTERN)
+    take_in(i.spark, i.snapshot_folder(), target, checkpoint, pattern=SNAPSHOT_PATTERN, recursive=True)
     return _both_levels(*taken_in(i.spark, target))
 
 
@@ -222,7 +240,7 @@ def connector_status(i: Inputs) -> DataFrame:
 
 @query
 def status_all_snapshots(i: Inputs) -> DataFrame:
-    return _both_levels(*status_ops.extract_status(i.documents(), "both"))
+    return with_ntz(status_ops.status_rows(i.documents()))
 
 
 # ---- delimited files ---------------------------------------------------------------------
@@ -371,7 +389,7 @@ def load_from_files(i: Inputs) -> DataFrame:
     """Snapshot files to flat files to the checked star schema: rows per table."""
     base = scratch_path(i.spark, "load")
     flat = jobs.process_snapshots(
-        i.spark, i.snapshot_folder(), f"{base}/flat", pattern=SNAPSHOT_PATTERN
+        i.spark, i.snapshot_folder(), f"{base}/flat", pattern=SNAPSHOT_PATTERN, recursive=True
     )
     jobs.prepare_poi_files(i.poi_features, f"{base}/poi")
     jobs.match_files(

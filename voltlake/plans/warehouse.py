@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltlake.functions.times import utc_day, utc_time
 from voltlake.functions.values import calendar_fields, status_key
 from voltlake.operators.quality import (
     QualityRule,
@@ -169,7 +170,7 @@ def _laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Facts ranged by day, id and time: a heavy day or id spreads over several tasks."""
     if spec.day_of is None:
         return df
-    dated = df.withColumn(DAY, F.to_date(spec.day_of))
+    dated = df.withColumn(DAY, utc_day(F.col(spec.day_of)))
     keys = [DAY, *spec.sort_by]
     return dated.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
@@ -224,12 +225,12 @@ def load_warehouse(
 
 
 def facts_between(spark: SparkSession, table: str, start: str, end: str) -> DataFrame:
-    """Rows of a published fact with start <= query_time < end, other days unread."""
-    first, last = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
+    """Rows of a published fact with start <= query_time < end (UTC), other days unread."""
+    first, last = utc_time(F.lit(start)), utc_time(F.lit(end))
     return spark.table(f"{table}_by_day").where(
         (F.col("query_time") >= first)
         & (F.col("query_time") < last)
-        & F.col(DAY).between(F.to_date(first), F.to_date(last))
+        & F.col(DAY).between(utc_day(first), utc_day(last))
     ).drop(DAY)
 
 
@@ -242,6 +243,11 @@ FLAT_NAMES = {
 }
 
 
+# Tables with texts that may hold line breaks. The others are ids and numbers, their files are
+# split over tasks, and a line break there stops the read.
+FREE_TEXT = {"staging_charging_stations", "staging_charging_points", "staging_connectors"}
+
+
 def staging_from_files(
     spark: SparkSession, paths: Mapping[str, str | list[str]]
 ) -> dict[str, DataFrame]:
@@ -251,7 +257,7 @@ def staging_from_files(
     return {
         f"raw_{name}": read_delimited(
             spark, paths[name], STAGING[name],
-            names=FLAT_NAMES.get(name), empty_as_null=name in empty,
+            names=FLAT_NAMES.get(name), empty_as_null=name in empty, multi_line=name in FREE_TEXT,
         )
         for name in STAGING
     }

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import datetime
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltlake.constants import ARCHIVE_PREFIX, SNAPSHOT_NAME
-from voltlake.sources.snapshots import newest_path, scan_snapshots, snapshot_time
+from voltlake.functions.times import utc_day
+from voltlake.sources.snapshots import (
+    list_snapshots,
+    newest_path,
+    scan_snapshots,
+    snapshot_time,
+)
 
 
 def write_table(df: DataFrame, path: str, output_format: str = "csv", sep: str = ";") -> None:
@@ -26,29 +34,55 @@ def write_table(df: DataFrame, path: str, output_format: str = "csv", sep: str =
 
 
 def archive_snapshots(
-    spark: SparkSession, source: str, folder: str, pattern: str = "*.json"
+    spark: SparkSession,
+    source: str,
+    folder: str,
+    pattern: str = "*.json",
+    *,
+    name: str | None = None,
+    recursive: bool = False,
 ) -> str:
-    """Raw snapshot files into one compacted table, partitioned by day; returns its path.
+    """Raw snapshot files into a compacted table, partitioned by day; returns its path.
 
-    The table is named after the newest snapshot. Rows are gathered by day in one shuffle; the
-    rebalance hint splits a day that holds most of them and merges small ones.
+    Without a name the table is named after the newest snapshot and written whole. An archive that
+    exists under the given name gains the days it lacks, and the last day it has is written anew,
+    since it may have been cut short; files of other days are not opened. Names tell the days,
+    and the scan's own partitions, which pack many files, are written as they are: no text is
+    shuffled.
     """
-    newest = re.search(SNAPSHOT_NAME, newest_path(spark, source, pattern))
+    newest = re.search(f".*{SNAPSHOT_NAME}", newest_path(spark, source, pattern, recursive))
     if newest is None:
         raise ValueError(f"the newest file below {source} carries no snapshot time")
-    path = f"{folder}/{ARCHIVE_PREFIX}{newest[2]}"
+    path = f"{folder}/{name or ARCHIVE_PREFIX + newest[2]}"
+    day = utc_day(snapshot_time(F.col("path")))
+    files = scan_snapshots(spark, source, pattern, recursive)
+    last = _last_day(spark, path) if name else None
+    if last is not None:
+        listed = list_snapshots(spark, source, pattern, recursive).where((day >= F.lit(last)) | day.isNull())
+        wanted = [r["path"] for r in listed.collect()]  # names of new files, as for a directory listing
+        if not wanted:
+            return path
+        files = scan_snapshots(spark, wanted, pattern)
     (
-        scan_snapshots(spark, source, pattern)
-        .withColumn("snapshot_date", F.to_date(snapshot_time(F.col("path"))))
-        .hint("rebalance", "snapshot_date")
+        files.withColumn("snapshot_date", day)
         .write.mode("overwrite")
         .option("compression", "zstd")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("snapshot_date")
         .parquet(path)
     )
     return path
 
 
+def _last_day(spark: SparkSession, path: str) -> datetime.date | None:
+    """Last day of an archive; None if there is no archive. Reads the partitions' names."""
+    try:
+        days = spark.read.parquet(path).agg(F.max("snapshot_date").alias("day"))
+    except AnalysisException:
+        return None
+    return days.first()["day"]
+
+
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Archived snapshots: path, content, snapshot_date."""
     return spark.read.parquet(path)

@@ -6,11 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltlake.functions.times import utc_time
+
 
 def cast_value(value: Column, kind: T.DataType) -> Column:
-    """Text to the declared type; text that does not fit becomes null."""
+    """Text to the declared type; text that does not fit becomes null, a time without a zone is UTC."""
     if isinstance(kind, T.StringType):
         return value
+    if isinstance(kind, T.TimestampType):
+        return utc_time(value)
     return F.trim(value).try_cast(kind)
 
 
@@ -53,10 +57,13 @@ def read_delimited(
 
     Spark binds a declared CSV schema by position, so everything is read as text under the
     header's names and cast by name. Files of one folder must share one header: a file with
-    another one fails the read instead of swapping columns. ``names`` renames file columns.
+    another one fails the read instead of swapping columns, and so does a line with too few or
+    too many fields, whichever columns are asked for. ``names`` renames file columns.
+    ``multi_line`` takes line breaks inside quotes; such files are read whole by one task each.
     """
     text = spark.read.options(
-        sep=sep, header=True, quote='"', escape='"', enforceSchema=False, multiLine=multi_line
+        sep=sep, header=True, quote='"', escape='"', enforceSchema=False, multiLine=multi_line,
+        mode="FAILFAST", columnPruning=False,
     ).csv(path)
     renamed = text.withColumnsRenamed(names or {})
     return bind_by_name(empty_text(renamed, empty_as_null), schema)
