@@ -11,7 +11,7 @@ from voltlake.functions import geo
 from voltlake.functions.values import buffer_metres, poi_city_name
 from voltlake.operators import poi as pois
 from voltlake.operators import spatial
-from voltlake.operators.skew import hot_keys, skew_join
+from voltlake.operators.skew import key_pieces, skew_join
 from voltlake.schemas import table
 
 FEATURES = table("id_poi string", "poi_cat string", "geom_type string", "geometry geometry")
@@ -236,9 +236,7 @@ def test_match_equals_brute_force(spark, monkeypatch):
     rows, spots = random_case(3)
     expected = brute(rows, spots)
     assert len(expected) > 300
-    for broadcast_rows in (10**6, 0):
-        got = planar_match(spark, monkeypatch, rows, spots, broadcast_rows=broadcast_rows)
-        assert got == expected
+    assert planar_match(spark, monkeypatch, rows, spots) == expected
 
 
 def test_match_with_hot_cells_equals_brute_force(spark, monkeypatch):
@@ -246,9 +244,7 @@ def test_match_with_hot_cells_equals_brute_force(spark, monkeypatch):
     rows, spots = random_case(5)
     spots += [(1000 + i, 10.0 + i % 3, 10.0) for i in range(350)]
     rows += [(f"h{i}", "mall", "point", [[[(12.0 + i % 60, 9.0)]]]) for i in range(75)]
-    got = planar_match(
-        spark, monkeypatch, rows, spots, hot_share=0.01, hot_rows=5, broadcast_rows=0
-    )
+    got = planar_match(spark, monkeypatch, rows, spots, pairs_per_task=50)
     assert got == brute(rows, spots)
 
 
@@ -285,21 +281,32 @@ def test_match_plan_has_no_cross_join(spark):
     stations = spark.createDataFrame(
         [(i, 9.0, 50.0) for i, _, _ in spots], "id_cs int, longitude double, latitude double"
     )
-    for broadcast_rows, wanted in ((10**6, "BroadcastHashJoin"), (0, "SortMergeJoin")):
-        df = spatial.match_pois(features(spark, rows), stations, broadcast_rows=broadcast_rows)
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert wanted in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    df = spatial.match_pois(features(spark, rows), stations)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_match_offers_other_columns(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "to_utm32", lambda x, y: F.struct(x.alias("x"), y.alias("y")))
+    rows = [("n", "mall", "point", [[[(1.0, 2.0)]]])]
+    stations = spark.createDataFrame([(1, 2.0, 2.0, "x")], "id_cs int, longitude double, latitude double, poi_cat string")
+    every = spatial.match_pois(features(spark, rows), stations, columns=None)
+    assert {"id_poi", "id_cs", "poi_cat", "poi_cat_cs", "geom_type", "longitude"} <= set(every.columns)
+    some = spatial.match_pois(features(spark, rows), stations, columns=["id_cs", "poi_cat"])
+    assert [tuple(r) for r in some.collect()] == [(1, "mall")]
 
 
 # ---- hot keys ----------------------------------------------------------------------------
 
 
-def test_hot_keys_are_the_heavy_ones(spark):
-    df = spark.range(1000).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id")).alias("k"))
-    hot = hot_keys(df, ["k"], share=0.1, rows=50)
-    assert hot == (1000, [(0, 4)])
-    assert hot_keys(df, ["k"], share=0.1, rows=500) == (1000, [])
-    assert hot_keys(df.where("false"), ["k"]) == (0, [])
+def test_pieces_follow_pairs(spark):
+    left = spark.range(1000).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id")).alias("k"))
+    right = spark.range(1000).select((F.col("id") % 500).alias("k"))
+    right = right.unionByName(spark.range(98).select(F.lit(0).cast("long").alias("k")))
+    pieces = [tuple(r) for r in key_pieces(left, right, ["k"], 1000).collect()]
+    assert pieces == [(0, 13, 4)]  # 400 x 100 pairs in 40 pieces or more
+    assert key_pieces(left, right, ["k"], 40_000).count() == 0
+    assert key_pieces(left.where("false"), right, ["k"], 1).count() == 0
 
 
 def test_skew_join_equals_plain_join(spark):
@@ -307,14 +314,30 @@ def test_skew_join_equals_plain_join(spark):
     right = spark.range(200).selectExpr("if(id < 70, 0, id % 50) k", "id r")
     expected = left.join(right, "k").where("(l + r) % 3 = 0")
     condition = (F.col("l") + F.col("r")) % 3 == 0
-    for options in ({"rows": 5, "broadcast_rows": 0}, {"broadcast_rows": 0}, {}):
-        got = skew_join(
-            left, right, ["k"], condition, left_id="l", right_id="r", share=0.05, **options
-        )
+    for pairs in (1, 50, 10**6):
+        got = skew_join(left, right, ["k"], condition, left_id="l", right_id="r", pairs_per_task=pairs)
         assert got.columns == ["k", "l", "r"]
         assert got.count() == expected.count()
         assert got.exceptAll(expected).count() == 0
-    # Text has no bounded width, so it is not broadcast on a row count.
-    named = left.withColumn("name", F.col("l").cast("string"))
-    got = skew_join(named, right, ["k"], condition, left_id="l", right_id="r")
-    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_spot_is_spread_over_tasks(spark):
+    """30,000 stations and 30,000 POIs on one spot make 9 * 10^8 pairs; nothing runs while
+    the plan is built, and no combination of pieces has more than the wanted number."""
+    one = spark.range(30_000)
+    left, right = one.selectExpr("0 k", "id l"), one.selectExpr("0 k", "id r")
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    n_left, n_right = key_pieces(left, right, ["k"], 5_000_000).first()[1:]
+    assert n_left * n_right >= 180
+    before = len(tracker.getJobIdsForGroup(None))
+    skew_join(left, right, ["k"], F.lit(True), left_id="l", right_id="r")
+    shape = "id_poi string, poi_cat string, geom_type string, geometry array<array<array<struct<x:double,y:double>>>>"
+    spatial.match_pois(
+        spark.createDataFrame([], shape),
+        spark.createDataFrame([], "id_cs int, longitude double, latitude double"),
+    )
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    sizes = [0] * (n_left * n_right)
+    for i, c in left.groupBy(F.pmod(F.xxhash64("l"), F.lit(n_left))).count().collect():
+        assert c < 1.2 * 30_000 / n_left and len(sizes) > i

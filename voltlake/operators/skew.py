@@ -2,46 +2,34 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# A key is hot if it holds more than this share of its side, so a side has fewer than
-# 1 / HOT_SHARE hot keys. That bound, not the data, limits what is fetched.
-HOT_SHARE = 0.001
-# Below this many rows a key is left alone however large its share.
-HOT_ROWS = 100_000
-# A counted side of fixed-width columns up to this many rows is broadcast, some 20 MB.
-BROADCAST_ROWS = 250_000
+# Pairs that one task is meant to test.
+PAIRS_PER_TASK = 5_000_000
 
 
-def hot_keys(
-    df: DataFrame, keys: list[str], share: float = HOT_SHARE, rows: int = HOT_ROWS
-) -> tuple[int, list[tuple]]:
-    """Number of rows and (*key, pieces) of each hot key.
+def key_pieces(left: DataFrame, right: DataFrame, keys: list[str], pairs: int) -> DataFrame:
+    """*keys, n_left, n_right: into how many pieces each side of a key is cut.
 
-    Keys are counted with a partial aggregate. Any key above the share is among the 1/share
-    largest, so only those come back.
+    Only keys with more than ``pairs`` pairs of rows are listed, so that every combination of a
+    left with a right piece has about that many. Both sides are counted in one partial aggregate,
+    and the side with more rows gets more pieces, which keeps the copies few.
     """
-    seen = Observation()
-    counts = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .observe(seen, F.sum("n").alias("total"))
+    sides = left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
+        right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r"))
     )
-    largest = counts.orderBy(F.desc("n")).limit(math.ceil(1 / share)).collect()
-    total = seen.get["total"] or 0
-    limit = max(share * total, rows)
-    hot = [(*row[:-1], math.ceil(row["n"] / limit)) for row in largest if row["n"] > limit]
-    return total, hot
-
-
-def _fixed_width(df: DataFrame) -> bool:
-    return all(
-        isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType))
-        for f in df.schema
+    counts = sides.groupBy(*keys).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+    needed = F.ceil(F.col("l").cast("double") * F.col("r") / pairs)
+    n_left = F.least(F.col("l"), F.greatest(F.lit(1), F.ceil(F.sqrt(F.col("needed") * F.col("l") / F.col("r")))))
+    n_right = F.least(F.col("r"), F.ceil(F.col("needed") / F.col("n_left")))
+    return (
+        counts.where((F.col("l") > 0) & (F.col("r") > 0))
+        .withColumn("needed", needed)
+        .where("needed > 1")
+        .withColumn("n_left", n_left.cast("int"))
+        .withColumn("n_right", n_right.cast("int"))
+        .select(*keys, "n_left", "n_right")
     )
 
 
@@ -53,43 +41,17 @@ def skew_join(
     *,
     left_id: str,
     right_id: str,
-    share: float = HOT_SHARE,
-    rows: int = HOT_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """Inner join on ``keys`` and ``condition``, hot keys cut into pieces on both sides.
 
-    The left side is counted. If it is small it is broadcast, and the right side stays where
-    it is. Otherwise both are shuffled: a row of a hot key gets one of its own side's salts by
-    its id and is copied to every salt of the other side, so each pair of rows meets exactly
-    once. Rows of other keys get salt 0 and no copy. The merge hint keeps Spark from
-    broadcasting a side whose size it underrates, such as geometries made from a few columns.
-    The condition is tested inside the join; no candidate pair is written out.
+    A row of a hot key gets one of its own side's salts by its id and is copied to every salt of
+    the other side, so each pair of rows meets exactly once. Rows of other keys get salt 0 and no
+    copy. Keys are hot by the pairs they make, not by their rows. Nothing runs before an action, and
+    which side is broadcast, if any, is left to Spark's size checks. The condition is tested
+    inside the join; no candidate pair is written out.
     """
-    on_keys = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
-    rest = [F.col(f"b.{c}") for c in right.columns if c not in keys]
-    columns = [*[F.col(f"a.{c}") for c in left.columns], *rest]
-
-    n_left, hot_left = hot_keys(left, keys, share, rows)
-    if n_left <= broadcast_rows and _fixed_width(left):
-        small, large = F.broadcast(left).alias("a"), right.alias("b")
-        return large.join(small, [*on_keys, condition]).select(*columns)
-
-    _, hot_right = hot_keys(right, keys, share, rows)
-    if not hot_left and not hot_right:
-        shuffled = left.alias("a").join(right.hint("merge").alias("b"), [*on_keys, condition])
-        return shuffled.select(*columns)
-
-    pieces: dict[tuple, list[int]] = {}
-    for side, hot_side in enumerate((hot_left, hot_right)):
-        for *key, n in hot_side:
-            pieces.setdefault(tuple(key), [1, 1])[side] = n
-    schema = left.select(*keys).schema
-    for salts in ("n_left", "n_right"):
-        schema = schema.add(salts, T.IntegerType())
-    hot = F.broadcast(  # fewer than 2 / share rows
-        left.sparkSession.createDataFrame([(*k, *n) for k, n in pieces.items()], schema)
-    )
+    hot = key_pieces(left, right, keys, pairs_per_task)
 
     def salted(df: DataFrame, own: str, other: str, row_id: str, own_salt: str, other_salt: str):
         spread = df.join(hot, keys, "left")
@@ -100,9 +62,9 @@ def skew_join(
             .drop("n_left", "n_right")
         )
 
-    a = salted(left, "n_left", "n_right", left_id, "salt_left", "salt_right")
-    b = salted(right, "n_right", "n_left", right_id, "salt_right", "salt_left")
-    same_salts = [
-        F.col(f"a.{salt}") == F.col(f"b.{salt}") for salt in ("salt_left", "salt_right")
-    ]
-    return a.alias("a").join(b.hint("merge").alias("b"), [*on_keys, *same_salts, condition]).select(*columns)
+    a = salted(left, "n_left", "n_right", left_id, "salt_left", "salt_right").alias("a")
+    b = salted(right, "n_right", "n_left", right_id, "salt_right", "salt_left").alias("b")
+    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "salt_left", "salt_right"]]
+    rest = [F.col(f"b.{c}") for c in right.columns if c not in keys]
+    columns = [*[F.col(f"a.{c}") for c in left.columns], *rest]
+    return a.join(b, [*on, condition]).select(*columns)

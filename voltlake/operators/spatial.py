@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from voltlake.constants import BUFFER_METRES, DEFAULT_BUFFER_METRES
 from voltlake.functions.geo import bounds, covers_point, near_segment, segments, to_utm32
 from voltlake.functions.values import buffer_metres
-from voltlake.operators.skew import BROADCAST_ROWS, HOT_ROWS, HOT_SHARE, skew_join
+from voltlake.operators.skew import PAIRS_PER_TASK, skew_join
 from voltlake.sources.poi import AREA_KINDS
 
 LEVELS = 6
@@ -44,10 +44,11 @@ def station_points(stations: DataFrame) -> DataFrame:
     return planar.select("id_cs", F.col("p.x").alias("sx"), F.col("p.y").alias("sy"))
 
 
-def station_cells(points: DataFrame, sizes: list[float], levels: list[int]) -> DataFrame:
-    """One row per station and level."""
-    listed = F.lit(levels).cast("array<int>")
-    placed = points.withColumn("level", F.explode(listed))
+def station_cells(points: DataFrame, sizes: list[float], levels: Column) -> DataFrame:
+    """One row per station and level; ``levels`` is an array."""
+    placed = points.withColumn("levels", levels).select(
+        *points.columns, F.explode("levels").alias("level")
+    )
     size = _size_of(F.col("level"), sizes)
     return placed.withColumns(
         {"cell_x": _cell(F.col("sx"), size), "cell_y": _cell(F.col("sy"), size)}
@@ -109,19 +110,18 @@ def match_pois(
     distances: dict[str, float] = BUFFER_METRES,
     default: float = DEFAULT_BUFFER_METRES,
     *,
-    hot_share: float = HOT_SHARE,
-    hot_rows: int = HOT_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    columns: list[str] | None = ["id_poi", "id_cs"],
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
-    """Pairs id_poi, id_cs.
+    """Pairs id_poi, id_cs, or the wanted ``columns`` of both sides; None gives all of them.
 
     ``pois``: id_poi, poi_cat, geom_type, geometry in metres. ``stations``: id_cs, longitude,
     latitude in degrees. A POI listed for two cities gives its pairs once.
     """
     sizes = cell_sizes(distances, default)
     cells = poi_cells(pois, distances, default, sizes)
-    # Stations are copied only to levels that hold a POI; at most LEVELS rows come back.
-    levels = sorted(row["level"] for row in cells.select("level").distinct().collect())
+    # Stations are copied only to levels that hold a POI; a subquery of at most LEVELS numbers.
+    levels = cells.agg(F.collect_set("level")).scalar()
     pairs = skew_join(
         station_cells(station_points(stations), sizes, levels),
         cells,
@@ -129,8 +129,14 @@ def match_pois(
         _within_buffer(),
         left_id="id_cs",
         right_id="id_poi",
-        share=hot_share,
-        rows=hot_rows,
-        broadcast_rows=broadcast_rows,
+        pairs_per_task=pairs_per_task,
     )
-    return pairs.select("id_poi", "id_cs").dropDuplicates(["id_poi", "id_cs"])
+    pairs = pairs.select("id_poi", "id_cs").dropDuplicates(["id_poi", "id_cs"])
+    if columns is not None and set(columns) <= {"id_poi", "id_cs"}:
+        return pairs.select(*columns)
+    # A POI listed for two cities keeps one of its rows.
+    described = pois.dropDuplicates(["id_poi"])
+    clashing = [c for c in stations.columns if c in described.columns and c != "id_cs"]
+    named = stations.withColumnsRenamed({c: f"{c}_cs" for c in clashing})
+    full = pairs.join(described, "id_poi").join(named, "id_cs")
+    return full if columns is None else full.select(*columns)
