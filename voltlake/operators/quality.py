@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +45,11 @@ def evaluate(df: DataFrame, rules: list[QualityRule]) -> DataFrame:
 
     A null predicate counts as false, and a table without rows fails every rule.
     """
+    return df.agg(_results(rules).alias("results")).select(F.inline("results"))
+
+
+def _results(rules: list[QualityRule]) -> Column:
+    """Array of struct<rule, n_rows, n_passed, passed>, as one aggregate."""
     n_rows = F.count(F.lit(1))
     results = []
     for rule in rules:
@@ -57,18 +63,39 @@ def evaluate(df: DataFrame, rules: list[QualityRule]) -> DataFrame:
                 ((n_rows > 0) & held).alias("passed"),
             )
         )
-    return df.agg(F.array(*results).alias("results")).select(F.inline("results"))
+    return F.array(*results)
 
 
 def require(df: DataFrame, rules: list[QualityRule], table: str) -> None:
     """Raises on the first failed rule."""
-    for row in evaluate(df, rules).collect():  # one row per rule
+    _raise_failed(evaluate(df, rules).collect(), table)  # one row per rule
+
+
+def watched(df: DataFrame, rules: list[QualityRule], table: str) -> tuple[DataFrame, Callable[[], None]]:
+    """The same rows, and a check to be called after they were written: the rules are counted
+    while the write runs, with no pass of their own."""
+    if not rules:
+        return df, lambda: None
+    seen = Observation()
+    return df.observe(seen, _results(rules).alias("results")), lambda: _raise_failed(seen.get["results"], table)
+
+
+def _raise_failed(results: list[Row], table: str) -> None:
+    for row in results:
         if not row["passed"]:
             raise QualityError(
                 f"{table}: rule {row['rule']!r} failed, {row['n_passed']} of {row['n_rows']} rows"
             )
 
 
+def require_references(tables: Mapping[str, DataFrame], references: list[tuple[str, str, str, str]]) -> None:
+    """Raises if a child refers to a parent that isn't there; references as in ``schemas``."""
+    for child, column, parent, parent_column in references:
+        lost = orphans(tables[child], column, tables[parent], parent_column, {}).first()
+        if lost["n_orphan_rows"]:
+            raise QualityError(f"{child}.{column}: {lost['n_orphan_rows']} rows without {parent}")
+
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 

@@ -73,8 +73,8 @@ def points_of_station(points: DataFrame, stations: DataFrame) -> DataFrame:
     )
 
 
-def connectors_of_point(connectors: DataFrame, id_cp: str) -> DataFrame:
-    return of_id(connectors, "id_cp", id_cp)
+def connectors_of_point(connectors: DataFrame, id_cp: str | None = None) -> DataFrame:
+    return connectors if id_cp is None else of_id(connectors, "id_cp", id_cp)
 
 
 def drilldown(

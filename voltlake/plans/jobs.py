@@ -124,9 +124,14 @@ def load_files(
     *,
     specs: list[TableSpec] | None = None,
     location: str | None = None,
+    file_format: str = "csv",
+    extend: bool = False,
 ) -> dict[str, DataFrame]:
-    """The written files into the star schema."""
-    sources = staging_from_files(spark, flat)
+    """The written files into the star schema, whose main tables are written side by side."""
+    sources = staging_from_files(spark, flat, file_format)
     sources["staging_poi"] = spark.read.parquet(pois)
     sources["staging_mapping_poi_cs"] = read_delimited(spark, mapping, MAIN["mapping_poi_cs"])
-    return load_warehouse(spark, database, sources, specs or STAGING_SPECS + MAIN_SPECS, location)
+    return load_warehouse(
+        spark, database, sources, specs or STAGING_SPECS + MAIN_SPECS, location,
+        extend=extend, side_by_side=4,
+    )

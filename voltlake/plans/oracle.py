@@ -513,6 +513,9 @@ ORACLE: dict[str, str] = {
     "csv_round_trip": with_(EVENTS)
     + "SELECT 'CP' || user_id AS id_cp, status AS status_cp, "
     "coalesce(sensor, '') AS parkingsensor_status, city_ts AS ts FROM evt",
+    "text_round_trip": "SELECT CAST(conv_id AS INTEGER) AS conv_id, CAST(turn AS INTEGER) AS turn, "
+    "coalesce(role, '') AS role, coalesce(text || chr(10) || '\"quoted\"; ' || chr(13) || chr(10) "
+    "|| 'last' || chr(92) || 'n', '') AS text FROM conversations",
     "staging_cast": CONNECTOR_MASTER,
     "poi_tag_filter": with_(FEATURES)
     + f"SELECT osmid, amenity, shop FROM features WHERE {_in('amenity', POI_TAGS['amenity'])} "
@@ -534,6 +537,9 @@ ORACLE: dict[str, str] = {
     + f"SELECT id_poi, poi_cat, {RADIUS} AS radius FROM features",
     "poi_station_match": ALL_MATCHES,
     "poi_station_files": ALL_MATCHES,
+    "poi_station_pipeline": with_(matches(), STATIONS)
+    + "SELECT m.id_poi, m.id_cs, w.poi_cat, s.city FROM matches m "
+    "JOIN wanted w ON w.id_poi = m.id_poi JOIN stations s ON s.id = m.id_cs",
     "load_from_files": file_load_counts(),
     "mapping_load": CATEGORY_MATCHES,
     "fact_status_cp": with_(FACTS)
@@ -558,6 +564,12 @@ ORACLE: dict[str, str] = {
     "WHERE poi_cat IS NOT NULL",
     "star_schema_rowcounts": ROW_COUNTS,
     "warehouse_load": ROW_COUNTS,
+    "incremental_load": ALL_CTES
+    + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {s}"
+        for t, s in ALL_TABLES.items()
+        if not t.startswith("staging_")
+    ),
     "parameterised_sql": with_(STATIONS)
     + "SELECT city, count(*) AS n_stations FROM stations WHERE roaming GROUP BY city",
     "dq_row_count": ALL_CTES
@@ -600,6 +612,8 @@ ORACLE: dict[str, str] = {
     "points_of_station": with_(STATIONS, POINTS)
     + "SELECT p.id_cs, s.name, p.id AS id_cp, vehicle_type FROM points p "
     "JOIN stations s ON s.id = p.id_cs",
+    "connectors_of_point": with_(CONNECTORS)
+    + "SELECT id_cp, id AS id_connector, format, max_power FROM connectors",
     "drilldown": with_(STATIONS, POINTS, CONNECTORS, FACTS)
     + "SELECT f.id_connector, f.ts AS query_time, f.status AS status_connector, s.id AS id_cs, "
     "p.id AS id_cp, c.max_power, s.city FROM facts f JOIN connectors c ON c.id = f.id_connector "

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltlake.functions.geo import to_utm32, vertices
-from voltlake.functions.times import utc_wall
+from voltlake.functions.times import utc_day, utc_wall
 from voltlake.functions.values import buffer_metres, poi_city_name, status_number
 from voltlake.operators import flatten, master, quality, utilization
 from voltlake.operators import poi as pois
@@ -17,7 +17,7 @@ from voltlake.operators.spatial import match_pois
 from voltlake.plans import jobs, warehouse
 from voltlake.plans.bindings import SNAPSHOT_PATTERN, Inputs, city_code, inputs_of
 from voltlake.runtime import scratch_path
-from voltlake.schemas import MAIN, PRIMARY_KEYS, REFERENCES, STAGING
+from voltlake.schemas import MAIN, PRIMARY_KEYS, REFERENCES, STAGING, table
 from voltlake.sinks.files import archive_snapshots, read_archive, write_table
 from voltlake.sources import snapshots
 from voltlake.sources.delimited import bind_by_name, read_delimited
@@ -275,6 +275,19 @@ def csv_round_trip(i: Inputs) -> DataFrame:
     return with_ntz(_round_trip(i, flat, STAGING[name], warehouse.FLAT_NAMES[name]))
 
 
+@query
+def text_round_trip(i: Inputs) -> DataFrame:
+    """Texts with separators, quotes and line breaks through a delimited file."""
+    odd = F.concat("text", F.lit('\n"quoted"; \r\nlast\\n'))
+    turns = i.table("conversations").select(
+        F.col("conv_id").cast("int"), F.col("turn").cast("int"), "role", odd.alias("text")
+    )
+    path = scratch_path(i.spark, "csv")
+    write_table(turns, path)
+    schema = table("conv_id int", "turn int", "role string", "text string")
+    return read_delimited(i.spark, path, schema, multi_line=True)
+
+
 @query
 def staging_cast(i: Inputs) -> DataFrame:
     name = "staging_connectors"
@@ -375,6 +388,20 @@ def poi_station_match(i: Inputs) -> DataFrame:
     return match_pois(i.planar_pois, _stations(i))
 
 
+@query
+def poi_station_pipeline(i: Inputs) -> DataFrame:
+    """The same from files to pairs, with the wanted columns of both sides beside the ids."""
+    stations = scratch_path(i.spark, "csv")
+    write_table(i.raw_charging_stations(), stations)
+    table = read_delimited(
+        i.spark, stations, STAGING["staging_charging_stations"], empty_as_null=True, multi_line=True
+    )
+    planar = i.spark.read.parquet(_write_pois(i))
+    return match_pois(
+        planar, table.withColumnRenamed("id", "id_cs"), columns=["id_poi", "id_cs", "poi_cat", "city"]
+    )
+
+
 @query
 def poi_station_files(i: Inputs) -> DataFrame:
     """Files in, mapping file out: stations and POIs are read, matched, written, read back."""
@@ -447,7 +474,29 @@ def _published(i: Inputs, table: str) -> DataFrame:
 
 @query
 def warehouse_load(i: Inputs) -> DataFrame:
-    return quality.union_all([_row_count(_published(i, t), t) for t in [*STAGING, *MAIN]])
+    """The whole load, then the rows of each table."""
+    base = scratch_path(i.spark, "load")
+    database = "voltlake_" + base.rsplit("-", 1)[1]
+    specs = warehouse.STAGING_SPECS + warehouse.MAIN_SPECS
+    tables = warehouse.load_warehouse(i.spark, database, i.warehouse_sources(), specs, base, side_by_side=4)
+    return quality.union_all([_row_count(df, name) for name, df in tables.items()])
+
+
+@query
+def incremental_load(i: Inputs) -> DataFrame:
+    """Every other day first, then everything, twice: the facts end up as a full load's."""
+    base = scratch_path(i.spark, "load")
+    database = "voltlake_" + base.rsplit("-", 1)[1]
+    specs = warehouse.STAGING_SPECS + warehouse.MAIN_SPECS
+    every = i.warehouse_sources()
+    facts = ("raw_staging_status_cp", "raw_staging_status_connectors")
+    even = F.unix_date(utc_day(F.col("ts"))) % 2 == 0
+    half = {t: every[t].where(even) if t in facts else every[t] for t in every}
+    for sources in (half, every, every):
+        tables = warehouse.load_warehouse(
+            i.spark, database, sources, specs, base, extend=True, side_by_side=4
+        )
+    return quality.union_all([_row_count(tables[t], t) for t in MAIN])
 
 
 @query
@@ -470,16 +519,21 @@ def parameterised_sql(i: Inputs) -> DataFrame:
 # ---- data quality ------------------------------------------------------------------------
 
 
+def _loaded(i: Inputs) -> dict[str, DataFrame]:
+    """The published main tables and the staging plans."""
+    return {t: i.star_schema[t] for t in STAGING} | {t: _published(i, t) for t in MAIN}
+
+
 @query
 def dq_row_count(i: Inputs) -> DataFrame:
     return quality.union_all(
-        [quality.evaluate(df, [quality.not_empty(t)]) for t, df in i.star_schema.items()]
+        [quality.evaluate(df, [quality.not_empty(t)]) for t, df in _loaded(i).items()]
     )
 
 
 @query
 def dq_length(i: Inputs) -> DataFrame:
-    tables = i.star_schema
+    tables = _loaded(i)
     trimmed = quality.has_length("postal_code_length", "postal_code", 5)
     raw = quality.has_length("raw_postal_code_length", "postal_code", 5)
     return quality.evaluate(tables["charging_station"], [trimmed]).unionByName(
@@ -491,7 +545,7 @@ def dq_length(i: Inputs) -> DataFrame:
 def dq_range(i: Inputs) -> DataFrame:
     rule = quality.in_open_range("power_limits_connectors", "max_power", 2, 400)
     ampere = quality.in_open_range("ampere_limits_connectors", "ampere", 2, 400)
-    return quality.evaluate(i.star_schema["connector"], [rule, ampere])
+    return quality.evaluate(_loaded(i)["connector"], [rule, ampere])
 
 
 @query
@@ -504,7 +558,7 @@ def dq_quantifier(i: Inputs) -> DataFrame:
         quality.QualityRule("all_sensors", sensor),
         quality.QualityRule("any_null", "cast(null as boolean)", "any"),
     ]
-    return quality.evaluate(i.star_schema["status_chargingpoints"], rules)
+    return quality.evaluate(_loaded(i)["status_chargingpoints"], rules)
 
 
 @query
@@ -513,7 +567,7 @@ def dq_not_null(i: Inputs) -> DataFrame:
     return quality.union_all(
         [
             quality.count_nulls(df, schemas[name], name)
-            for name, df in i.star_schema.items()
+            for name, df in _loaded(i).items()
             if any(not f.nullable for f in schemas[name])
         ]
     )
@@ -521,7 +575,7 @@ def dq_not_null(i: Inputs) -> DataFrame:
 
 @query
 def dq_unique_key(i: Inputs) -> DataFrame:
-    tables = i.star_schema
+    tables = _loaded(i)
     return quality.union_all(
         [quality.key_uniqueness(tables[t], keys, t) for t, keys in PRIMARY_KEYS.items()]
     )
@@ -529,7 +583,7 @@ def dq_unique_key(i: Inputs) -> DataFrame:
 
 @query
 def dq_orphans(i: Inputs) -> DataFrame:
-    tables = i.star_schema
+    tables = _loaded(i)
     return quality.union_all(
         [
             quality.orphans(
@@ -590,6 +644,13 @@ def points_of_station(i: Inputs) -> DataFrame:
     return utilization.points_of_station(t["charging_point"], t["charging_station"])
 
 
+@query
+def connectors_of_point(i: Inputs) -> DataFrame:
+    """Connectors by the point they belong to; the points themselves, not one of them."""
+    connectors = utilization.connectors_of_point(i.star_schema["connector"])
+    return connectors.select("id_cp", "id_connector", "format", "max_power")
+
+
 @query
 def drilldown(i: Inputs) -> DataFrame:
     t = i.star_schema

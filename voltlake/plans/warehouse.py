@@ -5,8 +5,10 @@ A table is added by adding a ``TableSpec`` to a list.
 
 from __future__ import annotations
 
+import time as clock
 import uuid
 from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,9 +23,11 @@ from voltlake.operators.quality import (
     in_open_range,
     not_empty,
     require,
+    require_unique,
+    watched,
 )
-from voltlake.schemas import MAIN, STAGING
-from voltlake.sources.delimited import bind_by_name, read_delimited
+from voltlake.schemas import MAIN, PRIMARY_KEYS, STAGING
+from voltlake.sources.delimited import bind_by_name, empty_text, read_delimited
 
 Tables = Mapping[str, DataFrame]
 
@@ -40,6 +44,12 @@ class TableSpec:
     # row groups.
     day_of: str | None = None
     sort_by: tuple[str, ...] = ()
+    # Columns that tell rows apart; checked on request, and needed to add rows.
+    key: tuple[str, ...] = ()
+    # Facts grow by later loads; other tables are replaced.
+    grows: bool = False
+    # Staging tables are plans that the main tables are built from; they are not written.
+    stored: bool = True
 
 
 class LazyTables(Mapping):
@@ -123,12 +133,13 @@ def poi(t: Tables) -> DataFrame:
 
 
 def _main(name: str, build, *rules: QualityRule, **layout) -> TableSpec:
-    return TableSpec(name, MAIN[name], build, [not_empty(name), *rules], **layout)
+    key = tuple(PRIMARY_KEYS.get(name, ()))
+    return TableSpec(name, MAIN[name], build, [not_empty(name), *rules], key=key, **layout)
 
 
 def _staging(name: str) -> TableSpec:
     schema = STAGING[name]
-    return TableSpec(name, schema, lambda t: t[f"raw_{name}"], [not_empty(name)])
+    return TableSpec(name, schema, lambda t: t[f"raw_{name}"], [not_empty(name)], stored=False)
 
 
 STAGING_SPECS = [_staging(name) for name in STAGING]
@@ -136,11 +147,11 @@ STAGING_SPECS = [_staging(name) for name in STAGING]
 MAIN_SPECS = [
     _main(
         "status_chargingpoints", status_chargingpoints,
-        day_of="query_time", sort_by=("id_chargingpoint", "query_time"),
+        day_of="query_time", sort_by=("id_chargingpoint", "query_time"), grows=True,
     ),
     _main(
         "status_connectors", status_connectors,
-        day_of="query_time", sort_by=("id_connector", "query_time"),
+        day_of="query_time", sort_by=("id_connector", "query_time"), grows=True,
     ),
     _main(
         "charging_station", charging_station,
@@ -148,7 +159,7 @@ MAIN_SPECS = [
     ),
     _main("charging_point", charging_point),
     _main("connector", connector, in_open_range("power_limits_connectors", "max_power", 2, 400)),
-    _main("time", time),
+    _main("time", time, grows=True),
     _main("mapping_poi_cs", lambda t: t["staging_mapping_poi_cs"]),
     _main("poi", poi),
 ]
@@ -167,43 +178,76 @@ DAY = "query_date"
 
 
 def _laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Facts ranged by day, id and time: a heavy day or id spreads over several tasks."""
+    """Facts gathered by day in one shuffle, which splits a heavy day over several tasks, and sorted
+    by id and time within each file."""
     if spec.day_of is None:
         return df
     dated = df.withColumn(DAY, utc_day(F.col(spec.day_of)))
-    keys = [DAY, *spec.sort_by]
-    return dated.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return dated.hint("rebalance", DAY).sortWithinPartitions(DAY, *spec.sort_by)
 
 
-def load_table(spark: SparkSession, database: str, spec: TableSpec, tables: Tables) -> DataFrame:
-    """Writes a new version, checks it, then points the published view at it.
+def quoted(*names: str) -> str:
+    """A name of several parts, whatever characters they have."""
+    return ".".join(f"`{n.replace('`', '``')}`" for n in names)
 
-    Replacing the view is one catalog change. A failed check leaves the published table as it
-    was; after a good one the older versions are dropped.
-    """
-    version = f"{spec.name}__{uuid.uuid4().hex[:12]}"
-    rows = enforced(typed(spec.build(tables), spec.schema), spec)
-    writer = _laid_out(rows, spec).write.mode("overwrite").format("parquet")
+
+def _write(df: DataFrame, spec: TableSpec, mode: str, table: str) -> None:
+    writer = _laid_out(df, spec).write.mode(mode).format("parquet")
     if spec.day_of is not None:
         writer = writer.partitionBy(DAY)
+    writer.saveAsTable(table)
+
+
+def _versions(spark: SparkSession, database: str, name: str) -> list[str]:
+    """Written versions of a table, oldest first."""
+    listed = spark.catalog.listTables(quoted(database), f"{name}__*")
+    return sorted(t.name for t in listed)
+
+
+def load_table(
+    spark: SparkSession, database: str, spec: TableSpec, tables: Tables, check_keys: bool = False
+) -> DataFrame:
+    """Writes a new version, checks it, then points the published view at it.
+
+    Rules are counted while the version is written. A failed check leaves the published table as
+    it was. The version before stays for one more load, for readers that are under way.
+    """
+    version = f"{spec.name}__{clock.time_ns():020d}_{uuid.uuid4().hex[:6]}"
+    table = quoted(database, version)
+    rows, check = watched(enforced(typed(spec.build(tables), spec.schema), spec), spec.rules, spec.name)
     try:
-        writer.saveAsTable(f"{database}.{version}")
-        require(spark.table(f"{database}.{version}"), spec.rules, spec.name)
+        _write(rows, spec, "overwrite", table)
+        check()
+        if check_keys and spec.key:
+            require_unique(spark.table(table), list(spec.key), spec.name)
     except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{version}")
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
         raise
-    columns = ", ".join(f"`{f.name}`" for f in spec.schema)
+    columns = ", ".join(quoted(f.name) for f in spec.schema)
     views = {spec.name: columns}
     if spec.day_of is not None:
         views[f"{spec.name}_by_day"] = f"{columns}, {DAY}"
     for view, listed in views.items():
-        spark.sql(
-            f"CREATE OR REPLACE VIEW {database}.{view} AS SELECT {listed} FROM {database}.{version}"
-        )
-    for old in spark.catalog.listTables(database, f"{spec.name}__*"):  # versions of one table
-        if old.name != version:
-            spark.sql(f"DROP TABLE {database}.{old.name}")
-    return spark.table(f"{database}.{spec.name}")
+        spark.sql(f"CREATE OR REPLACE VIEW {quoted(database, view)} AS SELECT {listed} FROM {table}")
+    for old in _versions(spark, database, spec.name)[:-2]:
+        spark.sql(f"DROP TABLE {quoted(database, old)}")
+    return spark.table(quoted(database, spec.name))
+
+
+def extend_table(spark: SparkSession, database: str, spec: TableSpec, tables: Tables) -> DataFrame:
+    """Adds the rows whose keys the published table lacks; its own rows are not written again.
+
+    Of a fact only the days of the new rows are read. A load that is run again adds nothing.
+    """
+    table = quoted(database, _versions(spark, database, spec.name)[-1])
+    rows = enforced(typed(spec.build(tables), spec.schema), spec)
+    require(rows, spec.rules, spec.name)  # before the write, which could not be taken back
+    known, keys = spark.table(table), list(spec.key)
+    if spec.day_of is not None:
+        days = rows.select(utc_day(F.col(spec.day_of)).alias(DAY)).distinct()
+        known = known.join(days, DAY, "left_semi")
+    _write(rows.join(known.select(*keys), keys, "left_anti"), spec, "append", table)
+    return spark.table(quoted(database, spec.name))
 
 
 def load_warehouse(
@@ -212,15 +256,42 @@ def load_warehouse(
     sources: Tables,
     specs: list[TableSpec],
     location: str | None = None,
+    *,
+    extend: bool = False,
+    check_keys: bool = False,
+    side_by_side: int = 1,
 ) -> dict[str, DataFrame]:
-    """Full refresh of all tables in order; later builds read the published tables."""
-    place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
+    """Loads all tables in order; later builds read the published tables.
+
+    Staging tables are checked and stay plans. With ``extend`` facts gain the new rows and the other
+    tables are replaced; without it all are. ``side_by_side`` main tables are written at a time;
+    above one they must not be built from each other.
+    """
+    escaped = (location or "").replace("\\", "\\\\").replace("'", "\\'")
+    place = f" LOCATION '{escaped}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}{place}")
     published: dict[str, DataFrame] = {}
-    for spec in specs:
-        known = {name: lambda name=name: sources[name] for name in sources}
-        known |= {name: lambda df=df: df for name, df in published.items()}
-        published[spec.name] = load_table(spark, database, spec, LazyTables(known))
+
+    def known() -> LazyTables:
+        makers = {name: lambda name=name: sources[name] for name in sources}
+        return LazyTables(makers | {name: lambda df=df: df for name, df in published.items()})
+
+    def stored(spec: TableSpec, tables: LazyTables) -> DataFrame:
+        if extend and spec.grows and _versions(spark, database, spec.name):
+            return extend_table(spark, database, spec, tables)
+        return load_table(spark, database, spec, tables, check_keys)
+
+    for spec in (s for s in specs if not s.stored):
+        published[spec.name] = enforced(typed(spec.build(known()), spec.schema), spec)
+        require(published[spec.name], spec.rules, spec.name)
+    main = [s for s in specs if s.stored]
+    if side_by_side > 1:
+        with ThreadPoolExecutor(side_by_side) as pool:
+            tables = known()
+            published |= dict(zip([s.name for s in main], pool.map(lambda s: stored(s, tables), main)))
+    else:
+        for spec in main:
+            published[spec.name] = stored(spec, known())
     return published
 
 
@@ -249,11 +320,22 @@ FREE_TEXT = {"staging_charging_stations", "staging_charging_points", "staging_co
 
 
 def staging_from_files(
-    spark: SparkSession, paths: Mapping[str, str | list[str]]
+    spark: SparkSession, paths: Mapping[str, str | list[str]], file_format: str = "csv"
 ) -> dict[str, DataFrame]:
-    """``raw_<staging table>`` from delimited files. Only stations and points read empty text
-    as null."""
+    """``raw_<staging table>`` from delimited or Parquet files. Only stations and points read empty
+    text as null."""
     empty = {"staging_charging_stations", "staging_charging_points"}
+    if file_format == "parquet":
+        return {
+            f"raw_{name}": bind_by_name(
+                empty_text(
+                    spark.read.parquet(paths[name]).withColumnsRenamed(FLAT_NAMES.get(name, {})),
+                    as_null=name in empty,
+                ),
+                STAGING[name],
+            )
+            for name in STAGING
+        }
     return {
         f"raw_{name}": read_delimited(
             spark, paths[name], STAGING[name],

@@ -23,7 +23,13 @@ def bind_by_name(df: DataFrame, schema: T.StructType) -> DataFrame:
     missing = [f.name for f in schema if f.name not in df.columns]
     if missing:
         raise ValueError(f"columns missing: {missing}")
-    return df.select(*[cast_value(F.col(f.name), f.dataType).alias(f.name) for f in schema])
+    held = {f.name: f.dataType for f in df.schema}
+    return df.select(
+        *[
+            (F.col(f.name) if held[f.name] == f.dataType else cast_value(F.col(f.name), f.dataType)).alias(f.name)
+            for f in schema
+        ]
+    )
 
 
 def empty_text(df: DataFrame, as_null: bool) -> DataFrame:
