@@ -335,8 +335,12 @@ def fit_tagger(
     """A tagger from at most ``rows`` texts that have a digit or an at sign and up to ``longest``
     characters, and at most ``windows`` of their windows."""
     marked = docs.where(F.col(text_col).rlike("[0-9@]") & (F.length(text_col) <= longest))
-    order = F.xxhash64(F.col(id_col), F.col(text_col), F.lit("pii"))
-    texts = [r[0] for r in marked.select(F.col(text_col), order.alias("o")).orderBy("o", text_col).limit(rows).collect()]
+    marked = marked.select(F.col(text_col).alias("t"), F.xxhash64(F.col(id_col), F.col(text_col), F.lit("pii")).alias("o"))
+    chosen = [r.o for r in marked.select("o").distinct().orderBy("o").limit(rows).collect()]
+    if not chosen:
+        return None
+    # The chosen texts alone come to the driver; equal rows once.
+    texts = [r.t for r in marked.where(F.col("o") <= chosen[-1]).distinct().orderBy("o", "t").collect()]
     sample = labelled_windows(texts, windows)
     return Tagger().fit(*sample, epochs=epochs) if sample.tags.any() else None
 
