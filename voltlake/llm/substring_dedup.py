@@ -11,8 +11,8 @@ A tally is one shuffle. Each task first settles what repeats within it, so that
 common, arrives once a task, and occurrences that are settled are dealt out by place. Hashes of
 a window decide whether it goes on; at the last length they have 96 bits.
 
-Texts travel compressed, once for each length after the first and once for the result. Rows
-are found again by id and a hash of the text; equal rows have equal answers.
+Texts travel once: the later lengths and the result read one shuffle of them by id. Where ids
+are null or repeat, a hash of the text goes with the id; equal rows have equal answers.
 
 Defined cases: a null text has no words; a text shorter than the window keeps all words; an id may
 be null or repeat; extra columns are ignored; an empty table gives no rows.
@@ -26,10 +26,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from voltlake.llm.common import SPACES, staged
+
 from voltlake.llm.common import staged
 
 #: Window starts handled at once when smallest windows are picked.
@@ -104,39 +105,25 @@ def settle(h: np.ndarray, tie: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return known, np.flatnonzero(first)
 
 
-_PACKED = "id {id}, extra long, packed binary"
 _FOUND = "h long, tie int, known boolean, id {id}, extra long, pos int"
 
 
-def packed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, extra and the compressed text of every row."""
-    id_type = docs.schema[id_col].dataType.simpleString()
-    text: Column = F.coalesce(text_col, F.lit(""))
-    content = F.xxhash64(text)
-    # Ids tell rows apart but for repeated and null ones; for null ids all 64 bits are kept.
-    extra = F.when(F.col(id_col).isNull(), content).otherwise(content.bitwiseAND(F.lit((1 << 32) - 1)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            packed = [packer.compress(t.as_buffer()) for t in batch["text"].cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays(
-                [batch["id"], batch["extra"], pa.array(packed, pa.binary())], ["id", "extra", "packed"]
-            )
-
-    return docs.select(F.col(id_col).alias("id"), extra.alias("extra"), text.alias("text")).mapInArrow(
-        run, _PACKED.format(id=id_type)
-    )
+def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, extra and text of every row; extra tells rows apart whose ids are null or repeat."""
+    ids, text = docs.select(F.col(id_col).alias("id")), F.coalesce(text_col, F.lit(""))
+    plain = ids.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 or id is null").isEmpty()
+    extra = F.lit(0).cast("long") if plain else F.xxhash64(text)
+    return docs.select(F.col(id_col).alias("id"), extra.alias("extra"), text.alias("text"))
 
 
-def unpack(packed: bytes) -> list[bytes]:
-    return zstandard.ZstdDecompressor().decompress(packed).split()
+def words_of(text: pa.StringScalar) -> list[bytes]:
+    return text.as_buffer().to_pybytes().split()
 
 
 def _tally(docs: DataFrame, window: int, length: int, before: int | None) -> DataFrame:
     """(id, extra, pos) of the level's windows that start in more than one place.
 
-    ``docs`` has id, extra, packed and, from the second level on, alive.
+    ``docs`` has id, extra, text and, from the second level on, alive.
     """
     id_type = docs.schema["id"].dataType
     arrow_id = pa.int64() if id_type.simpleString() == "bigint" else None
@@ -146,8 +133,8 @@ def _tally(docs: DataFrame, window: int, length: int, before: int | None) -> Dat
         ids, extras, rows, positions, hashes, ties = [], [], [], [], [], []
         for batch in batches:
             alive = batch["alive"] if before else [None] * batch.num_rows
-            for i, (packed, lives) in enumerate(zip(batch["packed"], alive, strict=True)):
-                words = word_hashes(unpack(packed.as_py()))
+            for i, (text, lives) in enumerate(zip(batch["text"], alive, strict=True)):
+                words = word_hashes(words_of(text))
                 starts = candidates(words, window, before, lives.values.to_numpy() if before else None)
                 at = level_positions(words, window, length, starts)
                 if len(at):
@@ -161,8 +148,8 @@ def _tally(docs: DataFrame, window: int, length: int, before: int | None) -> Dat
             return
         row, pos, h, tie = map(np.concatenate, (rows, positions, hashes, ties))
         known, first = settle(h, tie)
-        # Settled occurrences are dealt out by place; one more row speaks for each such window.
-        place = _mix(h, (row.astype(np.uint64) << np.uint64(32)) + pos.astype(np.uint64), 0)
+        # Settled occurrences are dealt out by number; one more row speaks for each such window.
+        place = np.arange(len(h), dtype=np.uint64)
         all_ids, all_extras = pa.array(ids, arrow_id), pa.array(extras, pa.int64())
         for part in np.array_split(np.arange(len(h) + len(first)), max(1, -(-(len(h) + len(first)) // BLOCK))):
             own = part[part < len(h)]
@@ -189,18 +176,37 @@ def _with_lists(texts: DataFrame, found: DataFrame, how: str) -> DataFrame:
     lists = found.groupBy("id", "extra").agg(F.collect_set("pos").alias("alive"))
     lists = lists.withColumnsRenamed({"id": "__id", "extra": "__extra"})
     on = texts["id"].eqNullSafe(lists["__id"]) & (texts["extra"] == lists["__extra"])
-    return texts.join(lists, on, how).select("id", "extra", "packed", "alive")
+    return texts.join(lists, on, how).select("id", "extra", "text", "alive")
+
+
+def copies_of(texts: DataFrame) -> DataFrame:
+    """(id, extra, speaks) of the texts whose words are, in order, those of other texts; one of
+    each group speaks for it."""
+    words = F.trim(F.regexp_replace("text", SPACES, " "))
+    marked = texts.select("id", "extra", F.sha2(F.encode(words, "UTF-8"), 256).alias("digest"))
+    first = F.min(F.struct(F.col("id").isNull(), "id", "extra"))
+    groups = marked.groupBy("digest").agg(F.count("*").alias("n"), first.alias("first")).where("n > 1")
+    speaks = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("extra") == F.col("first.extra"))
+    return marked.join(groups, "digest").select("id", "extra", speaks.alias("speaks"))
 
 
 def repeated_windows(docs: DataFrame, *, window: int, levels: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """The packed texts, and (id, extra, pos) of every window that starts elsewhere too."""
-    texts = packed_texts(docs, id_col, text_col)
+    """The texts, and (id, extra, pos) of every window that starts elsewhere too.
+
+    Every window of a copy does. Copies are told by a digest first, with pos -1 for all their
+    windows, and one of each group goes through the later levels for all.
+    """
+    texts = keyed_texts(docs, id_col, text_col)
+    copies = staged(copies_of(texts), "copies")
+    silent = copies.where("not speaks").select(F.col("id").alias("__id"), F.col("extra").alias("__extra"))
     before, found, at = None, None, texts
     for length in lengths_of(window, levels):
         found = _tally(at, window, length, before)
         if length < window:
-            at, before = _with_lists(texts, found, "inner"), length
-    return texts, found
+            on = found["id"].eqNullSafe(silent["__id"]) & (found["extra"] == silent["__extra"])
+            at, before = _with_lists(texts, found.join(silent, on, "left_anti"), "inner"), length
+    whole = copies.select("id", "extra", F.lit(-1).alias("pos"))
+    return texts, found.unionByName(whole)
 
 
 def remove_repeats(
@@ -214,10 +220,12 @@ def remove_repeats(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             totals, removed, digests, kept_texts = [], [], [], []
-            for packed, starts in zip(batch["packed"], batch["alive"], strict=True):
-                words = unpack(packed.as_py())
+            for text, starts in zip(batch["text"], batch["alive"], strict=True):
+                words = words_of(text)
                 kept = words
-                if starts.is_valid:
+                if starts.is_valid and -1 in starts.values.to_numpy():
+                    kept = words if len(words) < window else []
+                elif starts.is_valid:
                     edges = np.zeros(len(words) + 1, np.int64)
                     at = starts.values.to_numpy()
                     edges[at] += 1
