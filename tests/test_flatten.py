@@ -264,3 +264,11 @@ def test_scan_files_and_latest(spark, tmp_path):
     assert ("20211001_101000_cp_data_cities", "2021-10-01 10:10:00") in rows(names, "n", "t")
     with pytest.raises(FileNotFoundError):
         snapshots.latest_snapshot(spark, str(tmp_path), "*.none")
+
+
+def test_station_columns(spark):
+    docs = documents(spark, {"koeln": city(T1, station(1, [point("a")]), {"id": 2, "name": "x"})})
+    assert flatten.station_columns(docs).columns == ["path", "id", "timestamp", "evses"]
+    every = flatten.station_columns(docs, None)
+    assert every.columns[-1] == "timestamp" and {"id", "evses", "name"} <= set(every.columns)
+    assert rows(flatten.station_columns(docs, ["id", "name"]), "id", "name") == [("1", None), ("2", "x")]

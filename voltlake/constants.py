@@ -17,16 +17,6 @@ POI_TAGS = {
     "shop": ["mall", "doityourself"],
 }
 
-# Cities as the snapshots name them.
-CITIES = [
-    "koeln", "dortmund", "bonn", "muenster", "kiel", "chemnitz", "krefeld", "leverkusen",
-    "heidelberg", "solingen", "ingolstadt", "pforzheim", "goettingen", "erlangen", "tuebingen",
-    "bayreuth", "bocholt", "dormagen", "rastatt", "hof", "weinheim", "bruchsal", "nettetal",
-    "ansbach", "schwabach", "ettlingen", "crailsheim", "deggendorf", "forchheim", "bretten",
-    "buehl", "zirndorf", "roth", "calw", "herzogenaurach", "wertheim", "kitzingen",
-    "lichtenfels",
-]
-
 # City names that differ on the POI side.
 CITY_POI_NAMES = {
     "koeln": "köln",

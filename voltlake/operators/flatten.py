@@ -16,6 +16,7 @@ from voltlake.constants import MISSING
 from voltlake.functions.nested import (
     RECORD,
     computed_once,
+    field,
     fields,
     is_last_of_key,
     let,
@@ -45,6 +46,18 @@ def station_rows_ts(documents: DataFrame, point_type: str = RECORD) -> DataFrame
     return documents.select("path", F.inline(_listed_stations(point_type)))
 
 
+def station_columns(
+    documents: DataFrame, columns: list[str] | None = ["id", "timestamp", "evses"]
+) -> DataFrame:
+    """One row per station with path and the wanted ``columns``; None gives all keys that occur,
+    found by one more pass, and the timestamp. An absent key is null."""
+    rows = station_rows(documents)
+    if columns is None:
+        columns = [*(k for k in discover_keys(rows, "station") if k != "timestamp"), "timestamp"]
+    keyed = {c: field(F.col("station"), c).alias(c) for c in columns if c != "timestamp"}
+    return rows.select("path", *[keyed.get(c, F.col(c)) for c in columns])
+
+
 # The steps below are one expression over one document: nothing is written between them, and
 # no filter looks for unreadable documents, since it would parse each text a second time and
 # such documents leave no rows anyway.

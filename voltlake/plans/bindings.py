@@ -12,7 +12,7 @@ from functools import cache, cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlake.constants import CITIES
+from voltlake.constants import CITY_POI_NAMES
 from voltlake.functions.geo import xy
 from voltlake.functions.times import utc_instant, wall_text
 from voltlake.operators.poi import prepare_pois
@@ -28,6 +28,9 @@ from voltlake.plans.warehouse import (
 from voltlake.runtime import scratch_path
 from voltlake.sources.snapshots import scan_snapshots
 
+# City codes of the fixture: those with another name on the POI side, and invented ones.
+CITIES = [*CITY_POI_NAMES, *(f"stadt{n}" for n in range(1, 34))]
+
 EVENTS_PER_SNAPSHOT = 1000
 SNAPSHOTS_PER_FILE = 16
 SNAPSHOT_PATTERN = "*.txt"
@@ -117,7 +120,7 @@ class Inputs:
             self._longitude(key).alias("longitude"),
             F.concat(F.lit("Operator "), key % 7).alias("operator_name"),
             F.when(key % 2 == 0, F.lit("0800")).otherwise(F.lit("-")).alias("operator_hotline"),
-            (key % 4 == 0).alias("open_24_7"),
+            ((key % 4 == 0) | (key % 8 == 1)).alias("open_24_7"),
         )
 
     def raw_charging_points(self) -> DataFrame:
@@ -307,6 +310,12 @@ class Inputs:
         """The scalars of each station as JSON text."""
         s = self.raw_charging_stations()
         key = F.col("id")
+        # Any text but the empty one is true, zero and an absent key are false.
+        always = (
+            F.when(key % 8 == 1, F.parse_json(F.lit('"false"')))
+            .when(key % 8 == 3, F.parse_json(F.lit("0")))
+            .when(key % 8 != 5, F.parse_json(F.col("open_24_7").cast("string")))
+        )
         head = F.struct(
             "id", "name", "address", "city", "postal_code", "country", "distance_in_m",
             F.when(key % 3 == 0, F.parse_json(F.lit("null")))
@@ -319,7 +328,7 @@ class Inputs:
                 F.when(key % 2 == 0, F.lit("0800")).alias("hotline"),
             ).alias("operator"),
             F.struct(
-                F.when(key % 4 != 1, F.col("open_24_7")).alias("twentyfourseven"),
+                always.alias("twentyfourseven"),
                 F.array().cast("array<string>").alias("regular_hours"),
             ).alias("opening_times"),
             F.lit('left; then "right"').alias("directions"),

@@ -25,7 +25,7 @@ from voltlake.plans.warehouse import (
     load_warehouse,
     staging_from_files,
 )
-from voltlake.runtime import scratch_path
+from voltlake.runtime import drop_scratch, scratch_path
 from voltlake.schemas import MAIN, STAGING
 from voltlake.sinks.files import archive_snapshots, write_table
 from voltlake.sources.delimited import read_delimited
@@ -79,6 +79,7 @@ def process_snapshots(
         observed, shape = with_shape(df, table)
         write_table(observed, paths[table], output_format)
         log.info("%s: %s", table, shape.get)
+    drop_scratch(spark, parsed)
     if archive is not None:
         archive_snapshots(
             spark, source, archive, pattern, name=archive_name, recursive=recursive

@@ -6,11 +6,11 @@ import math
 
 from voltlake.constants import (
     BUFFER_METRES,
-    CITIES,
     CITY_POI_NAMES,
     DEFAULT_BUFFER_METRES,
     POI_TAGS,
 )
+from voltlake.plans.bindings import CITIES
 
 STATUS = (
     "CASE event_type WHEN 'view' THEN 'AVAILABLE' WHEN 'click' THEN 'RESERVED' "
@@ -78,7 +78,7 @@ STATIONS = f"""stations AS (
     s_suppkey % 2 = 0 AS roaming, {lat('s_suppkey')} AS latitude, {lon('s_suppkey')} AS longitude,
     'Operator ' || (s_suppkey % 7) AS operator_name,
     CASE WHEN s_suppkey % 2 = 0 THEN '0800' ELSE '-' END AS operator_hotline,
-    s_suppkey % 4 = 0 AS open_24_7
+    (s_suppkey % 4 = 0 OR s_suppkey % 8 = 1) AS open_24_7
   FROM supplier JOIN nation ON n_nationkey = s_nationkey
 )"""
 
@@ -455,6 +455,9 @@ ORACLE: dict[str, str] = {
     f"AS snapshot, {POLLED} AS polled_at FROM events",
     "station_rows": with_(EVENTS)
     + "SELECT DISTINCT snapshot, city AS city_key, id_cs AS id, s_name AS name FROM ev",
+    "station_columns": with_(EVENTS)
+    + "SELECT DISTINCT snapshot, CAST(id_cs AS VARCHAR) AS id, 'DE' AS country, "
+    'city_ts AS "timestamp" FROM evt',
     "station_rows_ts": with_(EVENTS)
     + 'SELECT snapshot, id_cs AS id, city_ts AS "timestamp", CAST(count(*) AS INTEGER) AS n_evses '
     "FROM evt GROUP BY snapshot, id_cs, city_ts",

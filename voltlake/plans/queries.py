@@ -82,6 +82,12 @@ def station_rows(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def station_columns(i: Inputs) -> DataFrame:
+    rows = flatten.station_columns(i.documents(), ["id", "country", "timestamp"])
+    return rows.select(snapshot(), "id", "country", ntz("timestamp"))
+
+
 @query
 def station_rows_ts(i: Inputs) -> DataFrame:
     return flatten.station_rows_ts(i.documents()).select(

@@ -24,6 +24,12 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Removes a scratch table that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     app = spark.sparkContext.applicationId

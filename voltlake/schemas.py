@@ -1,4 +1,7 @@
-"""Column lists and types of the staging tables, the star schema and the snapshot records."""
+"""Column lists and types of the staging tables, the star schema and the snapshot records.
+
+The names and types are fixed values: they must equal the published ones.
+"""
 
 from __future__ import annotations
 
