@@ -242,3 +242,15 @@ def test_proximity(spark):
 @pytest.mark.parametrize("operator", [exact_dedup.exact_duplicates, simhash.simhash_groups])
 def test_empty_tables(spark, operator):
     assert operator(empty(spark)).count() == 0
+
+
+def test_text_ids(spark):
+    """Ids of another type, some null, pass through every operator on documents."""
+    rows = [("a", sentence(60, 1)), (None, sentence(60, 1)), ("b", None), ("b", "x")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    bench = spark.createDataFrame([(1, sentence(20, 1))], "item_id long, text string")
+    removed = substring_dedup.remove_repeats(docs).collect()
+    assert Counter((r.doc_id, r.n_removed) for r in removed) == Counter([("a", 60), (None, 60), ("b", 0), ("b", 0)])
+    assert {r.keep_id for r in exact_dedup.exact_duplicates(docs).collect()} == {"a", "b"}
+    assert {r.component_id for r in simhash.simhash_groups(docs).collect()} == {"a", "b"}
+    assert decontaminate.contamination(docs, bench).where("contaminated").count() == 2
