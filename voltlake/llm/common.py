@@ -52,7 +52,8 @@ def kept_rows(docs: DataFrame, verdicts: DataFrame, id_col: str, digest: Column)
     """Rows of ``docs`` that stay, by verdicts of __id, __digest and __stays, one for each row.
 
     Rows are found again by id and digest, wherever they are read; only keys that are dropped or
-    that repeat are looked up. Of rows with one key, at most one stays.
+    that repeat are looked up. Of rows with one key, at most one stays. The texts are shuffled once at
+    every size of the input: the keys to look up grow with it, so they are not broadcast.
     """
     special = (
         verdicts.groupBy("__id", "__digest")
@@ -61,7 +62,7 @@ def kept_rows(docs: DataFrame, verdicts: DataFrame, id_col: str, digest: Column)
     )
     special = staged(special, "special")
     keyed = docs.withColumns({"__id": F.col(id_col), "__digest": digest})
-    marked = keyed.join(special, null_safe(keyed, special, ["__id", "__digest"]), "left").select(
+    marked = keyed.join(special.hint("merge"), null_safe(keyed, special, ["__id", "__digest"]), "left").select(
         *[keyed[c] for c in keyed.columns], "__n", "__stays"
     )
     once = marked.where(F.col("__n").isNull())

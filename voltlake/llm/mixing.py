@@ -240,6 +240,6 @@ def mixed_rows(
         .where("mix_times > 0"),
         "taken",
     )
-    found = docs.withColumn("__key", row_digest(id_col, text_col)).join(taken, "__key")
+    found = docs.withColumn("__key", row_digest(id_col, text_col)).join(taken.hint("merge"), "__key")
     once = found.where("__n = 1").unionByName(found.where("__n > 1").dropDuplicates(["__key"]))
     return once.drop("__key", "__n")
