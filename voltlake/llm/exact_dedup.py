@@ -71,6 +71,16 @@ def _split_identifiers(recipes: DataFrame, chunks: DataFrame, parts: DataFrame)
     )
 
 
+def _shared(recipes: DataFrame) -> DataFrame:
+    """__recipe, n, first of every recipe that documents share.
+
+    A written table, so that a join with it is one of two shuffles, whose hot keys Spark can split.
+    """
+    first = F.min(F.struct(F.col("__id").isNull(), "__id", "__row"))
+    groups = recipes.groupBy("__recipe").agg(F.count("*").alias("n"), first.alias("first"))
+    return staged(groups.where("n > 1"), "groups")
+
+
 def _verdicts(
     docs: DataFrame, id_col: str, text_col: str, chunk_min: int, chunk_max: int, hash_bits: int
 ) -> DataFrame:
@@ -83,9 +93,9 @@ def _verdicts(
         cut.select("__id", "__sha", F.monotonically_increasing_id().alias("__row"), "__recipe"),
         "recipes",
     )
-    shared = recipes.groupBy("__recipe").agg(F.count("*").alias("n")).where("n > 1")
+    groups = _shared(recipes)
     parts = (
-        cut.join(shared, "__recipe", "left_semi")
+        cut.join(groups, "__recipe", "left_semi")
         .select("__id", "__sha", F.posexplode("__chunks").alias("pos", "chunk"))
         .withColumn("hash", chunk_hash(F.col("chunk"), hash_bits))
     )
@@ -93,15 +103,7 @@ def _verdicts(
     clash = chunks.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
     if not clash.isEmpty():
         recipes = staged(_split_identifiers(recipes, staged(chunks, "chunks"), parts), "identified")
-
-    groups = (
-        recipes.groupBy("__recipe")
-        .agg(
-            F.count("*").alias("n"),
-            F.min(F.struct(F.col("__id").isNull(), "__id", "__row")).alias("first"),
-        )
-        .where("n > 1")
-    )
+        groups = _shared(recipes)
     alone = F.col("n").isNull()
     stays = alone | (F.col("first.__row") == F.col("__row"))
     return recipes.join(groups, "__recipe", "left").withColumn("__stays", stays)
