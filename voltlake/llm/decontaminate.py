@@ -118,19 +118,30 @@ def rarest_terms(index: Index, count: int) -> DataFrame:
     )
 
 
-def phrase_matches(index: Index) -> DataFrame:
-    """(row, phrase, start, n_terms) of every place where a phrase occurs word for word."""
-    rarest = rarest_terms(index, 1).drop("rank")
-    places = (
-        index.postings.join(rarest, "term")
+def phrase_matches(index: Index, first: int = 3) -> DataFrame:
+    """(row, phrase, start, n_terms) of every place where a phrase occurs word for word.
+
+    The lists of a phrase's ``first`` rarest terms are intersected one after the other, each with
+    the postings of such terms alone; what is left is held against all its terms.
+    """
+    rarest = staged(rarest_terms(index, first), "rarest")
+    places = staged(
+        index.postings.join(rarest.where("rank = 1"), "term")
         .select("phrase", "row", (F.col("pos") - F.col("offset")).alias("start"), "n_terms")
-        .where("start >= 0")
+        .where("start >= 0"),
+        "places",
     )
-    places = staged(places, "places")
+    for rank in range(2, first + 1):
+        lookups = rarest.where(F.col("rank") == rank).select("phrase", "offset", "term")
+        lists = index.postings.join(lookups.select("term").distinct(), "term", "left_semi")
+        asked = places.join(lookups, "phrase").withColumn("pos", F.col("start") + F.col("offset"))
+        met = asked.join(lists, ["row", "pos", "term"], "left_semi").select(places.columns)
+        places = staged(met.unionByName(places.where(F.col("n_terms") < rank)), "places")
     asked = places.join(index.phrases.drop("n_terms"), "phrase").select(
         "phrase", "row", "start", "n_terms", (F.col("start") + F.col("offset")).alias("pos"), "term"
     )
-    within = index.postings.join(places.select("row").distinct(), "row", "left_semi")
+    # The rows with a place grow with the input, so they are not broadcast at any size.
+    within = index.postings.join(places.select("row").distinct().hint("merge"), "row", "left_semi")
     return (
         asked.join(within, ["row", "pos", "term"])
         .groupBy("phrase", "row", "start", "n_terms")
@@ -200,4 +211,5 @@ def without_contaminated(
     hit = staged(hit, "contaminated")
     keyed = docs.withColumn("__digest", text_digest(F.col(text_col)))
     on = keyed[id_col].eqNullSafe(hit["__hit_id"]) & (keyed["__digest"] == hit["digest"])
-    return keyed.join(hit, on, "left_anti").drop("__digest")
+    # The rows that go grow with the input, so they are not broadcast at any size.
+    return keyed.join(hit.hint("merge"), on, "left_anti").drop("__digest")
