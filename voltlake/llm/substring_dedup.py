@@ -126,13 +126,12 @@ def _tally(docs: DataFrame, window: int, length: int, before: int | None) -> Dat
     ``docs`` has id, extra, text and, from the second level on, alive.
     """
     id_type = docs.schema["id"].dataType
-    arrow_id = pa.int64() if id_type.simpleString() == "bigint" else None
     last = length == window
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, extras, rows, positions, hashes, ties = [], [], [], [], [], []
+        ids, extras, rows, positions, hashes, ties, id_kind = [], [], [], [], [], [], None
         for batch in batches:
-            alive = batch["alive"] if before else [None] * batch.num_rows
+            alive, id_kind = batch["alive"] if before else [None] * batch.num_rows, batch["id"].type
             for i, (text, lives) in enumerate(zip(batch["text"], alive, strict=True)):
                 words = word_hashes(words_of(text))
                 starts = candidates(words, window, before, lives.values.to_numpy() if before else None)
@@ -150,7 +149,7 @@ def _tally(docs: DataFrame, window: int, length: int, before: int | None) -> Dat
         known, first = settle(h, tie)
         # Settled occurrences are dealt out by number; one more row speaks for each such window.
         place = np.arange(len(h), dtype=np.uint64)
-        all_ids, all_extras = pa.array(ids, arrow_id), pa.array(extras, pa.int64())
+        all_ids, all_extras = pa.array(ids, id_kind), pa.array(extras, pa.int64())
         for part in np.array_split(np.arange(len(h) + len(first)), max(1, -(-(len(h) + len(first)) // BLOCK))):
             own = part[part < len(h)]
             more = first[part[part >= len(h)] - len(h)]
@@ -183,9 +182,12 @@ def copies_of(texts: DataFrame) -> DataFrame:
     """(id, extra, speaks) of the texts whose words are, in order, those of other texts; one of
     each group speaks for it."""
     words = F.trim(F.regexp_replace("text", SPACES, " "))
-    marked = texts.select("id", "extra", F.sha2(F.encode(words, "UTF-8"), 256).alias("digest"))
+    marked = staged(
+        texts.select("id", "extra", F.sha2(F.encode(words, "UTF-8"), 256).alias("digest")), "digests"
+    )
     first = F.min(F.struct(F.col("id").isNull(), "id", "extra"))
     groups = marked.groupBy("digest").agg(F.count("*").alias("n"), first.alias("first")).where("n > 1")
+    groups = staged(groups, "groups")  # so that the join is one of two shuffles, whose hot keys can be split
     speaks = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("extra") == F.col("first.extra"))
     return marked.join(groups, "digest").select("id", "extra", speaks.alias("speaks"))
 
