@@ -144,7 +144,8 @@ def quarantine_parts(documents: DataFrame) -> DataFrame:
             points = F.try_variant_get(station, "$.evses", "variant")
             wrong = ~F.schema_of_variant(points).startswith("ARRAY") & (F.schema_of_variant(points) != "VOID")
             reason = F.when(~is_object(station), F.lit("station")).when(wrong, F.lit("points"))
-            return F.struct(entry["key"], i.cast("int"), reason, station.cast("string")).cast(part)
+            text = F.when(reason.isNotNull(), station.cast("string"))  # of odd stations alone
+            return F.struct(entry["key"], i.cast("int"), reason, text).cast(part)
 
         listed = F.filter(F.transform(stations, of_station), lambda p: p["reason"].isNotNull())
         return F.when(reason.isNotNull(), F.array(whole)).otherwise(listed)
