@@ -22,7 +22,9 @@ def bounded_sample(rows: DataFrame, group: str, key: Column, most: int) -> DataF
     tick = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(ticks))
     thinned = (
         rows.withColumn("__tick", tick)
-        .join(counts, F.col(group) == F.col("__group"))
+        # A row for each group, of which each gets a model: broadcast, so that the rows of a large
+        # group are thinned where they stand and not dealt by group first.
+        .join(F.broadcast(counts), F.col(group) == F.col("__group"))
         .where(F.col("__tick") < F.lit(2.0 * most * ticks) / F.col("__n"))
     )
     order = Window.partitionBy(group).orderBy("__tick", key)
