@@ -81,6 +81,21 @@ def test_mix_meets_targets(spark, bucket_rows):
         assert sum(r.taken for r in own) == pytest.approx(goal, rel=0.005)
 
 
+@pytest.mark.parametrize("many", [50, 100, 700])
+def test_sources_land_on_their_own(spark, many):
+    """A source with long documents meets its target beside a larger one, in one bucket and in several."""
+    draw = random.Random(5)
+    sizes = [int(2000 * 0.5 ** (i / 3)) if i < 12 else draw.randrange(5, 60) for i in range(50)]
+    rows = [("a", n) for n in sizes * (many // 50)] + [("b", draw.randrange(5, 60)) for _ in range(900)]
+    docs = spark.createDataFrame(
+        [(i, " ".join(["w"] * n), source) for i, (source, n) in enumerate(rows)], "doc_id long, text string, source string"
+    )
+    for seed in range(3):
+        found = mixing.mix(docs, weights=(1, 2), most=3.0, bucket_rows=64, seed=seed).join(docs.select("doc_id", "source"), "doc_id")
+        by_source = found.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+        assert all(r.taken == pytest.approx(r.target, rel=0.005) for r in by_source), (seed, by_source)
+
+
 def test_mix_of_awkward_rows(spark):
     found = mixing.mix(awkward(spark)).collect()
     assert len(found) == len(awkward_rows())

@@ -9,8 +9,10 @@ The flight leaves two documents at most. With a few of all sizes that were kept
 the landing problem: of the choices that come nearest to both totals one is drawn.
 
 Sources are flown in buckets of bounded size, however many documents they have. Each bucket
-leaves two documents at most; these are flown again, until one bucket a source is left. Random
-numbers come from the seed, the source and the bucket, so reruns agree on any layout of the rows.
+leaves two documents at most and the few it keeps back; these are flown again, until one bucket of
+the source is left. Each source lands with its own last bucket, whatever the other sources' sizes.
+Random numbers come from the seed, the source and the bucket, so reruns agree on any layout of the
+rows.
 
 Defined cases: a null text has no words; null is a source of its own, after all others; repeated
 rows are drawn one by one; a document without words may be taken and adds nothing; extra columns
@@ -83,17 +85,17 @@ def landing(sizes: list[float], probs: list[float], draw: random.Random) -> list
     return out
 
 
-def settle(sizes: list[float], probs: list[float], draw: random.Random) -> list[float]:
-    """A flight and the landing.
+def part_flight(sizes: list[float], probs: list[float], draw: random.Random, keep: int) -> list[float]:
+    """A flight of all but ``keep`` documents, whose probabilities stay as they are.
 
-    Some documents are kept back for the landing, or a long document that the flight leaves could
+    They are kept back for the landing, or a long document that the flight leaves could
     not be made up for: half of them at equal steps of the words, half at equal steps of the
     rows, so that there are long and short ones. ``sizes`` fall.
     """
     open_ = [i for i, p in enumerate(probs) if 0 < p < 1]
     kept_back: set[int] = set()
     if open_:
-        half = LANDING_ROWS // 2
+        half = keep // 2
         words = np.cumsum([sizes[i] for i in open_])
         by_words = np.searchsorted(words, words[-1] * np.arange(half) / half)
         kept_back = {open_[k] for k in by_words} | {open_[k * len(open_) // half] for k in range(half)}
@@ -102,7 +104,12 @@ def settle(sizes: list[float], probs: list[float], draw: random.Random) -> list[
     flown = flight([sizes[i] for i in moving], [probs[i] for i in moving], draw)
     for i, p in zip(moving, flown, strict=True):
         out[i] = p
-    return landing(sizes, out, draw)
+    return out
+
+
+def settle(sizes: list[float], probs: list[float], draw: random.Random) -> list[float]:
+    """A flight and the landing. ``sizes`` fall."""
+    return landing(sizes, part_flight(sizes, probs, draw, LANDING_ROWS), draw)
 
 
 def targets(sizes: DataFrame, share: float, most: float, weights: tuple[int, ...]) -> DataFrame:
@@ -137,17 +144,22 @@ def targets(sizes: DataFrame, share: float, most: float, weights: tuple[int, ...
     return levelled.select("source", "source_size", "n", target.alias("target"))
 
 
-def fly(pending: DataFrame, level: int, buckets, seed: int, last: bool) -> DataFrame:
-    """One level of flights: rows of ``pending`` with ``p`` moved, by source and bucket."""
+def fly(pending: DataFrame, level: int, seed: int, bucket_rows: int, keep: int) -> DataFrame:
+    """One level of flights: rows of ``pending`` with ``p`` moved, by source and bucket.
+
+    A source whose ``n`` rows fit one bucket lands. Buckets of the others keep ``keep`` rows back.
+    """
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["size", "key"], ascending=[False, True], kind="stable")
         draw = random.Random(f"{seed}/{level}/{rows['source'].iloc[0]!r}/{rows['bucket'].iloc[0]}")
         sizes = rows["size"].astype(float).tolist()
-        return rows.assign(p=(settle if last else flight)(sizes, rows["p"].tolist(), draw))
+        probs = rows["p"].tolist()
+        lands = rows["n"].iloc[0] <= bucket_rows
+        return rows.assign(p=settle(sizes, probs, draw) if lands else part_flight(sizes, probs, draw, keep))
 
-    bucket = F.pmod(F.xxhash64("key", F.lit(level)), buckets)
-    keyed = pending.withColumn("bucket", bucket)
+    buckets = F.when(F.col("n") <= bucket_rows, F.lit(1)).otherwise(F.ceil(F.col("n") / (bucket_rows // 2)))
+    keyed = pending.withColumn("bucket", F.pmod(F.xxhash64("key", F.lit(level)), buckets))
     return keyed.groupBy("source", "bucket").applyInPandas(run, keyed.schema).drop("bucket")
 
 
@@ -172,17 +184,16 @@ def _drawn(
         "id", "source", "size", "key", "n", F.floor("rate").cast("int").alias("whole"), (F.col("rate") % 1).alias("p")
     )
     largest = goals.agg(F.max("n")).first()[0] or 0
-    half = bucket_rows // 2  # documents in a bucket on average, of which a flight leaves two
+    half = bucket_rows // 2  # documents in a bucket on average
+    keep = max(0, min(LANDING_ROWS, 2 * half // 3 - 2))  # more in small buckets would not grow fewer
     done, level = [], 0
     while True:
-        last = largest <= bucket_rows
-        buckets = F.lit(1) if last else F.ceil(F.col("n") / half)
-        flown = staged(fly(pending, level, buckets, seed, last), "flight")
-        done.append(flown if last else flown.where("p = 0 or p = 1"))
-        if last:
+        flown = staged(fly(pending, level, seed, bucket_rows, keep), "flight")
+        done.append(flown.where("p = 0 or p = 1"))
+        if largest <= bucket_rows:  # of the sources that have not landed before
             break
-        pending = flown.where("p > 0 and p < 1").withColumn("n", F.ceil(F.col("n") / half) * 2)
-        largest, level = -(-largest // half) * 2, level + 1
+        pending = flown.where("p > 0 and p < 1").withColumn("n", F.ceil(F.col("n") / half) * (keep + 2))
+        largest, level = -(-largest // half) * (keep + 2), level + 1
     settled = done[0]
     for more in done[1:]:
         settled = settled.unionByName(more)
