@@ -96,6 +96,25 @@ def test_sources_land_on_their_own(spark, many):
         assert all(r.taken == pytest.approx(r.target, rel=0.005) for r in by_source), (seed, by_source)
 
 
+def test_copies_are_dealt_over_buckets(spark, monkeypatch):
+    rows = [(None, "", "a")] * 5000 + [(None, "w w", "a")] * 300 + [(i, "w " * (i % 40), "a") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    most, group_by = [], type(docs).groupBy
+
+    def watched(df, *cols):
+        if cols == ("source", "bucket"):
+            most.append(group_by(df, *cols).count().agg(F.max("count")).first()[0])
+        return group_by(df, *cols)
+
+    monkeypatch.setattr(type(docs), "groupBy", watched)
+    drawn = [
+        sorted((str(r.doc_id), r.size, r.taken, r.times) for r in mixing.mix(d, bucket_rows=256).collect())
+        for d in (docs, docs.repartition(5))
+    ]
+    assert len(drawn[0]) == len(rows) and drawn[0] == drawn[1]
+    assert max(most) <= 256
+
+
 def test_mix_of_awkward_rows(spark):
     found = mixing.mix(awkward(spark)).collect()
     assert len(found) == len(awkward_rows())

@@ -10,7 +10,8 @@ the landing problem: of the choices that come nearest to both totals one is draw
 
 Sources are flown in buckets of bounded size, however many documents they have. Each bucket
 leaves two documents at most and the few it keeps back; these are flown again, until one bucket of
-the source is left. Each source lands with its own last bucket, whatever the other sources' sizes.
+the source is left. Rows that are equal are numbered, so that their copies are dealt over the
+buckets like other rows. Each source lands with its own last bucket, whatever the other sources' sizes.
 Random numbers come from the seed, the source and the bucket, so reruns agree on any layout of the
 rows.
 
@@ -34,6 +35,8 @@ from voltlake.llm.common import WORD, staged, text_digest
 BUCKET_ROWS = 8192
 #: Documents kept back for the landing, which weighs all 2^(these + 2) choices.
 LANDING_ROWS = 16
+#: Equal rows that one row of the numbering stands for.
+COPY_BLOCK = 4096
 #: Distance from 0 or 1 below which a probability has arrived.
 ARRIVED = 1e-9
 
@@ -144,6 +147,20 @@ def targets(sizes: DataFrame, share: float, most: float, weights: tuple[int, ...
     return levelled.select("source", "source_size", "n", target.alias("target"))
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``copy``, which numbers equal rows from 0.
+
+    Equal rows are counted, and made again from blocks that are dealt over the tasks, so no task
+    holds all copies of a row.
+    """
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
+    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPY_BLOCK))
+    dealt = counted.withColumn("block", F.explode(blocks)).repartition("key", "block")
+    first = F.col("block") * COPY_BLOCK
+    copies = F.sequence(first, F.least(first + COPY_BLOCK, F.col("copies")) - 1)
+    return dealt.withColumn("copy", F.explode(copies)).select(*rows.columns, "copy")
+
+
 def fly(pending: DataFrame, level: int, seed: int, bucket_rows: int, keep: int) -> DataFrame:
     """One level of flights: rows of ``pending`` with ``p`` moved, by source and bucket.
 
@@ -151,7 +168,7 @@ def fly(pending: DataFrame, level: int, seed: int, bucket_rows: int, keep: int)
     """
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["size", "key"], ascending=[False, True], kind="stable")
+        rows = rows.sort_values(["size", "key", "copy"], ascending=[False, True, True], kind="stable")
         draw = random.Random(f"{seed}/{level}/{rows['source'].iloc[0]!r}/{rows['bucket'].iloc[0]}")
         sizes = rows["size"].astype(float).tolist()
         probs = rows["p"].tolist()
@@ -159,7 +176,7 @@ def fly(pending: DataFrame, level: int, seed: int, bucket_rows: int, keep: int)
         return rows.assign(p=settle(sizes, probs, draw) if lands else part_flight(sizes, probs, draw, keep))
 
     buckets = F.when(F.col("n") <= bucket_rows, F.lit(1)).otherwise(F.ceil(F.col("n") / (bucket_rows // 2)))
-    keyed = pending.withColumn("bucket", F.pmod(F.xxhash64("key", F.lit(level)), buckets))
+    keyed = pending.withColumn("bucket", F.pmod(F.xxhash64("key", "copy", F.lit(level)), buckets))
     return keyed.groupBy("source", "bucket").applyInPandas(run, keyed.schema).drop("bucket")
 
 
@@ -168,20 +185,18 @@ def _drawn(
     source_col: str, seed: int, bucket_rows: int,
 ) -> DataFrame:
     """id (as text), key, size, source_size, target, taken and times of every document."""
-    sized = staged(
-        docs.select(
-            F.col(id_col).cast("string").alias("id"),  # pandas has no long with nulls
-            F.col(source_col).alias("source"),
-            F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            row_digest(id_col, text_col).alias("key"),
-        ),
-        "sizes",
+    rows = docs.select(
+        F.col(id_col).cast("string").alias("id"),  # pandas has no long with nulls
+        F.col(source_col).alias("source"),
+        F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        row_digest(id_col, text_col).alias("key"),
     )
+    sized = staged(numbered(rows), "sizes")
     goals = staged(targets(sized, share, most, weights), "targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     aimed = goals.select(F.col("source").alias("goal"), "source_size", "target", "n", rate.alias("rate"))
     pending = sized.join(aimed, F.col("source").eqNullSafe(F.col("goal"))).select(
-        "id", "source", "size", "key", "n", F.floor("rate").cast("int").alias("whole"), (F.col("rate") % 1).alias("p")
+        "id", "source", "size", "key", "copy", "n", F.floor("rate").cast("int").alias("whole"), (F.col("rate") % 1).alias("p")
     )
     largest = goals.agg(F.max("n")).first()[0] or 0
     half = bucket_rows // 2  # documents in a bucket on average
