@@ -239,6 +239,32 @@ def test_proximity(spark):
     assert ids == {0, 2} and decontaminate.phrase_matches(index).count() == 0
 
 
+def test_near_items(spark):
+    """Against brute force, with a word that the texts lack, repeated words and short items."""
+    items = [(1, "alpha beta gamma absent"), (2, "alpha alpha beta"), (3, "delta"), (4, "absent missing"), (5, sentence(30, 3)), (None, "beta gamma")]
+    texts = ["gamma x beta x alpha", "alpha x beta", "alpha " + "x " * 30 + "beta gamma delta", sentence(300, 4), sentence(40, 3), None, "delta delta"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    count = Counter(w for t in texts for w in tokens(t))
+
+    def phrases(text):
+        w = tokens(text)
+        return {tuple(w[i : i + 10]) for i in range(max(1, len(w) - 9))} if w else set()
+
+    def near(text, phrase):
+        present = sorted({t for t in phrase if count[t]}, key=lambda t: (count[t], phrase.index(t)))
+        if len(present) < min(3, len(set(phrase))):
+            return False
+        at = {t: [i for i, w in enumerate(tokens(text)) if w == t] for t in present}
+        return any(all(any(abs(i - j) <= 10 for j in at[t]) for t in present[:3]) for i in at[present[0]])
+
+    found = decontaminate.contamination(docs, bench, near=10).orderBy("doc_id").collect()
+    expected = [sum(i is not None and any(near(t, p) for p in phrases(item)) for i, item in items) for t in texts]
+    assert [r.n_near for r in found] == expected and expected[:3] == [2, 1, 1]
+    assert all(r.n_near >= r.n_items for r in found)
+    assert "n_near" not in decontaminate.contamination(docs, bench).columns
+
+
 @pytest.mark.parametrize("operator", [exact_dedup.exact_duplicates, simhash.simhash_groups])
 def test_empty_tables(spark, operator):
     assert operator(empty(spark)).count() == 0

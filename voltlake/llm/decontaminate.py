@@ -4,7 +4,8 @@ The index is a table of postings (row, position, term) of the training texts for
 that occur in the benchmark. A phrase is looked up from its rarest term: that term's postings,
 moved by its offset, are the places where the phrase could start. The other terms' postings,
 moved by theirs, are intersected with those places; a place at which all meet is an exact
-match. Proximity matches ask for a phrase's rarest terms within a distance instead.
+match. Proximity matches ask for a phrase's rarest terms within a distance instead; they are
+counted on request.
 
 A phrase is ``window`` consecutive words of an item, or the whole item if it is shorter. Terms
 and rows are numbers in the index; texts are read once.
@@ -151,28 +152,65 @@ def phrase_matches(index: Index, first: int = 3) -> DataFrame:
     )
 
 
+def nearest_terms(index: Index, count: int) -> DataFrame:
+    """phrase and its ``count`` rarest terms of those that have postings, from the rarest on.
+
+    Repeats of a term count once. Phrases with fewer such terms are left out, unless they have no
+    more terms at all.
+    """
+    known = index.postings.groupBy("term").agg(F.count("*").alias("n"))
+    return (
+        index.phrases.groupBy("phrase", "term").agg(F.min("offset").alias("offset")).join(known, "term", "left")
+        .groupBy("phrase")  # as many rows as a phrase has words
+        .agg(
+            F.count("*").alias("distinct"),
+            F.array_sort(F.collect_list(F.when(F.col("n").isNotNull(), F.struct("n", "offset", "term")))).alias("present"),
+        )
+        .where(F.size("present") >= F.least("distinct", F.lit(count)))
+        .select("phrase", F.slice(F.col("present.term"), 1, count).alias("terms"))
+    )
+
+
 def proximity_matches(index: Index, distance: int, terms: int = 3) -> DataFrame:
     """(row, phrase, pos) where a phrase's rarest terms lie within ``distance`` words of the
     rarest of them, in any order. A looser test than a phrase match, which it includes as
-    far as the distance reaches. Places are met by stretches of text, not in pairs."""
-    rarest = rarest_terms(index, terms)
-    found = index.postings.join(rarest, "term").withColumn("bin", F.floor(F.col("pos") / distance))
-    anchors = found.where("rank = 1").select(
-        "row", "phrase", F.col("pos").alias("at"),
-        F.explode(F.array(*[F.col("bin") + i for i in (-1, 0, 1)])).alias("bin"),
-    )
-    wanted = rarest.groupBy("phrase").agg(F.count("*").alias("wanted"))
-    return (
-        anchors.join(found.select("row", "phrase", "bin", "pos", "rank"), ["row", "phrase", "bin"])
-        .where(F.abs(F.col("pos") - F.col("at")) <= distance)
-        .groupBy("row", "phrase", "at").agg(F.count_distinct("rank").alias("met"))
-        .join(wanted, "phrase").where("met = wanted")
-        .select("row", "phrase", F.col("at").alias("pos"))
-    )
+    far as the distance reaches. Places are met by stretches of text, not in pairs.
+
+    Phrases with the same rarest terms are looked up once, from the places of the rarest."""
+    wanted = staged(nearest_terms(index, terms), "nearest")
+    groups = staged(
+        wanted.select("terms").distinct().withColumn("group", F.monotonically_increasing_id()), "groups"
+    )
+    at_rank = groups.select("group", F.posexplode("terms").alias("rank", "term"))
+    places = staged(
+        index.postings.join(at_rank.where("rank = 0").select("group", "term"), "term").select("row", "group", "pos"),
+        "near",
+    )
+    size = F.size("terms")
+    for rank in range(1, terms):
+        lookups = at_rank.where(F.col("rank") == rank).select("group", "term")
+        stretch = F.floor(F.col("pos") / distance)
+        asked = places.join(lookups, "group").select(
+            *places.columns, "term", F.explode(F.array(*[stretch + i for i in (-1, 0, 1)])).alias("bin")
+        )
+        lists = index.postings.join(lookups.select("term").distinct(), "term", "left_semi").select(
+            "row", "term", F.col("pos").alias("at"), stretch.alias("bin")
+        )
+        on = [asked[c] == lists[c] for c in ("row", "term", "bin")]
+        met = asked.join(lists, [*on, F.abs(asked["pos"] - lists["at"]) <= distance], "left_semi")
+        short = places.join(groups.where(size <= rank).select("group"), "group", "left_semi")
+        places = staged(met.select(places.columns).distinct().unionByName(short), "near")
+    return places.join(groups, "group").join(wanted, "terms").select("row", "phrase", "pos")
+
+
+def near_items(index: Index, distance: int) -> DataFrame:
+    """(row, n_near): items of which a phrase's rarest terms lie within ``distance`` words."""
+    near = proximity_matches(index, distance).select("row", "phrase").distinct().join(index.items, "phrase")
+    return near.groupBy("row").agg(F.count_distinct("item").alias("n_near"))
 
 
 def hits(index: Index) -> DataFrame:
-    """row, id, digest, n_words, n_hit, n_items, items of every document."""
+    """row, id, digest, n_words, n_hit, items of every document."""
     matches = staged(phrase_matches(index), "matches")
     covered = (
         matches.select("row", F.explode(F.sequence("start", F.col("start") + F.col("n_terms") - 1)).alias("pos"))
@@ -190,15 +228,26 @@ def hits(index: Index) -> DataFrame:
     )
 
 
-def contamination(docs: DataFrame, items: DataFrame, *, window: int = 10, id_col: str = "doc_id", **names: str) -> DataFrame:
-    """One row per document: id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    return hits(build_index(docs, items, window=window, id_col=id_col, **names)).select(
+def contamination(
+    docs: DataFrame, items: DataFrame, *, window: int = 10, id_col: str = "doc_id", near: int | None = None, **names: str
+) -> DataFrame:
+    """One row per document: id, n_words, n_hit, n_items, items_sha256, contaminated.
+
+    ``near`` adds n_near, the items of which a phrase's rarest terms lie within so many words.
+    From ``window`` - 1 on it counts all items of n_items, too.
+    """
+    index = build_index(docs, items, window=window, id_col=id_col, **names)
+    found = hits(index)
+    if near is not None:
+        found = found.join(near_items(index, near), "row", "left")
+    return found.select(
         F.col("id").alias(id_col),
         F.col("n_words").cast("long").alias("n_words"),
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.encode(F.array_join("items", ","), "UTF-8"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        *([] if near is None else [F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near")]),
     )
 
 

@@ -52,7 +52,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), near=10)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
