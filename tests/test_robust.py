@@ -174,6 +174,34 @@ def test_archive_gains_new_days_only(spark, tmp_path):
     assert sorted(r["id"] for r in status.cp_status(read_archive(spark, path)).collect()) == list("abcd")
 
 
+@pytest.mark.parametrize("folder", ["raw", "raw 1%20+é"])
+def test_archive_gains_late_files(spark, tmp_path, folder):
+    raw = tmp_path / folder
+    raw.mkdir()
+
+    def snapshot(time, point):
+        doc = {"koeln": city(f"{time[:4]}-{time[4:6]}-{time[6:8]} 10:00:00", station(1, point))}
+        (raw / f"{time}_cp_data_cities.json").write_text(json.dumps(doc))
+        return raw / f"{time}_cp_data_cities.json"
+
+    def archived():
+        return sorted(r["id"] for r in status.cp_status(read_archive(spark, path)).collect())
+
+    gone = snapshot("20211002_100000", "a")
+    snapshot("20211003_100000", "b")
+    snapshot("20211004_100000", "c")
+    path = archive_snapshots(spark, str(raw), str(tmp_path), name="all")
+    kept = {day: sorted(os.listdir(f"{path}/snapshot_date={day}")) for day in ("2021-10-02", "2021-10-03")}
+    gone.unlink()  # what the archive has stays, also where the source has it no more
+    snapshot("20211002_110000", "d")
+    snapshot("20211001_100000", "e")
+    for _ in range(2):
+        archive_snapshots(spark, str(raw), str(tmp_path), name="all")
+        assert archived() == list("abcde")
+    assert sorted(os.listdir(f"{path}/snapshot_date=2021-10-03")) == kept["2021-10-03"]
+    assert set(kept["2021-10-02"]) < set(os.listdir(f"{path}/snapshot_date=2021-10-02"))
+
+
 def test_both_levels_take_one_scan_and_one_parse(spark):
     plan = status.status_rows(documents(spark, *DAMAGED))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") == 1 and plan.count("LogicalRDD") == 1

@@ -46,7 +46,8 @@ def archive_snapshots(
 
     Without a name the table is named after the newest snapshot and written whole. An archive that
     exists under the given name gains the days it lacks, and the last day it has is written anew,
-    since it may have been cut short; files of other days are not opened. Names tell the days,
+    since it may have been cut short. Files that came late for days before it are added to what
+    these days hold; other files are not opened. Names tell the days and what is archived,
     and the scan's own partitions, which pack many files, are written as they are: no text is
     shuffled.
     """
@@ -57,21 +58,31 @@ def archive_snapshots(
     day = utc_day(snapshot_time(F.col("path")))
     files = scan_snapshots(spark, source, pattern, recursive)
     last = _last_day(spark, path) if name else None
-    if last is not None:
-        listed = list_snapshots(spark, source, pattern, recursive).where((day >= F.lit(last)) | day.isNull())
-        wanted = [r["path"] for r in listed.collect()]  # names of new files, as for a directory listing
-        if not wanted:
-            return path
-        files = scan_snapshots(spark, wanted, pattern)
+    if last is None:
+        _write_days(files, path, "overwrite")
+        return path
+    listed = list_snapshots(spark, source, pattern, recursive)
+    earlier = listed.where(day < F.lit(last))
+    archived = read_archive(spark, path).where(F.col("snapshot_date") < F.lit(last)).select(F.col("path").alias("file"))
+    late = earlier.join(archived, "file", "left_anti")
+    newer = listed.where((day >= F.lit(last)) | day.isNull())
+    for some, mode in ((late, "append"), (newer, "overwrite")):
+        wanted = [r["path"] for r in some.collect()]  # names of new files, as for a directory listing
+        if wanted:
+            _write_days(scan_snapshots(spark, wanted, pattern), path, mode)
+    return path
+
+
+def _write_days(files: DataFrame, path: str, mode: str) -> None:
+    """Files into an archive; ``overwrite`` replaces the days it has files of."""
     (
-        files.withColumn("snapshot_date", day)
-        .write.mode("overwrite")
+        files.withColumn("snapshot_date", utc_day(snapshot_time(F.col("path"))))
+        .write.mode(mode)
         .option("compression", "zstd")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("snapshot_date")
         .parquet(path)
     )
-    return path
 
 
 def _last_day(spark: SparkSession, path: str) -> datetime.date | None:

@@ -70,12 +70,12 @@ def stream_snapshots(
 def list_snapshots(
     spark: SparkSession, path: str, pattern: str = "*.json", recursive: bool = False
 ) -> DataFrame:
-    """The files' paths, without opening them."""
+    """The files' paths, without opening them: path, and file as ``scan_snapshots`` writes it."""
     return (
         spark.read.format("binaryFile")
         .options(**_options(pattern, recursive))
         .load(path)
-        .select("path")
+        .select("path", F.col("_metadata.file_path").alias("file"))
     )
 
 
