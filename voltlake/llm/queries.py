@@ -17,6 +17,7 @@ from voltlake.llm.quality import classify_quality
 from voltlake.llm.simhash import simhash_groups
 from voltlake.llm.substring_dedup import remove_repeats
 from voltlake.llm.token_count import count_tokens
+from voltlake.llm.toxicity import classify_toxicity
 from voltlake.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +74,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), vocabulary, limit=2048)
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), threshold=0.5)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -86,6 +91,7 @@ QUERIES: dict[str, Query] = {
         op8_substring_dedup,
         op9_personal_data,
         op10_token_counts,
+        op13_toxicity,
     )
 }
 
