@@ -1,0 +1,110 @@
+"""Search against scoring every document with every query in plain Python."""
+
+import math
+import random
+import re
+import string
+from collections import Counter
+
+import numpy as np
+import pytest
+from helpers import awkward, awkward_rows, empty, sentence
+
+from voltlake.llm import lexical_search as ls
+
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+
+
+def terms(text):
+    return re.findall(ls.TERM, (text or "").translate(LOWER))
+
+
+def expected(docs, items, k=10):
+    counted = [(i, Counter(terms(t))) for i, t in docs]
+    counted = [(i, c) for i, c in counted if c]
+    n_docs, n_all = len(counted), sum(c.total() for _, c in counted)
+    df = Counter(t for _, c in counted for t in c)
+    out = []
+    for item, text in items:
+        found = []
+        for i, c in counted:
+            m, score = 10 + 90 * c.total() * n_docs // n_all, 0
+            for t in set(terms(text)) & set(c):
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                score += w * (1_000_000_000 * c[t] // (1000 * c[t] + 8 * m))
+            if score > 0:
+                found.append((-score, i is None, i))
+        found.sort(key=lambda f: (f[0], f[1], f[2] or 0))
+        out += [(item, rank, i, -s) for rank, (s, _, i) in enumerate(found[:k], 1)]
+    return sorted(out, key=str)
+
+
+def zipf(n, seed):
+    draw = random.Random(seed)
+    return " ".join(f"w{int(draw.paretovariate(0.6)) % 700}" for _ in range(n))
+
+
+def corpus(n=900):
+    draw = random.Random(2)
+    rows = [(i, zipf(draw.choice([3, 40, 200]), i)) for i in range(n)]
+    # A third are copies of one text: equal scores, which rank by id.
+    return [(i, rows[5][1] if i % 3 == 0 else t) for i, t in rows]
+
+
+@pytest.mark.parametrize(("bucket", "first", "block_terms"), [(2048, 0.02, 200_000), (32, 0.2, 60), (64, 0.0, 10)])
+def test_search_equals_brute_force(spark, monkeypatch, bucket, first, block_terms):
+    monkeypatch.setattr(ls, "BUCKET", bucket)
+    monkeypatch.setattr(ls, "FIRST", first)
+    rows = corpus()
+    items = [(k, zipf(20, 10_000 + k)) for k in range(12)] + [(3, rows[5][1]), (None, "w1 W2"), (20, ""), (21, None), (22, "unknown")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = ls.search(docs, spark.createDataFrame(items, "item_id long, text string"), block_terms=block_terms)
+    assert found.dtypes == [("item_id", "bigint"), ("rank", "int"), ("doc_id", "bigint"), ("score", "bigint")]
+    assert sorted(map(tuple, found.collect()), key=str) == expected(rows, items)
+
+
+def test_awkward_rows(spark):
+    rows = [(r[0], r[1]) for r in awkward_rows()]
+    items = [(1, "one TWO é"), (2, sentence(30, 7)), (3, "äöü ÄÖÜ ß 日本語"), (4, "x x x"), (5, "no id")]
+    queries = spark.createDataFrame([(i, t, 1, "r") for i, t in items], "item_id long, text string, n long, row string")
+    found = ls.search(awkward(spark), queries)
+    assert sorted(map(tuple, found.collect()), key=str) == expected(rows, items)
+    assert ls.search(empty(spark), queries).count() == 0
+    assert ls.search(awkward(spark), queries.limit(0)).count() == 0
+
+
+def test_slices_count_every_term(monkeypatch):
+    text = ("Ab-cd é1 " * 50 + "long" * 40).encode()
+    known = {b"ab": 0, "é1".encode(): 1, b"long" * 40: 2}
+    whole = ls.terms_in(text, known)
+    for size in (1, 2, 3, 7, 64):
+        monkeypatch.setattr(ls, "SLICE", size)
+        assert ls.terms_in(text, known) == whole
+    assert whole[0] == 151 and whole[1]["é1".encode()] == 50
+
+
+def random_bucket(seed, n=300, n_terms=60):
+    draw = np.random.default_rng(seed)
+    sizes = draw.integers(1, 12, n)
+    terms_ = np.concatenate([draw.choice(n_terms, s, replace=False) for s in sizes]).astype(np.int32)
+    impacts = (draw.pareto(1.0, len(terms_)) * 1e6).astype(np.int64)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    lengths = np.array([np.sqrt((impacts[a:b].astype(float) ** 2).sum()) for a, b in zip(starts, starts[1:])])
+    return ls.Bucket(starts, terms_, impacts, lengths, n_terms)
+
+
+def test_bounds_lose_nothing_and_prune():
+    pruned = 0
+    for seed in range(30):
+        bucket, draw = random_bucket(seed), np.random.default_rng(seed)
+        query = draw.choice(60, 8, replace=False)
+        wanted = np.zeros(60, bool)
+        wanted[query] = True
+        every = bucket.scores(np.arange(300), wanted)
+        floor = int(np.sort(every)[-10])
+        kept = bucket.candidates(query, floor)
+        assert set(np.flatnonzero(every >= floor)) <= set(kept)
+        assert set(np.flatnonzero(every > 0)) == set(bucket.candidates(query, 0))
+        pruned += 300 - len(kept)
+        assert len(bucket.candidates(query, int(every.sum()) * 10)) == 0
+    assert pruned > 0.8 * 300 * 30
