@@ -1,0 +1,166 @@
+"""Alignment against the libraries on whole texts and counting pair by pair; the hash against a dictionary."""
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from helpers import awkward, awkward_rows, empty, sentence
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+from voltlake.llm import alignment as al
+from voltlake.llm import perfect_hash as ph
+
+PATHS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+LIBRARY_A = Tokenizer.from_file(PATHS[0])
+LIBRARY_A.encode_special_tokens = True
+LIBRARY_B = SentencePieceProcessor(model_file=PATHS[1])
+T = al.Tokenizers(*PATHS, True)
+
+
+def plain(text):
+    """(groups, links) of a whole text, token by token; None without tokens."""
+    if not text:
+        return None
+    ids_a, ids_b = LIBRARY_A.encode(" " + text, add_special_tokens=False).ids, LIBRARY_B.encode(text)
+    data = (" " + text).encode()
+    if b"".join(T.bytes_a[i] for i in ids_a) != data or b"".join(T.bytes_b[i] for i in ids_b) != data:
+        return None
+    spans_a, spans_b = [], []
+    for ids, sizes, spans in ((ids_a, T.sizes_a, spans_a), (ids_b, T.sizes_b, spans_b)):
+        at = 0
+        for i in ids:
+            spans.append((at, at + int(sizes[i]), i))
+            at += int(sizes[i])
+    cuts = sorted({e for _, e, _ in spans_a} & {e for _, e, _ in spans_b})
+    groups, low = [], 0
+    for cut in cuts:
+        groups.append(tuple([i for s, e, i in spans if low < e <= cut] for spans in (spans_a, spans_b)))
+        low = cut
+    links = Counter((a, b) for s, e, a in spans_a for x, y, b in spans_b if s < y and x < e)
+    return groups, links
+
+
+def expected(rows):
+    found = [(i, plain(t)) for i, t in rows]
+    counts = Counter(p for _, f in found if f for p in f[1])
+    best = defaultdict(int)
+    for (a, _), n in counts.items():
+        best[a] = max(best[a], n)
+    out = []
+    for i, f in found:
+        if f is None:
+            out.append((i, 0, 0, 0, 0, 0, 0, ""))
+            continue
+        groups, links = f
+        text = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+        out.append(
+            (i, sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups), links.total(),
+             sum(n for p, n in links.items() if counts[p] == best[p[0]]), sum(n * counts[p] for p, n in links.items()),
+             hashlib.sha256(text.encode()).hexdigest())
+        )
+    return sorted(out, key=str)
+
+
+ODD = [
+    "a  b", " a", "a ", "  ", " ", "\n", "x\n y", "x \n y", "x\n  y\t z ", "it's  'll we're", "<s></s><unk> <0x0A> <|endoftext|> x", "▁ ▁a b", "a▁b c",
+    "　日本 語 x y", "é à ﬁ ẞ İ", "\x00 \x1c a \x85b", "🙂👍🏽 ok🙂", "1234 5 6.7%%%", "don’t “q” — x", "a​b c", "tail\n", "\r\n\r\n w",
+]
+
+
+def docs_of(rows):
+    return [(i, t) for i, t in rows]
+
+
+@settings(max_examples=120, deadline=None)
+@given(st.text(st.one_of(st.sampled_from(" \n\tabé▁'s1日 "), st.characters(codec="utf-8")), max_size=60))
+def test_chunks_make_up_the_whole_text(text):
+    chunks = al.Chunks(T, True)
+    row = next(al.align_texts(chunks, [text]))
+    f = plain(text)
+    if f is None:
+        assert row.digest == "" and not row.counts.any()
+    else:
+        groups, links = f
+        assert row.counts[:4].tolist() == [sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups), links.total()]
+
+
+@pytest.mark.parametrize(("most_pairs", "slice_", "remembered"), [(1 << 22, 1 << 20, 1 << 19), (0, 64, 40), (1 << 22, 30, 3)])
+def test_alignment_equals_brute_force(spark, monkeypatch, most_pairs, slice_, remembered):
+    monkeypatch.setattr(al, "SLICE", slice_)
+    monkeypatch.setattr(al, "REMEMBERED", remembered)
+    monkeypatch.setattr(ph, "BUCKET_KEYS", 64)
+    monkeypatch.setattr(al, "FAN", 2)
+    draw = random.Random(1)
+    rows = list(enumerate(ODD)) + [(100 + i, draw.choice([sentence(30, i), sentence(9, 5), sentence(40, i) + " ▁ x", "É " * i])) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    # The patched sizes must reach the workers, so the module's functions are shipped by value.
+    found = ship_by_value(lambda: al.align_documents(docs, *PATHS, most_pairs=most_pairs).collect())
+    assert sorted(map(tuple, found), key=str) == expected(rows)
+
+
+def ship_by_value(run):
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(al)
+    try:
+        return run()
+    finally:
+        cloudpickle.unregister_pickle_by_value(al)
+
+
+def test_awkward_rows(spark):
+    rows = [(r[0], r[1]) for r in awkward_rows()]
+    found = al.align_documents(awkward(spark), *PATHS)
+    assert found.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    short = [r for r in rows if len(r[1] or "") < 50_000]  # the plain reading squares a text's length
+    expected_rows = {r[0]: r for r in expected(rows=short) if r[0] is not None}
+    got = found.collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in rows)
+    for r in got:
+        if r.doc_id in expected_rows and r.doc_id not in (10, 11):
+            assert tuple(r)[:5] == expected_rows[r.doc_id][:5] and r.groups_sha256 == expected_rows[r.doc_id][7]
+    long = {r.doc_id: r for r in got}
+    assert long[11].n_a > long[10].n_a > 50_000 and long[10].n_links >= long[10].n_groups
+    assert al.align_documents(empty(spark), *PATHS).count() == 0
+
+
+def test_the_library_and_merging_by_rank_agree():
+    assert al.merges_by_rank(al.described(PATHS[0]))
+    plainly = al.Tokenizers(*PATHS, False)
+    for text in [*ODD, sentence(300, 2), "the quick " * 40]:
+        assert (T.encode(text) is None) == (plainly.encode(text) is None)
+        assert T.encode(text) is None or np.array_equal(T.encode(text)[0], plainly.encode(text)[0])
+
+
+def test_other_merges_are_not_taken_for_ranks():
+    vocabulary = al.described(PATHS[0])
+    vocabulary["model"]["merges"][5], vocabulary["model"]["merges"][6] = vocabulary["model"]["merges"][6], vocabulary["model"]["merges"][5]
+    assert not al.merges_by_rank(vocabulary)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.sets(st.integers(0, 2**62), max_size=400), st.integers(1, 7))
+def test_hash_is_minimal_and_perfect(keys, n_buckets):
+    keys = np.array(sorted(keys), np.int64)
+    built = []
+    ordered = {}
+    for bucket in range(n_buckets):
+        own = keys[ph.bucket_of(keys, n_buckets) == bucket]
+        if len(own):
+            sizes, bits, order = ph.build(own)
+            built.append((bucket, sizes, bits.tobytes()))
+            ordered[bucket] = order
+    numbers = ph.PerfectHash(n_buckets, built)
+    found = numbers.numbers(keys)
+    assert numbers.n == len(keys) and sorted(found.tolist()) == list(range(len(keys)))
+    firsts = numbers.firsts()
+    for bucket, order in ordered.items():
+        assert np.array_equal(numbers.numbers(order), firsts[bucket] + np.arange(len(order)))
+    others = np.array([k for k in range(2**62 + 1, 2**62 + 50)], np.int64)
+    assert ((numbers.numbers(others) >= -1) & (numbers.numbers(others) < max(1, len(keys)))).all()

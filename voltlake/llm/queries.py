@@ -7,10 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from voltlake.llm.alignment import align_documents
 from voltlake.llm.common import read_table
 from voltlake.llm.decontaminate import contamination
 from voltlake.llm.exact_dedup import exact_duplicates
 from voltlake.llm.language import identify_languages
+from voltlake.llm.lexical_search import search
 from voltlake.llm.mixing import mix
 from voltlake.llm.pii import find_personal_data, fit_tagger
 from voltlake.llm.quality import classify_quality
@@ -74,6 +76,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), vocabulary, limit=2048)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(
+        read_table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), threshold=0.5)
 
@@ -91,6 +105,8 @@ QUERIES: dict[str, Query] = {
         op8_substring_dedup,
         op9_personal_data,
         op10_token_counts,
+        op11_lexical_search,
+        op12_alignment,
         op13_toxicity,
     )
 }
@@ -171,4 +187,29 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
                sha256(coalesce(t, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (r)""",
+    "op11_lexical_search": r"""
+        WITH d AS (
+          SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+          FROM documents),
+        b AS (
+          SELECT row_number() OVER () AS q, item_id, list_distinct(regexp_extract_all(translate(coalesce(text, ''),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w
+          FROM benchmark),
+        asked AS (SELECT q, unnest(w) AS t FROM b),
+        totals AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_all FROM d WHERE len(w) > 0),
+        tfs AS (
+          SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d)
+          WHERE t IN (SELECT t FROM asked) GROUP BY r, t),
+        weights AS (
+          SELECT t, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight
+          FROM tfs, totals GROUP BY t, n_docs),
+        impacts AS (
+          SELECT r, t, weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(w) * n_docs) // n_all))) AS impact
+          FROM tfs JOIN weights USING (t) JOIN d USING (r), totals),
+        scores AS (SELECT q, r, sum(impact)::BIGINT AS score FROM asked JOIN impacts USING (t) GROUP BY q, r),
+        ranked AS (
+          SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank
+          FROM scores JOIN d USING (r) WHERE score > 0)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked JOIN b USING (q) WHERE rank <= 10""",
 }
