@@ -13,14 +13,20 @@ from pyspark.sql import functions as F
 ZONED = r"\d:\d{2}.*(Z|UTC|GMT|[+-]\d{1,2}(:?\d{2})?|[A-Za-z]+/[A-Za-z_/]+)\s*$"
 
 
+#: Microseconds of a day.
+DAY_MICROS = 86_400_000_000
+
+
 def utc_wall(time: Column) -> Column:
-    """UTC wall time of an instant."""
-    seconds = (F.unix_micros(time).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
-    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    """UTC wall time of an instant, by whole microseconds."""
+    micro = F.expr("INTERVAL '0 00:00:00.000001' DAY TO SECOND")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.unix_micros(time) * micro
 
 
 def utc_day(time: Column) -> Column:
-    return utc_wall(time).cast("date")
+    micros = F.unix_micros(time)
+    # The difference is a multiple of the divisor, so the quotient is exact.
+    return F.date_from_unix_date(((micros - F.pmod(micros, F.lit(DAY_MICROS))) / F.lit(DAY_MICROS)).cast("int"))
 
 
 def utc_text(time: Column) -> Column:

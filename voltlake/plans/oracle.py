@@ -448,6 +448,67 @@ ALL_STATUS = (
 ALL_MATCHES = with_(matches()) + "SELECT id_poi, id_cs FROM matches"
 CATEGORY_MATCHES = with_(matches(HAS_CATEGORY)) + "SELECT id_poi, id_cs FROM matches"
 
+FACT_ROWS = (
+    with_(EVENTS, CONNECTORS_SEEN)
+    + "SELECT 'point' AS level, 'CP' || user_id AS id, city_ts AS query_time, status FROM evt UNION ALL "
+    "SELECT 'connector', id, city_ts, status FROM conn"
+)
+PUBLISHED_COUNTS = ALL_CTES + union(
+    [
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows, 2 AS manifest FROM {s}"
+        for t, s in ALL_TABLES.items()
+        if not t.startswith("staging_")
+    ]
+)
+
+
+def polls(id_column: str, where: str = "true") -> str:
+    """CTE ``polls``: each id's polls with the next one's time and the number of the run."""
+    return f"""single AS (
+  SELECT {id_column} AS id, ts, bool_or(coalesce(status = 'CHARGING', false)) AS active
+  FROM facts WHERE {where} GROUP BY 1, 2
+), polls AS (
+  SELECT *, lead(ts) OVER w AS following,
+    row_number() OVER w - row_number() OVER (PARTITION BY id, active ORDER BY ts) AS run
+  FROM single WINDOW w AS (PARTITION BY id ORDER BY ts)
+)"""
+
+
+def events_of(id_column: str, source_id: str) -> str:
+    return with_(FACTS, polls(source_id)) + (
+        f"SELECT id AS {id_column}, min(ts) AS event_start, max(ts) AS event_end, "
+        "CASE WHEN max(following) > max(ts) THEN max(following) END AS ended, count(*) AS n_polls "
+        "FROM polls WHERE active GROUP BY id, run"
+    )
+
+
+def rollup_of(start: str, end: str) -> str:
+    low, high = f"TIMESTAMP '{start}'", f"TIMESTAMP '{end}'"
+    times = f"""times AS (
+  SELECT id, sum(us) FILTER (WHERE active) AS active_us, sum(us) AS observed_us FROM (
+    SELECT id, active, greatest(0, epoch_us(least(coalesce(following, {high}), {high})) - epoch_us(greatest(ts, {low}))) AS us
+    FROM polls) GROUP BY id
+)"""
+    return with_(FACTS, POINTS, STATIONS, polls("id_cp", f"ts < {high}"), times) + (
+        "SELECT operator_name, city, s.id AS id_cs, CAST(grouping(operator_name, city, s.id) AS INTEGER) AS level, "
+        "count(*) AS n_points, CAST(coalesce(sum(active_us), 0) AS DOUBLE) / 1e6 AS active_seconds, "
+        "CAST(sum(observed_us) AS DOUBLE) / 1e6 AS observed_seconds, "
+        "CASE WHEN sum(observed_us) > 0 THEN round_even(CAST(coalesce(sum(active_us), 0) AS DOUBLE) "
+        "/ CAST(sum(observed_us) AS DOUBLE) * 100, 0) / 100 END AS utilization "
+        "FROM times t LEFT JOIN points p ON p.id = t.id LEFT JOIN stations s ON s.id = p.id_cs "
+        "GROUP BY ROLLUP (operator_name, city, s.id)"
+    )
+
+
+STATION_HISTORY = f"WITH {EVENTS}, " + """states AS (
+  SELECT id_cs, city, city_ts AS ts, CAST(count(*) AS INTEGER) AS n_points FROM evt GROUP BY id_cs, city, no, city_ts
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY id_cs ORDER BY ts)
+    - row_number() OVER (PARTITION BY id_cs, city, n_points ORDER BY ts) AS run FROM states
+), stretches AS (
+  SELECT id_cs, city, n_points, min(ts) AS valid_from, max(ts) AS last_seen FROM numbered GROUP BY id_cs, city, n_points, run
+) SELECT *, lead(valid_from) OVER (PARTITION BY id_cs ORDER BY valid_from) AS valid_to FROM stretches"""
+
 ORACLE: dict[str, str] = {
     "raw_snapshot_scan": with_(EVENTS)
     + "SELECT snapshot, CAST(count(DISTINCT city) AS INTEGER) AS n_cities FROM ev GROUP BY snapshot",
@@ -477,6 +538,8 @@ ORACLE: dict[str, str] = {
     "AS parts(city, station, reason) "
     "UNION ALL SELECT 'page ' || page_id, NULL, NULL, 'document' FROM pages",
     "stream_intake": ALL_STATUS,
+    "intake_load": FACT_ROWS,
+    "intake_compacted": ALL_STATUS,
     "explode_children": with_(EVENTS) + "SELECT snapshot, id_cs, event_id AS uid FROM evt",
     "dynamic_columns": with_(EVENTS)
     + "SELECT CAST(id_cs AS VARCHAR) AS id_cs, '[\"RFID\"]' AS capabilities, "
@@ -573,6 +636,7 @@ ORACLE: dict[str, str] = {
         for t, s in ALL_TABLES.items()
         if not t.startswith("staging_")
     ),
+    "published_tables": PUBLISHED_COUNTS,
     "parameterised_sql": with_(STATIONS)
     + "SELECT city, count(*) AS n_stations FROM stations WHERE roaming GROUP BY city",
     "dq_row_count": ALL_CTES
@@ -621,6 +685,11 @@ ORACLE: dict[str, str] = {
     + "SELECT f.id_connector, f.ts AS query_time, f.status AS status_connector, s.id AS id_cs, "
     "p.id AS id_cp, c.max_power, s.city FROM facts f JOIN connectors c ON c.id = f.id_connector "
     "JOIN points p ON p.id = c.id_cp JOIN stations s ON s.id = p.id_cs",
+    "charging_events": events_of("id_chargingpoint", "id_cp"),
+    "charging_events_connector": events_of("id_connector", "id_connector"),
+    "utilization_rollup": rollup_of("2024-01-05 06:00:00", "2024-01-20 18:30:00"),
+    "station_history": STATION_HISTORY,
+    "station_history_grown": STATION_HISTORY,
     "station_header": with_(STATIONS)
     + "SELECT id AS id_cs, operator_name, address, trim(postal_code) AS postal_code, city "
     "FROM stations",

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voltlake.functions.geo import to_utm32, vertices
-from voltlake.functions.times import utc_day, utc_wall
+from voltlake.functions.times import utc_day, utc_time, utc_wall
 from voltlake.functions.values import buffer_metres, poi_city_name, status_number
-from voltlake.operators import flatten, master, quality, utilization
+from voltlake.operators import flatten, history, master, polls, quality, utilization
 from voltlake.operators import poi as pois
 from voltlake.operators import status as status_ops
-from voltlake.operators.spatial import match_pois
-from voltlake.plans import jobs, warehouse
+from voltlake.operators.spatial import match_pois, write_shapes
+from voltlake.plans import jobs, manifest, warehouse
 from voltlake.plans.bindings import SNAPSHOT_PATTERN, Inputs, city_code, inputs_of
 from voltlake.runtime import scratch_path
 from voltlake.schemas import MAIN, PRIMARY_KEYS, REFERENCES, STAGING, table
@@ -22,7 +22,7 @@ from voltlake.sinks.files import archive_snapshots, read_archive, write_table
 from voltlake.sources import snapshots
 from voltlake.sources.delimited import bind_by_name, read_delimited
 from voltlake.sources.poi import read_features
-from voltlake.streaming.intake import take_in, taken_in
+from voltlake.streaming.intake import compact_intake, take_in, taken_in
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -146,6 +146,48 @@ def stream_intake(i: Inputs) -> DataFrame:
     return _both_levels(*taken_in(i.spark, target))
 
 
+def _halves(i: Inputs, folder: str):
+    """Writes every other snapshot to a folder of files, then the others."""
+    number = F.dense_rank().over(Window.orderBy("path"))  # a row for each file's name
+    names = i.documents().select("path").withColumn("half", number % 2)
+    halved = i.documents().join(F.broadcast(names), "path").withColumnRenamed("path", "snapshot")
+    for half in (0, 1):
+        halved.where(F.col("half") == half).drop("half").write.mode("append").partitionBy("snapshot").text(folder)
+        yield half
+
+
+@query
+def intake_load(i: Inputs) -> DataFrame:
+    """Two runs of the intake, a load after each and one load more: the facts of all snapshots."""
+    base = scratch_path(i.spark, "intake")
+    database = "voltlake_" + base.rsplit("-", 1)[1]
+    for _ in _halves(i, f"{base}/files"):
+        take_in(i.spark, f"{base}/files", f"{base}/taken", f"{base}/progress", pattern=SNAPSHOT_PATTERN, recursive=True)
+        tables = jobs.load_intake(i.spark, database, f"{base}/taken", location=f"{base}/tables")
+    tables = jobs.load_intake(i.spark, database, f"{base}/taken", location=f"{base}/tables")
+    points = tables["status_chargingpoints"].select(
+        F.lit("point").alias("level"), F.col("id_chargingpoint").alias("id"), "query_time", F.col("status_cp").alias("status")
+    )
+    connectors = tables["status_connectors"].select(
+        F.lit("connector").alias("level"), F.col("id_connector").alias("id"), "query_time", F.col("status_connector").alias("status")
+    )
+    return with_ntz(points.unionByName(connectors))
+
+
+@query
+def intake_compacted(i: Inputs) -> DataFrame:
+    """The intake in many batches, merged into one segment, and some batches more."""
+    base = scratch_path(i.spark, "intake")
+    for half in _halves(i, f"{base}/files"):
+        take_in(
+            i.spark, f"{base}/files", f"{base}/taken", f"{base}/progress",
+            pattern=SNAPSHOT_PATTERN, recursive=True, files_per_trigger=25,
+        )
+        if half == 0:
+            compact_intake(i.spark, f"{base}/taken", upto=1 << 30)
+    return _both_levels(*taken_in(i.spark, f"{base}/taken"))
+
+
 # ---- nested records ----------------------------------------------------------------------
 
 
@@ -391,7 +433,8 @@ def _stations(i: Inputs) -> DataFrame:
 
 @query
 def poi_station_match(i: Inputs) -> DataFrame:
-    return match_pois(i.planar_pois, _stations(i))
+    shapes = write_shapes(i.planar_pois, scratch_path(i.spark, "shapes"))
+    return match_pois(i.planar_pois, _stations(i), shapes=shapes)
 
 
 @query
@@ -505,6 +548,29 @@ def incremental_load(i: Inputs) -> DataFrame:
     return quality.union_all([_row_count(tables[t], t) for t in MAIN])
 
 
+@query
+def published_tables(i: Inputs) -> DataFrame:
+    """Rows of each table as the manifest in force names them, after a load, a growing one and a failed one."""
+    base = scratch_path(i.spark, "load")
+    database = "voltlake_" + base.rsplit("-", 1)[1]
+    specs = warehouse.STAGING_SPECS + warehouse.MAIN_SPECS
+    every = i.warehouse_sources()
+    facts = ("raw_staging_status_cp", "raw_staging_status_connectors")
+    early = F.col("ts") < utc_time(F.lit("2024-01-16"))
+    warehouse.load_warehouse(
+        i.spark, database, {t: every[t].where(early) if t in facts else every[t] for t in every}, specs, base, side_by_side=4
+    )
+    warehouse.load_warehouse(i.spark, database, every, specs, base, extend=True, side_by_side=4)
+    broken = {t: every[t] for t in every} | {"raw_staging_connectors": every["raw_staging_connectors"].withColumn("max_power", F.lit(400))}
+    try:
+        warehouse.load_warehouse(i.spark, database, broken, specs, base, extend=True, side_by_side=4)
+    except quality.QualityError:
+        number = manifest.read_manifest(i.spark, database).number
+    tables = warehouse.open_warehouse(i.spark, database, specs)
+    counts = quality.union_all([_row_count(df, name) for name, df in tables.items()])
+    return counts.withColumn("manifest", F.lit(number))
+
+
 @query
 def dim_scan(i: Inputs) -> DataFrame:
     return _published(i, "charging_station")
@@ -667,6 +733,55 @@ def drilldown(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def charging_events(i: Inputs) -> DataFrame:
+    facts = i.star_schema["status_chargingpoints"]
+    return with_ntz(polls.charging_events(facts, "id_chargingpoint", "status_cp"))
+
+
+@query
+def charging_events_connector(i: Inputs) -> DataFrame:
+    facts = i.star_schema["status_connectors"]
+    return with_ntz(polls.charging_events(facts, "id_connector", "status_connector"))
+
+
+@query
+def utilization_rollup(i: Inputs) -> DataFrame:
+    t = i.star_schema
+    return polls.utilization_rollup(
+        t["status_chargingpoints"], t["charging_point"], t["charging_station"],
+        "2024-01-05 06:00:00", "2024-01-20 18:30:00",
+    )
+
+
+def _station_states(i: Inputs) -> DataFrame:
+    """What each snapshot says of a station: its city and how many points it has."""
+    rows = flatten.station_rows_ts(i.documents())
+    states = rows.select(F.col("id").cast("int").alias("id_cs"), "timestamp", F.size("evses").alias("n_points"))
+    cities = i.raw_charging_stations().select(F.col("id").alias("id_cs"), "city")
+    return states.join(cities, "id_cs")
+
+
+def _history(df: DataFrame) -> DataFrame:
+    return with_ntz(df.drop("attribute_hash"))
+
+
+@query
+def station_history(i: Inputs) -> DataFrame:
+    return _history(history.intervals(_station_states(i), "id_cs", "timestamp", ["city", "n_points"]))
+
+
+@query
+def station_history_grown(i: Inputs) -> DataFrame:
+    """The same in two loads, the second of which ends open intervals of a written first one."""
+    states, attributes = _station_states(i), ["city", "n_points"]
+    early = F.col("timestamp") < utc_time(F.lit("2024-01-14 12:00:00"))
+    path = scratch_path(i.spark, "history")
+    history.intervals(states.where(early), "id_cs", "timestamp", attributes).write.parquet(path)
+    known = i.spark.read.parquet(path)
+    return _history(history.extend_history(known, states.where(~early), "id_cs", "timestamp", attributes))
+
+
 @query
 def station_header(i: Inputs) -> DataFrame:
     return utilization.station_header(i.star_schema["charging_station"])

@@ -26,6 +26,8 @@ from voltlake.operators.quality import (
     require_unique,
     watched,
 )
+from voltlake.plans.manifest import Manifest, publish, quoted, read_manifest, read_parts
+from voltlake.runtime import drop_scratch, scratch_path
 from voltlake.schemas import MAIN, PRIMARY_KEYS, STAGING
 from voltlake.sources.delimited import bind_by_name, empty_text, read_delimited
 
@@ -46,6 +48,8 @@ class TableSpec:
     sort_by: tuple[str, ...] = ()
     # Columns that tell rows apart; checked on request, and needed to add rows.
     key: tuple[str, ...] = ()
+    # Ids that rows are looked up by.
+    find_by: tuple[str, ...] = ()
     # Facts grow by later loads; other tables are replaced.
     grows: bool = False
     # Staging tables are plans that the main tables are built from; they are not written.
@@ -147,11 +151,13 @@ STAGING_SPECS = [_staging(name) for name in STAGING]
 MAIN_SPECS = [
     _main(
         "status_chargingpoints", status_chargingpoints,
-        day_of="query_time", sort_by=("id_chargingpoint", "query_time"), grows=True,
+        day_of="query_time", sort_by=("id_chargingpoint", "query_time"),
+        find_by=("id_chargingpoint",), grows=True,
     ),
     _main(
         "status_connectors", status_connectors,
-        day_of="query_time", sort_by=("id_connector", "query_time"), grows=True,
+        day_of="query_time", sort_by=("id_connector", "query_time"),
+        find_by=("id_connector",), grows=True,
     ),
     _main(
         "charging_station", charging_station,
@@ -176,78 +182,132 @@ def build_tables(sources: Tables, specs: list[TableSpec]) -> Tables:
 
 DAY = "query_date"
 
+#: Parts of a growing table beyond which a load merges those that loads have added.
+MOST_PARTS = 16
+
 
 def _laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Facts gathered by day in one shuffle, which splits a heavy day over several tasks, and sorted
     by id and time within each file."""
     if spec.day_of is None:
         return df
-    dated = df.withColumn(DAY, utc_day(F.col(spec.day_of)))
+    dated = df if DAY in df.columns else df.withColumn(DAY, utc_day(F.col(spec.day_of)))
     return dated.hint("rebalance", DAY).sortWithinPartitions(DAY, *spec.sort_by)
 
 
-def quoted(*names: str) -> str:
-    """A name of several parts, whatever characters they have."""
-    return ".".join(f"`{n.replace('`', '``')}`" for n in names)
-
-
-def _write(df: DataFrame, spec: TableSpec, mode: str, table: str) -> None:
-    writer = _laid_out(df, spec).write.mode(mode).format("parquet")
+def _write(spark: SparkSession, df: DataFrame, spec: TableSpec, database: str) -> str:
+    """A new part of the table. Columns to find rows by get Bloom filters, so that files without an id are left unread."""
+    part = f"{spec.name}__{clock.time_ns():020d}_{uuid.uuid4().hex[:6]}"
+    writer = _laid_out(df, spec).write.mode("error").format("parquet")
+    for column in spec.find_by:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if spec.day_of is not None:
         writer = writer.partitionBy(DAY)
-    writer.saveAsTable(table)
+    try:
+        writer.saveAsTable(quoted(database, part))
+    except Exception:
+        _drop(spark, database, [part])
+        raise
+    return part
 
 
-def _versions(spark: SparkSession, database: str, name: str) -> list[str]:
-    """Written versions of a table, oldest first."""
-    listed = spark.catalog.listTables(quoted(database), f"{name}__*")
-    return sorted(t.name for t in listed)
+def _drop(spark: SparkSession, database: str, parts: list[str]) -> None:
+    for part in parts:
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(database, part)}")
 
 
 def load_table(
     spark: SparkSession, database: str, spec: TableSpec, tables: Tables, check_keys: bool = False
-) -> DataFrame:
-    """Writes a new version, checks it, then points the published view at it.
+) -> list[str]:
+    """Writes the table anew and checks it; returns its one part, which nobody reads yet.
 
-    Rules are counted while the version is written. A failed check leaves the published table as
-    it was. The version before stays for one more load, for readers that are under way.
+    Rules are counted while the part is written.
     """
-    version = f"{spec.name}__{clock.time_ns():020d}_{uuid.uuid4().hex[:6]}"
-    table = quoted(database, version)
     rows, check = watched(enforced(typed(spec.build(tables), spec.schema), spec), spec.rules, spec.name)
+    part = _write(spark, rows, spec, database)
     try:
-        _write(rows, spec, "overwrite", table)
         check()
         if check_keys and spec.key:
-            require_unique(spark.table(table), list(spec.key), spec.name)
+            require_unique(spark.table(quoted(database, part)), list(spec.key), spec.name)
     except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        _drop(spark, database, [part])
         raise
-    columns = ", ".join(quoted(f.name) for f in spec.schema)
-    views = {spec.name: columns}
-    if spec.day_of is not None:
-        views[f"{spec.name}_by_day"] = f"{columns}, {DAY}"
-    for view, listed in views.items():
-        spark.sql(f"CREATE OR REPLACE VIEW {quoted(database, view)} AS SELECT {listed} FROM {table}")
-    for old in _versions(spark, database, spec.name)[:-2]:
-        spark.sql(f"DROP TABLE {quoted(database, old)}")
-    return spark.table(quoted(database, spec.name))
+    return [part]
+
+
+def touched_days(known: DataFrame, rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows of ``known`` on the days of ``rows``; other days are not read."""
+    if spec.day_of is None:
+        return known
+    days = [r[0] for r in rows.select(DAY).distinct().collect()]  # as many as the load has days
+    return known.where(F.col(DAY).isin(days)) if days else known.where(F.lit(False))
 
 
-def extend_table(spark: SparkSession, database: str, spec: TableSpec, tables: Tables) -> DataFrame:
-    """Adds the rows whose keys the published table lacks; its own rows are not written again.
+def extend_table(
+    spark: SparkSession, database: str, spec: TableSpec, tables: Tables, parts: list[str], check_keys: bool = False
+) -> list[str]:
+    """Parts of the table with one more for the rows whose keys the ``parts`` lack.
 
-    Of a fact only the days of the new rows are read. A load that is run again adds nothing.
+    The source is evaluated once, into a scratch table that is checked and then held against the
+    days it touches. A load that is run again adds nothing. With ``check_keys`` a key that the source
+    has twice stops the load; without it such rows are all added.
     """
-    table = quoted(database, _versions(spark, database, spec.name)[-1])
-    rows = enforced(typed(spec.build(tables), spec.schema), spec)
-    require(rows, spec.rules, spec.name)  # before the write, which could not be taken back
-    known, keys = spark.table(table), list(spec.key)
+    path = scratch_path(spark, spec.name)
+    source = enforced(typed(spec.build(tables), spec.schema), spec)
     if spec.day_of is not None:
-        days = rows.select(utc_day(F.col(spec.day_of)).alias(DAY)).distinct()
-        known = known.join(days, DAY, "left_semi")
-    _write(rows.join(known.select(*keys), keys, "left_anti"), spec, "append", table)
-    return spark.table(quoted(database, spec.name))
+        source = source.withColumn(DAY, utc_day(F.col(spec.day_of)))
+    watch, check = watched(source, spec.rules, spec.name)
+    added: list[str] = []
+    try:
+        watch.write.parquet(path)
+        check()
+        rows, keys = spark.read.schema(source.schema).parquet(path), list(spec.key)
+        if check_keys:
+            require_unique(rows, keys, spec.name)
+        known = touched_days(read_parts(spark, database, parts), rows, spec)
+        new = rows.join(known.select(*keys), keys, "left_anti")
+        if not new.isEmpty():
+            added.append(_write(spark, new, spec, database))
+        if len(parts) + len(added) > MOST_PARTS:
+            merged = _write(spark, read_parts(spark, database, [*parts[1:], *added]), spec, database)
+            _drop(spark, database, added)
+            return [parts[0], merged]
+    except Exception:
+        _drop(spark, database, added)
+        raise
+    finally:
+        drop_scratch(spark, path)
+    return [*parts, *added]
+
+
+def point_views(spark: SparkSession, database: str, specs: list[TableSpec], manifest: Manifest) -> None:
+    """Views by the tables' names, for SQL. Each shows the manifest's parts; the tables together are read
+    by ``open_warehouse``."""
+    for spec in specs:
+        if spec.name not in manifest.parts:
+            continue
+        columns = ", ".join(quoted(f.name) for f in spec.schema)
+        views = {spec.name: columns}
+        if spec.day_of is not None:
+            views[f"{spec.name}_by_day"] = f"{columns}, {DAY}"
+        for view, listed in views.items():
+            selects = []
+            for part in manifest.parts[spec.name]:
+                own = set(spark.table(quoted(database, part)).columns)
+                lacking = {f.name: f"CAST(NULL AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in spec.schema if f.name not in own}
+                shown = ", ".join(lacking.get(f.name, quoted(f.name)) for f in spec.schema) + listed.removeprefix(columns)
+                selects.append(f"SELECT {shown} FROM {quoted(database, part)}")
+            spark.sql(f"CREATE OR REPLACE VIEW {quoted(database, view)} AS {' UNION ALL '.join(selects)}")
+
+
+def open_warehouse(spark: SparkSession, database: str, specs: list[TableSpec], number: int | None = None) -> dict[str, DataFrame]:
+    """All published tables as one load left them: the last one, or the kept one of a number."""
+    manifest = read_manifest(spark, database, number)
+    return {
+        s.name: read_parts(spark, database, manifest.parts[s.name]).select(*[f.name for f in s.schema])
+        for s in specs
+        if s.name in manifest.parts
+    }
 
 
 def load_warehouse(
@@ -260,39 +320,55 @@ def load_warehouse(
     extend: bool = False,
     check_keys: bool = False,
     side_by_side: int = 1,
+    marks: Mapping[str, int] = {},
 ) -> dict[str, DataFrame]:
-    """Loads all tables in order; later builds read the published tables.
+    """Loads all tables in order and publishes them together; later builds read the new rows.
 
     Staging tables are checked and stay plans. With ``extend`` facts gain the new rows and the other
-    tables are replaced; without it all are. ``side_by_side`` main tables are written at a time;
-    above one they must not be built from each other.
+    tables are replaced; without it all are. Nothing is published before every table is written
+    and checked, and then everything by one manifest, with ``marks``. ``side_by_side`` main tables are written at
+    a time; above one they must not be built from each other.
     """
     escaped = (location or "").replace("\\", "\\\\").replace("'", "\\'")
     place = f" LOCATION '{escaped}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}{place}")
-    published: dict[str, DataFrame] = {}
+    before = read_manifest(spark, database)
+    ready: dict[str, DataFrame] = {}
+    parts: dict[str, list[str]] = {}
 
     def known() -> LazyTables:
         makers = {name: lambda name=name: sources[name] for name in sources}
-        return LazyTables(makers | {name: lambda df=df: df for name, df in published.items()})
+        return LazyTables(makers | {name: lambda df=df: df for name, df in ready.items()})
 
     def stored(spec: TableSpec, tables: LazyTables) -> DataFrame:
-        if extend and spec.grows and _versions(spark, database, spec.name):
-            return extend_table(spark, database, spec, tables)
-        return load_table(spark, database, spec, tables, check_keys)
-
-    for spec in (s for s in specs if not s.stored):
-        published[spec.name] = enforced(typed(spec.build(known()), spec.schema), spec)
-        require(published[spec.name], spec.rules, spec.name)
-    main = [s for s in specs if s.stored]
-    if side_by_side > 1:
-        with ThreadPoolExecutor(side_by_side) as pool:
-            tables = known()
-            published |= dict(zip([s.name for s in main], pool.map(lambda s: stored(s, tables), main)))
-    else:
-        for spec in main:
-            published[spec.name] = stored(spec, known())
-    return published
+        if extend and spec.grows and spec.name in before.parts:
+            parts[spec.name] = extend_table(spark, database, spec, tables, before.parts[spec.name], check_keys)
+        else:
+            parts[spec.name] = load_table(spark, database, spec, tables, check_keys)
+        return read_parts(spark, database, parts[spec.name]).select(*[f.name for f in spec.schema])
+
+    staging, main = [s for s in specs if not s.stored], [s for s in specs if s.stored]
+    for spec in staging:
+        ready[spec.name] = enforced(typed(spec.build(known()), spec.schema), spec)
+    with ThreadPoolExecutor(side_by_side) as pool:  # a failed check stops the load before anything is written
+        list(pool.map(lambda s: require(ready[s.name], s.rules, s.name), staging))
+    manifest = before
+    try:
+        if side_by_side > 1:
+            with ThreadPoolExecutor(side_by_side) as pool:
+                tables = known()
+                ready |= dict(zip([s.name for s in main], pool.map(lambda s: stored(s, tables), main)))
+        else:
+            for spec in main:
+                ready[spec.name] = stored(spec, known())
+        manifest = before.successor(parts, dict(marks))
+        publish(spark, database, manifest)
+    except Exception:
+        published = {p for listed in read_manifest(spark, database).parts.values() for p in listed}
+        _drop(spark, database, [p for listed in parts.values() for p in listed if p not in published])
+        raise
+    point_views(spark, database, main, manifest)
+    return ready
 
 
 def facts_between(spark: SparkSession, table: str, start: str, end: str) -> DataFrame:

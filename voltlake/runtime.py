@@ -30,6 +30,13 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match, by name alone; no file is opened."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(place)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     app = spark.sparkContext.applicationId
