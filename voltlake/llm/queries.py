@@ -164,11 +164,33 @@ ORACLE: dict[str, str] = {
           FROM (SELECT r, unnest(range(p, p + n)) AS q FROM (SELECT DISTINCT r, p, n FROM matches)) GROUP BY r),
         named AS (
           SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
-          FROM (SELECT DISTINCT r, item_id::VARCHAR AS i FROM matches) GROUP BY r)
+          FROM (SELECT DISTINCT r, item_id::VARCHAR AS i FROM matches) GROUP BY r),
+        tokens AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+        terms AS (
+          SELECT s, word, min(o) AS o
+          FROM (SELECT s, unnest(string_split(s, ' ')) AS word, unnest(range(1, n + 1)) AS o FROM (SELECT DISTINCT s, n FROM windows))
+          GROUP BY s, word),
+        corpus AS (SELECT word, count(*) AS n FROM tokens GROUP BY word),
+        ranked AS (
+          SELECT s, word, row_number() OVER (PARTITION BY s ORDER BY n, o) AS k, count(*) OVER (PARTITION BY s) AS present
+          FROM terms JOIN corpus USING (word)),
+        rarest AS (
+          SELECT s, word, k FROM ranked JOIN (SELECT s, count(*) AS total FROM terms GROUP BY s) USING (s)
+          WHERE k <= 3 AND present >= least(total, 3)),
+        postings AS (SELECT r, word, p FROM tokens WHERE word IN (SELECT word FROM rarest)),
+        near AS (
+          SELECT DISTINCT a.r, x.s
+          FROM rarest x JOIN postings a ON x.k = 1 AND a.word = x.word
+          LEFT JOIN rarest y ON y.s = x.s AND y.k = 2
+          LEFT JOIN postings b ON b.r = a.r AND b.word = y.word AND abs(a.p - b.p) <= 10
+          LEFT JOIN rarest z ON z.s = x.s AND z.k = 3
+          LEFT JOIN postings c ON c.r = a.r AND c.word = z.word AND abs(a.p - c.p) <= 10
+          WHERE (y.s IS NULL OR b.r IS NOT NULL) AND (z.s IS NULL OR c.r IS NOT NULL)),
+        counted AS (SELECT r, count(DISTINCT item_id) AS n_near FROM near JOIN windows USING (s) GROUP BY r)
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
                coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-               coalesce(n_hit, 0) > 0 AS contaminated
-        FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)""",
+               coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+        FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r) LEFT JOIN counted USING (r)""",
     "op8_substring_dedup": r"""
         WITH d AS (
           SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
