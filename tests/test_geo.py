@@ -248,6 +248,25 @@ def test_match_with_hot_cells_equals_brute_force(spark, monkeypatch):
     assert got == brute(rows, spots)
 
 
+def test_large_pois_carry_the_edges_of_a_cell(spark, monkeypatch, tmp_path):
+    """Thousands of vertices on a cell's corner: each cell holds its own edges, and pairs are right on all sides."""
+    rng = random.Random(8)
+    rows = [
+        ("big", "mall", "polygon", [[star(rng, 20_480, 20_480, 10_000, 4_000, 9_000), square(20_480, 20_480, 2_000)]]),
+        ("ring", "fuel", "multipolygon", [[star(rng, -700, 300, 400, 500, 520)], [square(500, 300, 60)]]),
+        ("path", "zoo", "linestring", [[[(i * 3.0, 90 * math.sin(i / 20)) for i in range(2_000)]]]),
+    ]
+    spots = [(i, rng.uniform(11_000, 30_000), rng.uniform(11_000, 30_000)) for i in range(500)]
+    spots += [(1000 + i, rng.uniform(-1500, 6200), rng.uniform(-400, 1000)) for i in range(400)]
+    kept = spatial.write_shapes(features(spark, rows), str(tmp_path / "shapes"))
+    carried = kept.where("id_poi = 'big'").agg(F.sum(F.size("edges")), F.sum(F.size("sides")), F.count("*")).first()
+    assert carried[2] == 4 and carried[0] < 1.1 * 10_004 and carried[1] < 2.2 * 10_004
+    expected = brute(rows, spots)
+    assert len(expected) > 200
+    assert planar_match(spark, monkeypatch, rows, spots) == expected
+    assert planar_match(spark, monkeypatch, rows, spots, shapes=kept) == expected
+
+
 def test_match_edges(spark, monkeypatch):
     rows = [
         ("edge", "fuel", "point", [[[(0.0, 0.0)]]]),

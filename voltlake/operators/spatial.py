@@ -75,8 +75,8 @@ def shape_cells(
         "id_poi",
         buffer_metres(F.col("poi_cat"), distances, default).alias("radius"),
         F.col("geom_type").isin(AREA_KINDS).alias("is_area"),
-        bounds(F.col("geometry")).alias("box"),
-        segments(F.col("geometry")).alias("all_edges"),
+        # The geometry, which may be an expression itself, is evaluated once.
+        F.inline(F.transform(F.array("geometry"), lambda g: F.struct(bounds(g).alias("box"), segments(g).alias("all_edges")))),
     )
     grown = shaped.select(
         "id_poi", "radius", "is_area", "all_edges", (F.size("all_edges") == 0).alias("is_point"),

@@ -16,7 +16,7 @@ from voltlake.constants import CITY_POI_NAMES
 from voltlake.functions.geo import xy
 from voltlake.functions.times import utc_instant, wall_text
 from voltlake.operators.poi import prepare_pois
-from voltlake.operators.spatial import match_pois
+from voltlake.operators.spatial import match_pois, write_shapes
 from voltlake.plans.warehouse import (
     MAIN_SPECS,
     STAGING_SPECS,
@@ -64,6 +64,11 @@ class Inputs:
     def _n_suppliers(self) -> Column:
         return self.table("supplier").agg(F.count(F.lit(1))).scalar()
 
+    def _spread(self, df: DataFrame) -> DataFrame:
+        """Rows of a table that has fewer files than there are cores, dealt over all of them."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
     @staticmethod
     def _status(event_type: Column) -> Column:
         pairs = [F.lit(x) for pair in STATUS_OF_EVENT.items() for x in pair]
@@ -167,9 +172,8 @@ class Inputs:
     def poi_features(self) -> DataFrame:
         """OSM-like features in degrees around the stations' positions."""
         p = F.col("p_partkey")
-        base = self.table("part").select(
-            "p_partkey", "p_size", (p % self._n_suppliers()).alias("near")
-        )
+        parts = self._spread(self.table("part").select("p_partkey", "p_size"))
+        base = parts.select("p_partkey", "p_size", (p % self._n_suppliers()).alias("near"))
         lon = self._longitude(F.col("near")) + (p * 29 % 37 - 18) * F.lit(4e-5)
         lat = self._latitude(F.col("near")) + (p * 13 % 41 - 20) * F.lit(3e-5)
         kind = p % 3
@@ -374,7 +378,8 @@ class Inputs:
 
         def mapping() -> DataFrame:
             stations = self.raw_charging_stations().withColumnRenamed("id", "id_cs")
-            return match_pois(pois(), stations)
+            shapes = write_shapes(pois(), scratch_path(self.spark, "shapes"))
+            return match_pois(pois(), stations, shapes=shapes)
 
         return LazyTables(
             {
