@@ -141,8 +141,8 @@ def expected_removed(texts, window):
     return out
 
 
-@pytest.mark.parametrize("levels", [1, 2, 3])
-def test_repeated_passages(spark, levels):
+@pytest.mark.parametrize("shortest", [35, 18, 5, 1])
+def test_repeated_passages(spark, shortest):
     shared, other = sentence(60, 90), sentence(35, 91)
     texts = [
         sentence(80, 1) + " " + shared + " " + sentence(30, 2), sentence(20, 3) + "\n" + shared, shared,
@@ -150,14 +150,38 @@ def test_repeated_passages(spark, levels):
         *[sentence(50, 6)] * 3,
     ]
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, pos int").repartition(3)
-    found = substring_dedup.remove_repeats(df, window=35, levels=levels).orderBy("doc_id").collect()
+    found = substring_dedup.remove_repeats(df, window=35, shortest=shortest).orderBy("doc_id").collect()
     assert [tuple(r)[1:] for r in found] == expected_removed(texts, 35)
 
 
+def test_lengths_double_until_no_candidate_survives(spark, monkeypatch):
+    assert substring_dedup.lengths_of(35, 5) == [5, 9, 18, 35] and substring_dedup.lengths_of(35, 35) == [35]
+    taken, tally = [], substring_dedup._tally
+
+    def watched(docs, window, length, before):
+        taken.append(length)
+        return tally(docs, window, length, before)
+
+    monkeypatch.setattr(substring_dedup, "_tally", watched)
+    own = [" ".join(f"{k}w{i}" for i in range(60)) for k in range(3)]
+    shared = " ".join(f"s{i}" for i in range(20))  # shorter than the window: no window of 35 repeats
+    cases = [
+        (own, [5]),
+        ([t + " " + shared for t in own], None),
+        ([own[0] + " x " + own[0], own[1]], [5, 9, 18, 35]),
+    ]
+    for rows, lengths in cases:
+        taken.clear()
+        df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+        found = substring_dedup.remove_repeats(df).orderBy("doc_id").collect()
+        assert [tuple(r)[1:] for r in found] == expected_removed(rows, 35)
+        assert taken == (lengths or [5, 9, 18, 35][: len(taken)])
+
+
 def test_repeated_passages_of_awkward_rows(spark):
     """Repeated and null ids: equal rows have equal answers, no text is mixed up with another."""
     rows = awkward_rows()
-    found = substring_dedup.remove_repeats(awkward(spark), window=20, levels=2).collect()
+    found = substring_dedup.remove_repeats(awkward(spark), window=20, shortest=10).collect()
     expected = expected_removed([r[1] for r in rows], 20)
     assert Counter(map(tuple, found)) == Counter((r[0], *e) for r, e in zip(rows, expected, strict=True))
     assert substring_dedup.remove_repeats(empty(spark)).count() == 0

@@ -51,7 +51,7 @@ def text_digest(text: Column) -> Column:
 def kept_rows(docs: DataFrame, verdicts: DataFrame, id_col: str, digest: Column) -> DataFrame:
     """Rows of ``docs`` that stay, by verdicts of __id, __digest and __stays, one for each row.
 
-    Rows are found again by id and digest, wherever they are read; only keys that are dropped or
+    The rows travel in one struct, so their own columns may have any names. Rows are found again by id and digest, wherever they are read; only keys that are dropped or
     that repeat are looked up. Of rows with one key, at most one stays. The texts are shuffled once at
     every size of the input: the keys to look up grow with it, so they are not broadcast.
     """
@@ -61,10 +61,10 @@ def kept_rows(docs: DataFrame, verdicts: DataFrame, id_col: str, digest: Column)
         .where("__n > 1 or not __stays")
     )
     special = staged(special, "special")
-    keyed = docs.withColumns({"__id": F.col(id_col), "__digest": digest})
+    keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("__id"), digest.alias("__digest"))
     marked = keyed.join(special.hint("merge"), null_safe(keyed, special, ["__id", "__digest"]), "left").select(
-        *[keyed[c] for c in keyed.columns], "__n", "__stays"
+        "row", keyed["__id"], keyed["__digest"], "__n", "__stays"
     )
     once = marked.where(F.col("__n").isNull())
     repeated = marked.where("__stays").dropDuplicates(["__id", "__digest"])
-    return once.unionByName(repeated).drop("__id", "__digest", "__n", "__stays")
+    return once.unionByName(repeated).select("row.*")

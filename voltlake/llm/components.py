@@ -11,15 +11,16 @@ from voltlake.llm.common import staged
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo"))).toDF("u", "v")
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
+    # Written, so that the join is one of two plain shuffles, of which a hub's rows can be split.
+    least = staged(both.groupBy("u").agg(F.min("v").alias("m")), "least")
     m = F.least("u", "m")
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), m.alias("lo"))
+    return both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("hi"), m.alias("lo"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
-    least = edges.groupBy("hi").agg(F.min("lo").alias("m"))
-    moved = edges.join(least, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+    least = staged(edges.groupBy("hi").agg(F.min("lo").alias("m")), "least")
+    moved = edges.join(least.hint("merge"), "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
     return moved.unionByName(least.select("hi", F.col("m").alias("lo")))
 
 

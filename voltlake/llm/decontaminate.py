@@ -258,7 +258,7 @@ def without_contaminated(
     found = hits(build_index(docs, items, window=window, id_col=id_col, text_col=text_col, digests=True))
     hit = found.where("n_hit > 0").select(F.col("id").alias("__hit_id"), "digest").distinct()
     hit = staged(hit, "contaminated")
-    keyed = docs.withColumn("__digest", text_digest(F.col(text_col)))
-    on = keyed[id_col].eqNullSafe(hit["__hit_id"]) & (keyed["__digest"] == hit["digest"])
+    keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("__id"), text_digest(F.col(text_col)).alias("__digest"))
+    on = keyed["__id"].eqNullSafe(hit["__hit_id"]) & (keyed["__digest"] == hit["digest"])
     # The rows that go grow with the input, so they are not broadcast at any size.
-    return keyed.join(hit.hint("merge"), on, "left_anti").drop("__digest")
+    return keyed.join(hit.hint("merge"), on, "left_anti").select("row.*")

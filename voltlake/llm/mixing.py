@@ -257,7 +257,8 @@ def mixed_rows(
 ) -> DataFrame:
     """The documents that the mix takes, with all their columns, mix_times and mix_words.
 
-    Rows that are equal in id and text are given once, with the times of all.
+    Rows that are equal in id and text are given once, with the times of all. Columns of
+    these two names that the documents have already, as the output of a mix does, are replaced.
     """
     drawn = _drawn(docs, share, most, weights, id_col, text_col, source_col, seed, bucket_rows)
     taken = staged(
@@ -266,6 +267,8 @@ def mixed_rows(
         .where("mix_times > 0"),
         "taken",
     )
-    found = docs.withColumn("__key", row_digest(id_col, text_col)).join(taken.hint("merge"), "__key")
+    rows = docs.select(F.struct("*").alias("row"), row_digest(id_col, text_col).alias("__key"))
+    found = rows.join(taken.hint("merge"), "__key")
     once = found.where("__n = 1").unionByName(found.where("__n > 1").dropDuplicates(["__key"]))
-    return once.drop("__key", "__n")
+    own = [F.col("row")[c].alias(c) for c in docs.columns if c not in ("mix_times", "mix_words")]
+    return once.select(*own, "mix_times", "mix_words")

@@ -4,8 +4,9 @@ Fingerprints of 64 bits are eight positional bytes. Two that differ in at most d
 at most d bytes, so at least 8 - d positional bytes are shared: the guaranteed minimum. Postings
 of single bytes would hold a 256th of the corpus each, so the index is kept for every set of
 8 - d positions: a list holds the distinct fingerprints with the same bytes there, and being in
-one list is the minimum count. Pairs of a list are tallied, those with enough shared bytes are
-retained and verified by their differing bits.
+one list is the minimum count: a pair that shares s bytes is in C(s, 8 - d) of these lists, so its
+tally reaches 1 when and only when s reaches the minimum. Each pair is kept once, however many lists
+tally it, and verified by its differing bits.
 
 A list of more than ``LIST_MAX`` fingerprints isn't paired. Its members agree outside 8d bits,
 so each is filed under its bits with every d of those blanked; what then meets differs in no
@@ -25,7 +26,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltlake.llm.common import kept_rows, staged, text_digest
@@ -81,10 +82,6 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _byte(fp: Column, i: int) -> Column:
-    return F.shiftrightunsigned(fp, 8 * i).bitwiseAND(F.lit(255))
-
-
 def position_sets(max_bits: int) -> list[int]:
     """Masks of the sets of 8 - max_bits byte positions."""
     return [
@@ -118,14 +115,12 @@ def near_pairs(distinct: DataFrame, max_bits: int, list_max: int = LIST_MAX) ->
         short.alias("x").join(short.alias("y"), ["c", "key"])
         .where("x.fp < y.fp").select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
     )
-    shared = sum((_byte(F.col("a"), i) == _byte(F.col("b"), i)).cast("int") for i in range(8))
     differing = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     pairs = (
         lists.where("n = 2").select("a", "b").unionByName(paired)
-        .groupBy("a", "b").agg(F.count("*").alias("lists"))  # in how many position sets they agree
-        .withColumn("shared", shared)
-        .where((F.col("shared") >= 8 - max_bits) & (differing <= max_bits))
-        .select("a", "b")
+        # A tally of 1 is the guaranteed minimum. The verification may come before it, as it is cheap.
+        .where(differing <= max_bits)
+        .distinct()
     )
     if not max_bits:
         return pairs
@@ -164,8 +159,9 @@ def _components(found: DataFrame, max_bits: int, list_max: int) -> DataFrame:
         "fp", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked"), "first"
     )
     rooted = staged(rooted, "rooted")
-    firsts = rooted.where("linked").groupBy("root").agg(F.min("first").alias("least"))
-    return rooted.join(firsts, "root", "left").select("fp", F.coalesce("least", "first").alias("first"))
+    # Written, so that the join is one of two plain shuffles, of which a large component can be split.
+    firsts = staged(rooted.where("linked").groupBy("root").agg(F.min("first").alias("least")), "firsts")
+    return rooted.join(firsts.hint("merge"), "root", "left").select("fp", F.coalesce("least", "first").alias("first"))
 
 
 def _grouped(docs, id_col, text_col, shingle, max_bits, seed, list_max, digests) -> DataFrame:

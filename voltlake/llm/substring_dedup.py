@@ -1,7 +1,8 @@
 """Removal of repeated passages: windows repeated at one length are extended to twice that length.
 
 A window of ``window`` words that starts in two places has the same shorter windows in it at both.
-So lengths are taken one after the other, each about twice the one before: of each candidate
+So lengths are taken one after the other, from ``SHORTEST`` words or fewer on, each twice the one before, until no
+candidate survives or the window's own length is reached: of each candidate
 window the smallest shorter window (by hash) is tallied over the corpus, and only candidates whose
 own is found elsewhere too go on to the next length. The last length is the window itself.
 Equal windows pick equal representatives, so nothing is lost, and a level before the last
@@ -31,17 +32,18 @@ from pyspark.sql import functions as F
 
 from voltlake.llm.common import SPACES, staged
 
-from voltlake.llm.common import staged
-
 #: Window starts handled at once when smallest windows are picked.
 BLOCK = 1 << 16
+#: Words of the first length, at most.
+SHORTEST = 5
 _ODD = tuple(np.uint64(n) for n in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93))
 
 
-def lengths_of(window: int, levels: int) -> list[int]:
-    """``levels`` lengths that end with the window, each half of the next, rounded up."""
+def lengths_of(window: int, shortest: int) -> list[int]:
+    """Lengths that end with the window, each half of the next, rounded up; the first is the first one
+    that has no more than ``shortest`` words."""
     out = [window]
-    while len(out) < levels and out[0] > 1:
+    while out[0] > max(1, shortest):
         out.insert(0, -(-out[0] // 2))
     return out
 
@@ -192,9 +194,11 @@ def copies_of(texts: DataFrame) -> DataFrame:
     return marked.join(groups, "digest").select("id", "extra", speaks.alias("speaks"))
 
 
-def repeated_windows(docs: DataFrame, *, window: int, levels: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+def repeated_windows(docs: DataFrame, *, window: int, shortest: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """The texts, and (id, extra, pos) of every window that starts elsewhere too.
 
+    A level's survivors are written, as the next one reads them twice, and the lengths end when none survive.
+
     Every window of a copy does. Copies are told by a digest first, with pos -1 for all their
     windows, and one of each group goes through the later levels for all.
     """
@@ -202,20 +206,23 @@ def repeated_windows(docs: DataFrame, *, window: int, levels: int, id_col: str,
     copies = staged(copies_of(texts), "copies")
     silent = copies.where("not speaks").select(F.col("id").alias("__id"), F.col("extra").alias("__extra"))
     before, found, at = None, None, texts
-    for length in lengths_of(window, levels):
+    for length in lengths_of(window, shortest):
         found = _tally(at, window, length, before)
         if length < window:
             on = found["id"].eqNullSafe(silent["__id"]) & (found["extra"] == silent["__extra"])
-            at, before = _with_lists(texts, found.join(silent, on, "left_anti"), "inner"), length
+            found = staged(found.join(silent, on, "left_anti"), f"alive-{length}")
+            if found.isEmpty():
+                break
+            at, before = _with_lists(texts, found, "inner"), length
     whole = copies.select("id", "extra", F.lit(-1).alias("pos"))
     return texts, found.unionByName(whole)
 
 
 def remove_repeats(
-    docs: DataFrame, *, window: int = 35, levels: int = 2, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False
+    docs: DataFrame, *, window: int = 35, shortest: int = SHORTEST, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False
 ) -> DataFrame:
     """id, n_words, n_removed and kept_sha256 of every document, and the kept words if asked."""
-    texts, found = repeated_windows(docs, window=window, levels=levels, id_col=id_col, text_col=text_col)
+    texts, found = repeated_windows(docs, window=window, shortest=shortest, id_col=id_col, text_col=text_col)
     joined = _with_lists(texts, found, "left")
     id_type = docs.schema[id_col].dataType.simpleString()
 
