@@ -24,8 +24,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the classifier rejects go."""
     learnable = ~held_out() & F.col("doc_id").isNotNull()
     network = fit_quality(docs, read_table(spark, sf_dir, "labels"), learnable)
-    scored = score_quality(docs, network, score_col="__quality")
-    return scored.where(F.col("__quality") >= THRESHOLD).drop("__quality") if network else docs
+    if network is None:
+        return docs
+    # The rows travel in a struct, so their columns may have any names.
+    scored = score_quality(docs.select(F.struct("*").alias("row"), "text"), network, score_col="quality")
+    return scored.where(F.col("quality") >= THRESHOLD).select("row.*")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
