@@ -1,14 +1,16 @@
 """Personal data: fixed patterns, and a character-level bidirectional LSTM with a CRF on top.
 
-The patterns give the base spans. The network adds spans that look alike but break a pattern. It
-is trained in numpy on labelled spans: those the patterns find in a bounded sample, and copies in
-which a phone number has lost its plus sign. Its tags are outside, and begin and inside for each
+The patterns give the base spans. The network adds spans that break a pattern in the ways people and scrapers do:
+an at sign or dots written in brackets, dots with blanks around them, a card number in other groups or with
+a wrong digit, a phone number without its plus sign or with zeros instead. It is trained in numpy on labelled spans: those that
+the patterns find in a bounded sample, card numbers there whose check digit is wrong, and copies of those texts in which
+all of them are broken in these ways. Windows without a span, as the sample has them, teach what is none. Its tags are outside, and begin and inside for each
 kind; transitions between tags are learned, and those that no span can have are forbidden.
 
 Texts are read in windows that overlap by half. Each is decoded by the best tag sequence. What is
 found is reconciled over the whole text: spans of one kind that meet become one, of overlapping
-spans the longest stays, base spans come before all. An added span has a digit or an at sign by
-definition, so windows with neither need no decoding; this changes no result.
+spans the longest stays, base spans come before all. An added span has a digit, an at sign or an "at" in
+brackets by definition, so windows with none of them need no decoding; this changes no result.
 
 Defined cases: a null text counts as empty and has no spans; texts are read whole, whatever
 their length; a null id stays null; extra columns are ignored; without a labelled span in the
@@ -37,14 +39,16 @@ EMAIL = regex.compile(r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-MARK = re.compile(r"[0-9@]")
+MARK = re.compile(r"[0-9@]|[(\[]at[)\]]")
+#: What every base span has one of.
+PATTERNS_NEED = re.compile(r"[0-9@]")
 
 WINDOW, STRIDE = 64, 32
 HIDDEN = 16
 #: Tags: outside, then begin and inside of each kind.
 TAGS = 1 + 2 * len(KINDS)
 #: How much likelier than outside a window's best spans must be, as a log ratio.
-CAUTION = 2.0
+CAUTION = 3.0
 
 
 def luhn(digits: str) -> bool:
@@ -54,7 +58,7 @@ def luhn(digits: str) -> bool:
 
 def base_spans(text: str) -> list[Span]:
     """Spans of the patterns, in order of kind and start."""
-    if not MARK.search(text):
+    if not PATTERNS_NEED.search(text):
         return []
     out = [(0, *m.span()) for m in EMAIL.finditer(text)]
     for m in IP.finditer(text):
@@ -220,7 +224,7 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 def window_starts(text: str) -> list[int]:
-    """Starts of the windows, STRIDE apart, in which a digit or an at sign stands."""
+    """Starts of the windows, STRIDE apart, in which a mark begins."""
     found: dict[int, None] = {}
     for m in MARK.finditer(text):
         last = m.start() // STRIDE
@@ -299,38 +303,87 @@ class Sample(NamedTuple):
     tags: np.ndarray
 
 
-def labelled_windows(texts: list[str], most: int) -> Sample:
-    """Windows of the texts with the base spans as tags, at most ``most``."""
-    codes, tags = [], []
+def mistyped(text: str) -> list[Span]:
+    """Numbers with a card's digits whose check digit is wrong: the sample's own broken spans."""
+    out = []
+    for m in CARD.finditer(text):
+        digits = m.group().replace(" ", "").replace("-", "")
+        if 16 <= len(digits) <= 19 and not luhn(digits):
+            out.append((2, *m.span()))
+    return out
+
+
+def broken(kind: int, span: str, draw: np.random.Generator) -> str:
+    """A span of a kind as one that its pattern misses, with other digits."""
+    pick = lambda *ways: ways[draw.integers(len(ways))]
+    other = lambda text: "".join(str(draw.integers(10)) if "0" <= c <= "9" else c for c in text)
+    if kind == 0:
+        at = pick("(at)", " (at) ", "[at]", " [at] ")
+        name, _, host = span.partition("@")
+        return other(name) + at + host.replace(".", pick(".", ".", "[.]", " (dot) "))
+    if kind == 1:
+        return pick("[.]", " . ", "(.)", ". ").join(str(draw.integers(256)) for _ in range(4))
+    if kind == 2:
+        digits = other("".join(c for c in span if "0" <= c <= "9"))
+        if luhn(digits):
+            digits = digits[:-1] + str((int(digits[-1]) + draw.integers(1, 10)) % 10)
+        gap = pick("", " ", "-", ".", "/", "  ", "_")
+        return gap.join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    return pick("", "", "00", "00 ", "(0)") + other(span[1:])
+
+
+def broken_copy(text: str, spans: list[Span], draw: np.random.Generator) -> tuple[str, list[Span]]:
+    """The text with its spans broken, and where they are now."""
+    parts, marks, at, size = [], [], 0, 0
+    for kind, start, end in sorted(spans, key=lambda s: (s[1], -s[2])):
+        if start < at:
+            continue
+        new = broken(kind, text[start:end], draw)
+        parts += [text[at:start], new]
+        size += start - at
+        marks.append((kind, size, size + len(new)))
+        size, at = size + len(new), end
+    return "".join([*parts, text[at:]]), marks
+
+
+def tagged_windows(text: str, marks: list[Span]) -> Sample:
+    starts = window_starts(text)
+    label = np.zeros(len(text) + WINDOW, np.int64)
+    for kind, start, end in reversed(marks):
+        label[start] = 1 + 2 * kind
+        label[start + 1 : end] = 2 + 2 * kind
+    return Sample(cut(char_codes(text), starts), label[np.array(starts, np.int64)[:, None] + np.arange(WINDOW)])
+
+
+def labelled_windows(texts: list[str], most: int, copies: int = 4) -> Sample:
+    """Windows of the texts, and of ``copies`` broken ones of those with spans, with their tags; at most ``most``.
+
+    Windows with a span come first, up to two thirds, so that rare ones are learned.
+    """
+    draw, found = np.random.default_rng(7), []
     for text in texts:
-        spans = base_spans(text)
-        # A phone number without its plus sign is one all the same.
-        signs = [s for k, s, _ in spans if k == 3]
-        bare = "".join(c for i, c in enumerate(text) if i not in set(signs)) if signs else None
-        shifted = [(k, s - sum(p < s for p in signs), e - sum(p < e for p in signs)) for k, s, e in spans]
-        for version, marks in ((text, spans), (bare, shifted)):
-            if version is None:
-                continue
-            starts = window_starts(version)
-            label = np.zeros(len(version) + WINDOW, np.int64)
-            for kind, start, end in reversed(marks):
-                label[start] = 1 + 2 * kind
-                label[start + 1 : end] = 2 + 2 * kind
-            if starts:
-                codes.append(cut(char_codes(version), starts))
-                tags.append(label[np.array(starts)[:, None] + np.arange(WINDOW)])
-    if not codes:
+        base = base_spans(text)
+        taken = [(s, e) for _, s, e in base]
+        spans = base + [(k, s, e) for k, s, e in mistyped(text) if not any(a < e and s < b for a, b in taken)]
+        versions = [(text, spans)]
+        if spans:
+            versions += [broken_copy(text, spans, draw) for _ in range(copies)]
+        found += [tagged_windows(version, marks) for version, marks in versions]
+    if not found:
         return Sample(np.zeros((0, WINDOW), np.int64), np.zeros((0, WINDOW), np.int64))
-    x, y = np.concatenate(codes), np.concatenate(tags)
+    x, y = np.concatenate([s.codes for s in found]), np.concatenate([s.tags for s in found])
     # A window that starts inside a span sees its begin there.
     first = y[:, 0]
     y[:, 0] = np.where((first > 0) & (first % 2 == 0), first - 1, first)
-    rows = np.random.default_rng(7).permutation(len(x))[:most]
+    order = draw.permutation(len(x))
+    spanned = order[y[order].any(axis=1)][: 2 * most // 3]
+    plain = order[~y[order].any(axis=1)][: most - len(spanned)]
+    rows = draw.permutation(np.concatenate([spanned, plain]))
     return Sample(x[rows], y[rows])
 
 
 def fit_tagger(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rows: int = 600, longest: int = 1 << 16, windows: int = 2500, epochs: int = 8
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rows: int = 600, longest: int = 1 << 16, windows: int = 5000, epochs: int = 10
 ) -> Tagger | None:
     """A tagger from at most ``rows`` texts that have a digit or an at sign and up to ``longest``
     characters, and at most ``windows`` of their windows."""
