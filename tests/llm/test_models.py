@@ -312,6 +312,52 @@ def test_tagger_learns_and_adds(spark):
     assert all(s == [] for _, s in pii.all_spans(clean, tagger))
 
 
+def card_number(draw):
+    digits = "".join(str(draw.randrange(10)) for _ in range(15))
+    return next(digits + str(c) for c in range(10) if pii.luhn(digits + str(c)))
+
+
+def planted(n, seed):
+    """Texts with a span of each kind among words, years, versions and measures."""
+    draw, texts = random.Random(seed), []
+    for i in range(n):
+        kinds = [
+            f"{draw.choice('abcdef')}{i}.x@mail{i % 7}.example.com", ".".join(str(draw.randrange(256)) for _ in range(4)),
+            " ".join(re.findall("....", card_number(draw))), f"+{draw.randrange(1, 99)} ({100 + i % 800}) 555-{draw.randrange(1000, 9999)}",
+        ]
+        plain = [f"in {draw.randrange(1800, 2030)}", f"version {i % 9}.{i % 5}", f"{i % 70}.5 kg", f"{i}, {i + 1} and {i + 2}"]
+        words = [draw.choice([draw.choice(kinds), draw.choice(plain)]) if k % 4 == 3 else sentence(5, 31 * i + k) for k in range(12)]
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_broken_spans_are_found(spark):
+    """On texts it has not seen: precision and recall of what the network adds to the patterns."""
+    docs = spark.createDataFrame(list(enumerate(planted(250, 1))), "doc_id long, text string")
+    tagger = pii.fit_tagger(docs)
+    draw, right, wrong, missed = np.random.default_rng(5), 0, 0, 0
+    copies = [pii.broken_copy(t, pii.base_spans(t), draw) for t in planted(80, 2)]
+    for (_, marks), (base, spans) in zip(copies, pii.all_spans([t for t, _ in copies], tagger), strict=True):
+        left = [m for m in marks if not any(b[1] < m[2] and m[1] < b[2] for b in base)]
+        for kind, start, end in set(spans) - set(base):
+            hit = next((m for m in left if m[0] == kind and min(end, m[2]) - max(start, m[1]) >= 0.8 * (max(end, m[2]) - min(start, m[1]))), None)
+            right, wrong = right + (hit is not None), wrong + (hit is None)
+            left = [m for m in left if m != hit]
+        missed += len(left)
+    assert right / (right + wrong) >= 0.9 and right / (right + missed) >= 0.9, (right, wrong, missed)
+
+
+def test_broken_copies_have_other_spans():
+    draw = np.random.default_rng(3)
+    for text in planted(60, 4):
+        spans = pii.base_spans(text)
+        copy, marks = pii.broken_copy(text, spans, draw)
+        assert [k for k, _, _ in marks] == [k for k, s, _ in sorted(spans, key=lambda s: s[1])]
+        assert all(copy[s:e].strip() and pii.MARK.search(copy, s, e) for _, s, e in marks)
+        missing = [m for m in marks if m[0] != 3 and m in pii.base_spans(copy)]
+        assert not missing
+
+
 def test_skipped_windows_change_nothing(spark, monkeypatch):
     rows = tagged_docs(spark, 60)
     texts = [t for _, t in rows] + ["", "é" * 200 + "1", sentence(400, 3) + " 77 " + sentence(10, 4)]
@@ -365,6 +411,14 @@ ODD = [
 ]
 
 
+def test_other_vocabulary_files_go_through_the_library():
+    texts = ["It's a test, isn't it", "two  words", "", "ÄÖ x1y2"]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        counter = token_count.Counter49k(public_tokenizers.path(name))
+        assert counter.split_here == name.startswith("word")
+        assert counter.count(texts) == [len(counter.library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.one_of(st.text(max_size=40), st.text("ab'sтé 1!\u0301<|>endoftx\t", max_size=40)))
 def test_counts_are_the_librarys(text):

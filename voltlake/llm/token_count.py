@@ -7,7 +7,8 @@ proven list count one each, and only the others are merged, each distinct one on
 The splitting is done here only for texts whose characters leave no doubt: code points below
 U+0300 without rare controls, for which lower-casing, composition and white space agree
 with the library, and without the special tokens' strings. All other texts are encoded whole by
-the library, so every count is the library's.
+the library, and so are all texts for a vocabulary file that splits or normalises in another way than
+this module, so every count is the library's.
 
 Defined cases: a null text counts as empty and has no tokens; a null id stays null; the texts
 are never cut; extra columns are ignored.
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import functools
 import json
+import os
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,6 +29,24 @@ from pyspark.sql import functions as F
 
 #: Pre-tokens of the vocabulary file, in its own pattern (fixed value).
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: What the vocabulary file must say of itself for texts to be split here (fixed values).
+SPLIT_HERE = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": PRE_TOKEN}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
 #: Characters for which the split here isn't proven to be the library's.
 DOUBTFUL = r"[^\x09\x0A\x0D\x20-\x7E\xA0-\u02FF]"
 #: Encodings of merged pre-tokens that a worker remembers.
@@ -39,6 +59,7 @@ class Counter49k:
     """Counts tokens of batches of texts; one per Python worker and vocabulary file."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -49,7 +70,8 @@ class Counter49k:
         )
         self.doubtful = regex.compile(DOUBTFUL)
         self.pre_token = regex.compile(PRE_TOKEN)
-        self.single = self.prove_single(described["model"])
+        self.split_here = all(described[k] == v for k, v in SPLIT_HERE.items())
+        self.single = self.prove_single(described["model"]) if self.split_here else frozenset()
         self.merged: dict[str, int] = {}
 
     def sizes(self, texts: list[str]) -> list[int]:
@@ -74,7 +96,7 @@ class Counter49k:
     def count(self, texts: list[str]) -> list[int]:
         out, plain, whole = [0] * len(texts), [], []
         for i, text in enumerate(texts):
-            (whole if self.doubtful.search(text) or self.special.search(text) else plain).append(i)
+            (whole if not self.split_here or self.doubtful.search(text) or self.special.search(text) else plain).append(i)
         for i, n in zip(whole, self.sizes([texts[i] for i in whole]), strict=True):
             out[i] = n
         rest: dict[int, Counter] = {}
