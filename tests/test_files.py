@@ -7,7 +7,7 @@ import pytest
 from voltlake.operators import status
 from voltlake.schemas import MAIN, STAGING, table
 from voltlake.sinks.files import archive_snapshots, read_archive, write_table
-from voltlake.sources.delimited import read_delimited
+from voltlake.sources.delimited import escape_text, read_delimited, unescape_text
 from voltlake.sources.poi import read_geojson
 from voltlake.streaming.intake import take_in, taken_in
 
@@ -137,3 +137,27 @@ def test_geojson_lines(spark, tmp_path):
         assert (got[i]["geom_type"], got[i]["shop"], got[i]["amenity"]) == (
             kind.lower(), "mall", None,
         )
+
+
+ODD_TEXTS = ["", "plain", "a\nb", "\r\n", "\\n", "\\", "\\\n\\b\r", "b\\\\", '"q";\n;"', " lead\t\n", "é\u2028\n"]
+
+
+def test_escaped_text_comes_back(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ODD_TEXTS)] + [(99, None)], "n int, t string")
+    escaped = escape_text(df)
+    assert escaped.where("t rlike '[\\\\r\\\\n]'").count() == 0
+    assert sorted(map(tuple, unescape_text(escaped).collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_one_file_with_free_text_is_read_by_many_tasks(spark, tmp_path):
+    texts = [f"{i}\n{ODD_TEXTS[i % len(ODD_TEXTS)]}" + "x" * 200 for i in range(4000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, t string").coalesce(1)
+    write_table(df, str(tmp_path / "t"), escaped=True)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    try:
+        back = read_delimited(spark, str(tmp_path / "t"), table("n int", "t string"), escaped=True)
+        assert len(list((tmp_path / "t").glob("part-*.csv"))) == 1 and back.rdd.getNumPartitions() > 4
+        assert sorted(map(tuple, back.collect())) == list(enumerate(texts))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

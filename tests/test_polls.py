@@ -96,6 +96,26 @@ def test_time_weights_equal_a_walk_through_the_polls(spark, longest):
     assert got == expected_time(rows, start, end, longest and dt.timedelta(seconds=longest))
 
 
+def test_looking_back_is_bounded(spark):
+    rows = [("a", START, "CHARGING"), ("b", START + dt.timedelta(days=4, hours=23), "CHARGING")]
+    find = lambda **o: {r[0]: r["active_micros"] / 1e6 for r in polls.active_time(
+        spark.createDataFrame(rows, SCHEMA), "id_chargingpoint", F.col("status_cp") == "CHARGING",
+        str(START + dt.timedelta(days=5)), str(START + dt.timedelta(days=6)), **o).collect()}
+    assert find() == {"a": 86400.0, "b": 86400.0} and find(look_back_days=1) == {"b": 86400.0}
+
+
+def test_a_station_counts_once_for_a_category(spark):
+    rows = [("a", START, "CHARGING"), ("b", START, "AVAILABLE"), ("c", START, "CHARGING")]
+    points = spark.createDataFrame([("a", 1), ("b", 1), ("c", 2)], "id_cp string, id_cs int")
+    mapping = spark.createDataFrame([("x", 1), ("y", 1), ("z", 1)], "id_poi string, id_cs int")
+    poi = spark.createDataFrame([("x", "mall"), ("y", "mall"), ("z", "fuel")], "id_poi string, poi_category string")
+    found = polls.utilization_by_poi(
+        spark.createDataFrame(rows, SCHEMA), points, mapping, poi, "2021-10-01 00:00:00", "2021-10-01 01:00:00"
+    ).collect()
+    got = {r["poi_category"]: (r["n_stations"], r["n_points"], r["active_seconds"], r["utilization"]) for r in found}
+    assert got == {"mall": (1, 2, 3600.0, 0.5), "fuel": (1, 2, 3600.0, 0.5), None: (1, 1, 3600.0, 1.0)}
+
+
 def test_rollup_adds_up(spark):
     rows = [("a", START, "CHARGING"), ("a", START + dt.timedelta(hours=1), "AVAILABLE"), ("b", START, "AVAILABLE"), ("lost", START, "CHARGING")]
     points = spark.createDataFrame([("a", 1), ("b", 2)], "id_cp string, id_cs int")

@@ -192,6 +192,8 @@ def test_an_id_is_found_without_reading_the_days_that_lack_it(spark, tmp_path):
         read[name] = scanned_rows(found)
         assert found.count() == 2
     assert read["pub_bloom"] * 10 <= read["pub_plainly"]
+    sizes = {n: sum(f.stat().st_size for f in (tmp_path / n).rglob("*.parquet")) for n in read}
+    assert sizes["pub_bloom"] < 2 * sizes["pub_plainly"]
 
 
 def test_a_growing_load_reads_the_days_it_touches(spark, tmp_path):

@@ -203,6 +203,23 @@ def discover_keys(df: DataFrame, record: str) -> list[str]:
     return [row["key"] for row in keys.collect()]
 
 
+#: Type of records with unknown keys whose values keep their kind.
+VARIANTS = "map<string,variant>"
+
+
+def discover_schema(df: DataFrame, records: str) -> DataFrame:
+    """key, type and n_records of every key in a column of arrays of ``VARIANTS`` records.
+
+    The type holds all values that the key has; ``n_records`` tells how many records have the key, also
+    with a null. Types are merged where the records are and once more for each key.
+    """
+    each = df.select(F.explode(computed_once(F.col(records))).alias("record"))
+    keyed = each.select(F.explode(computed_once(F.col("record"))).alias("key", "value"))
+    return keyed.groupBy("key").agg(
+        F.schema_of_variant_agg("value").alias("type"), F.count(F.lit(1)).alias("n_records")
+    )
+
+
 def spread_records(
     df: DataFrame,
     record: str,

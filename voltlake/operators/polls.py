@@ -93,17 +93,20 @@ def charging_events(facts: DataFrame, id_column: str, status_column: str, status
 
 
 def active_time(
-    facts: DataFrame, id_column: str, active: Column, start: str, end: str, longest_seconds: int | None = None
+    facts: DataFrame, id_column: str, active: Column, start: str, end: str,
+    longest_seconds: int | None = None, look_back_days: int | None = None,
 ) -> DataFrame:
     """id, active_micros and observed_micros between two times (UTC text).
 
     A poll's status holds until the id's next poll, the last one's to the end of the period;
     both are clipped to the period. With ``longest_seconds`` no poll counts longer, so that an outage is
-    not observed time. Only days up to the period's end are read; earlier ones as well, for the poll
-    that reaches into it.
+    not observed time. Days after the period are not read; the ones before are, for the poll that reaches into
+    it, or with ``look_back_days`` only so many of them.
     """
     first, last = F.unix_micros(utc_time(F.lit(start))), F.unix_micros(utc_time(F.lit(end)))
     seen = facts.where(F.col("query_time") < utc_time(F.lit(end)))
+    if look_back_days is not None:
+        seen = seen.where(F.col("query_time") >= utc_time(F.lit(start)) - F.make_dt_interval(F.lit(look_back_days)))
     began = F.unix_micros("time")
     until = F.coalesce(F.unix_micros("until"), last)
     if longest_seconds is not None:
@@ -121,8 +124,20 @@ def active_time(
     )
 
 
+def _shares(observed_by: list[Column]) -> list[Column]:
+    """n_points and the times of a group, with their share."""
+    active, observed = F.sum("active_micros"), F.sum("observed_micros")
+    return [
+        *observed_by,
+        F.count(F.lit(1)).alias("n_points"),
+        (active / 1e6).alias("active_seconds"),
+        (observed / 1e6).alias("observed_seconds"),
+        F.when(observed > 0, two_digit_share(active.cast("double"), observed.cast("double"))).alias("utilization"),
+    ]
+
+
 def utilization_rollup(
-    facts: DataFrame, points: DataFrame, stations: DataFrame, start: str, end: str, status: str = "CHARGING", longest_seconds: int | None = None
+    facts: DataFrame, points: DataFrame, stations: DataFrame, start: str, end: str, status: str = "CHARGING", **bounds: int | None
 ) -> DataFrame:
     """Share of the observed time in a status, by station, by city of an operator, by operator and in all.
 
@@ -130,17 +145,24 @@ def utilization_rollup(
     observed_seconds and utilization. Time is added up by point before the dimensions are joined, so a hot
     point is one row there. Points without a station count under null names.
     """
-    times = active_time(facts, "id_chargingpoint", F.col("status_cp") == status, start, end, longest_seconds)
+    times = active_time(facts, "id_chargingpoint", F.col("status_cp") == status, start, end, **bounds)
     dims = points.select("id_cp", "id_cs").join(stations.select("id_cs", "city", "operator_name"), "id_cs", "left")
     placed = times.join(dims, F.col("id_chargingpoint") == F.col("id_cp"), "left")
-    active, observed = F.sum("active_micros"), F.sum("observed_micros")
-    return (
-        placed.rollup("operator_name", "city", "id_cs")
-        .agg(
-            F.grouping_id().cast("int").alias("level"),
-            F.count(F.lit(1)).alias("n_points"),
-            (active / 1e6).alias("active_seconds"),
-            (observed / 1e6).alias("observed_seconds"),
-            F.when(observed > 0, two_digit_share(active.cast("double"), observed.cast("double"))).alias("utilization"),
-        )
+    level = F.grouping_id().cast("int").alias("level")
+    return placed.rollup("operator_name", "city", "id_cs").agg(*_shares([level]))
+
+
+def utilization_by_poi(
+    facts: DataFrame, points: DataFrame, mapping: DataFrame, poi: DataFrame, start: str, end: str, status: str = "CHARGING", **bounds: int | None
+) -> DataFrame:
+    """Share of the observed time in a status by what is nearby: poi_category (null: nothing), n_stations, n_points,
+    active_seconds, observed_seconds and utilization.
+
+    A station counts once under each category it has a POI of, however many there are.
+    """
+    times = active_time(facts, "id_chargingpoint", F.col("status_cp") == status, start, end, **bounds)
+    near = mapping.join(poi.select("id_poi", "poi_category"), "id_poi").select("id_cs", "poi_category").distinct()
+    placed = times.join(points.select("id_cp", "id_cs"), F.col("id_chargingpoint") == F.col("id_cp"), "left")
+    return placed.join(near, "id_cs", "left").groupBy("poi_category").agg(
+        *_shares([F.count_distinct("id_cs").alias("n_stations")])
     )

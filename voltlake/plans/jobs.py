@@ -63,11 +63,13 @@ def process_snapshots(
     pattern: str = "*.json",
     recursive: bool = False,
     output_format: str = "csv",
+    escaped: bool = True,
 ) -> dict[str, str]:
     """Master data of the last snapshot and the status of all of them; optionally the archive.
 
     Every snapshot is parsed once for both status levels, by way of a written status table in
-    the shared folder. Returns the written paths by staging table.
+    the shared folder. Returns the written paths by staging table. Without ``escaped`` delimited texts
+    keep their line breaks, in quotes, for other readers.
     """
     parsed = scratch_path(spark, "status")
     status_table(scan_snapshots(spark, source, pattern, recursive)).write.parquet(parsed)
@@ -83,7 +85,7 @@ def process_snapshots(
     paths = flat_paths(target)
     for table, df in flat.items():
         observed, shape = with_shape(df, table)
-        write_table(observed, paths[table], output_format)
+        write_table(observed, paths[table], output_format, escaped=escaped)
         log.info("%s: %s", table, shape.get)
     drop_scratch(spark, parsed)
     if archive is not None:
@@ -111,10 +113,13 @@ def match_files(
     target: str,
     distances: dict[str, float] = BUFFER_METRES,
     default: float = DEFAULT_BUFFER_METRES,
+    *,
+    escaped: bool = True,
 ) -> None:
-    """Station and POI files to the mapping file."""
+    """Station and POI files to the mapping file; ``escaped`` as in ``load_files``."""
     table = read_delimited(
-        spark, stations, STAGING["staging_charging_stations"], empty_as_null=True, multi_line=True
+        spark, stations, STAGING["staging_charging_stations"], empty_as_null=True,
+        multi_line=not escaped, escaped=escaped,
     )
     planar, kept = spark.read.parquet(pois), scratch_path(spark, "shapes")
     shapes = write_shapes(planar, kept, distances, default)
@@ -134,9 +139,13 @@ def load_files(
     location: str | None = None,
     file_format: str = "csv",
     extend: bool = False,
+    escaped: bool = True,
 ) -> dict[str, DataFrame]:
-    """The written files into the star schema, whose main tables are written side by side."""
-    sources = staging_from_files(spark, flat, file_format)
+    """The written files into the star schema, whose main tables are written side by side.
+
+    Files that ``process_snapshots`` has written are ``escaped``; those of others may have line breaks in quotes.
+    """
+    sources = staging_from_files(spark, flat, file_format, escaped)
     sources["staging_poi"] = spark.read.parquet(pois)
     sources["staging_mapping_poi_cs"] = read_delimited(spark, mapping, MAIN["mapping_poi_cs"])
     return load_warehouse(

@@ -482,24 +482,43 @@ def events_of(id_column: str, source_id: str) -> str:
     )
 
 
-def rollup_of(start: str, end: str) -> str:
+def times_of(start: str, end: str) -> list[str]:
+    """CTEs up to ``times``: each id's active and observed microseconds in a period."""
     low, high = f"TIMESTAMP '{start}'", f"TIMESTAMP '{end}'"
     times = f"""times AS (
   SELECT id, sum(us) FILTER (WHERE active) AS active_us, sum(us) AS observed_us FROM (
     SELECT id, active, greatest(0, epoch_us(least(coalesce(following, {high}), {high})) - epoch_us(greatest(ts, {low}))) AS us
     FROM polls) GROUP BY id
 )"""
-    return with_(FACTS, POINTS, STATIONS, polls("id_cp", f"ts < {high}"), times) + (
+    return [FACTS, POINTS, STATIONS, polls("id_cp", f"ts < {high}"), times]
+
+
+SHARES = (
+    "count(*) AS n_points, CAST(coalesce(sum(active_us), 0) AS DOUBLE) / 1e6 AS active_seconds, "
+    "CAST(sum(observed_us) AS DOUBLE) / 1e6 AS observed_seconds, "
+    "CASE WHEN sum(observed_us) > 0 THEN round_even(CAST(coalesce(sum(active_us), 0) AS DOUBLE) "
+    "/ CAST(sum(observed_us) AS DOUBLE) * 100, 0) / 100 END AS utilization "
+)
+
+
+def rollup_of(start: str, end: str) -> str:
+    return with_(*times_of(start, end)) + (
         "SELECT operator_name, city, s.id AS id_cs, CAST(grouping(operator_name, city, s.id) AS INTEGER) AS level, "
-        "count(*) AS n_points, CAST(coalesce(sum(active_us), 0) AS DOUBLE) / 1e6 AS active_seconds, "
-        "CAST(sum(observed_us) AS DOUBLE) / 1e6 AS observed_seconds, "
-        "CASE WHEN sum(observed_us) > 0 THEN round_even(CAST(coalesce(sum(active_us), 0) AS DOUBLE) "
-        "/ CAST(sum(observed_us) AS DOUBLE) * 100, 0) / 100 END AS utilization "
-        "FROM times t LEFT JOIN points p ON p.id = t.id LEFT JOIN stations s ON s.id = p.id_cs "
+        f"{SHARES}FROM times t LEFT JOIN points p ON p.id = t.id LEFT JOIN stations s ON s.id = p.id_cs "
         "GROUP BY ROLLUP (operator_name, city, s.id)"
     )
 
 
+def by_poi(start: str, end: str) -> str:
+    near = """near AS (
+  SELECT DISTINCT id_cs, poi_cat FROM matches JOIN (SELECT id_poi, poi_cat FROM features) USING (id_poi)
+)"""
+    return with_(*times_of(start, end), matches(HAS_CATEGORY), near) + (
+        "SELECT poi_cat AS poi_category, count(DISTINCT p.id_cs) AS n_stations, "
+        f"{SHARES}FROM times t LEFT JOIN points p ON p.id = t.id LEFT JOIN near n ON n.id_cs = p.id_cs GROUP BY poi_cat"
+    )
+
+
 STATION_HISTORY = f"WITH {EVENTS}, " + """states AS (
   SELECT id_cs, city, city_ts AS ts, CAST(count(*) AS INTEGER) AS n_points FROM evt GROUP BY id_cs, city, no, city_ts
 ), numbered AS (
@@ -509,6 +528,24 @@ STATION_HISTORY = f"WITH {EVENTS}, " + """states AS (
   SELECT id_cs, city, n_points, min(ts) AS valid_from, max(ts) AS last_seen FROM numbered GROUP BY id_cs, city, n_points, run
 ) SELECT *, lead(valid_from) OVER (PARTITION BY id_cs ORDER BY valid_from) AS valid_to FROM stretches"""
 
+#: Keys of the fixture's points: type, and which records have the key.
+POINT_KEYS_SEEN = {
+    "id": ("STRING", "true"), "uid": ("BIGINT", "true"), "status": ("STRING", "true"),
+    "parkingsensor_status": ("STRING", "event_type <> 'signup'"), "roaming": ("BOOLEAN", "true"),
+    "charging_station_position": ("STRING", "event_id % 2 = 0"), "cp_position": ("STRING", "true"),
+    "floor_level": ("STRING", "true"), "capabilities": ("ARRAY<STRING>", "true"),
+    "connectors": (
+        "ARRAY<OBJECT<ampere: BIGINT, format: STRING, id: STRING, max_power: BIGINT, status: STRING, voltage: BIGINT>>",
+        "event_id % 5 <> 0",
+    ),
+}
+DISCOVERED = with_(EVENTS) + union(
+    [
+        f"SELECT '{key}' AS key, '{kind}' AS type, count(*) FILTER (WHERE {has}) AS n_records FROM ev"
+        for key, (kind, has) in POINT_KEYS_SEEN.items()
+    ]
+)
+
 ORACLE: dict[str, str] = {
     "raw_snapshot_scan": with_(EVENTS)
     + "SELECT snapshot, CAST(count(DISTINCT city) AS INTEGER) AS n_cities FROM ev GROUP BY snapshot",
@@ -547,6 +584,7 @@ ORACLE: dict[str, str] = {
     "floor AS floor_level, 'CP' || user_id AS id, sensor AS parkingsensor_status, "
     "CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END AS roaming, "
     "CAST(event_id AS VARCHAR) AS uid FROM evt",
+    "discovered_schema": DISCOVERED,
     "fill_missing_scalar": with_(EVENTS)
     + "SELECT CAST(event_id AS VARCHAR) AS uid, sensor AS parkingsensor_status, "
     "'-' AS physical_reference FROM evt",
@@ -688,6 +726,7 @@ ORACLE: dict[str, str] = {
     "charging_events": events_of("id_chargingpoint", "id_cp"),
     "charging_events_connector": events_of("id_connector", "id_connector"),
     "utilization_rollup": rollup_of("2024-01-05 06:00:00", "2024-01-20 18:30:00"),
+    "utilization_by_poi": by_poi("2024-01-05 06:00:00", "2024-01-20 18:30:00"),
     "station_history": STATION_HISTORY,
     "station_history_grown": STATION_HISTORY,
     "station_header": with_(STATIONS)

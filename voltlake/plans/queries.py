@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltlake.functions.geo import to_utm32, vertices
@@ -147,12 +147,11 @@ def stream_intake(i: Inputs) -> DataFrame:
 
 
 def _halves(i: Inputs, folder: str):
-    """Writes every other snapshot to a folder of files, then the others."""
-    number = F.dense_rank().over(Window.orderBy("path"))  # a row for each file's name
-    names = i.documents().select("path").withColumn("half", number % 2)
-    halved = i.documents().join(F.broadcast(names), "path").withColumnRenamed("path", "snapshot")
+    """Writes about half of the snapshots to a folder of files, then the others."""
+    documents = i.documents().withColumnRenamed("path", "snapshot")
     for half in (0, 1):
-        halved.where(F.col("half") == half).drop("half").write.mode("append").partitionBy("snapshot").text(folder)
+        some = documents.where(F.pmod(F.crc32(F.col("snapshot").cast("binary")), F.lit(2)) == half)
+        some.write.mode("append").partitionBy("snapshot").text(folder)
         yield half
 
 
@@ -211,6 +210,12 @@ def dynamic_columns(i: Inputs) -> DataFrame:
     return flatten.spread_records(_children(i), "record").drop("path", "connectors")
 
 
+@query
+def discovered_schema(i: Inputs) -> DataFrame:
+    """Keys of the points' records with the type that holds all their values."""
+    return flatten.discover_schema(flatten.station_rows_ts(i.documents(), flatten.VARIANTS), "evses")
+
+
 @query
 def fill_missing_scalar(i: Inputs) -> DataFrame:
     return flatten.spread_records(
@@ -325,15 +330,15 @@ def csv_round_trip(i: Inputs) -> DataFrame:
 
 @query
 def text_round_trip(i: Inputs) -> DataFrame:
-    """Texts with separators, quotes and line breaks through a delimited file."""
+    """Texts with separators, quotes, line breaks and backslashes through delimited files whose lines are rows."""
     odd = F.concat("text", F.lit('\n"quoted"; \r\nlast\\n'))
     turns = i.table("conversations").select(
         F.col("conv_id").cast("int"), F.col("turn").cast("int"), "role", odd.alias("text")
     )
     path = scratch_path(i.spark, "csv")
-    write_table(turns, path)
+    write_table(turns, path, escaped=True)
     schema = table("conv_id int", "turn int", "role string", "text string")
-    return read_delimited(i.spark, path, schema, multi_line=True)
+    return read_delimited(i.spark, path, schema, escaped=True)
 
 
 @query
@@ -455,7 +460,7 @@ def poi_station_pipeline(i: Inputs) -> DataFrame:
 def poi_station_files(i: Inputs) -> DataFrame:
     """Files in, mapping file out: stations and POIs are read, matched, written, read back."""
     stations, mapping = scratch_path(i.spark, "csv"), scratch_path(i.spark, "mapping")
-    write_table(i.raw_charging_stations(), stations)
+    write_table(i.raw_charging_stations(), stations, escaped=True)
     jobs.match_files(i.spark, stations, _write_pois(i), mapping)
     return read_delimited(i.spark, mapping, MAIN["mapping_poi_cs"])
 
@@ -754,6 +759,15 @@ def utilization_rollup(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def utilization_by_poi(i: Inputs) -> DataFrame:
+    t = i.star_schema
+    return polls.utilization_by_poi(
+        t["status_chargingpoints"], t["charging_point"], t["mapping_poi_cs"], t["poi"],
+        "2024-01-05 06:00:00", "2024-01-20 18:30:00",
+    )
+
+
 def _station_states(i: Inputs) -> DataFrame:
     """What each snapshot says of a station: its city and how many points it has."""
     rows = flatten.station_rows_ts(i.documents())

@@ -199,8 +199,12 @@ def _write(spark: SparkSession, df: DataFrame, spec: TableSpec, database: str) -
     """A new part of the table. Columns to find rows by get Bloom filters, so that files without an id are left unread."""
     part = f"{spec.name}__{clock.time_ns():020d}_{uuid.uuid4().hex[:6]}"
     writer = _laid_out(df, spec).write.mode("error").format("parquet")
+    if spec.find_by:  # as large as a row group's ids need; the fixed size is a megabyte
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
     for column in spec.find_by:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        # Sizes that are tried, each half of the one before.
+        writer = writer.option(f"parquet.bloom.filter.candidates.number#{column}", "12")
     if spec.day_of is not None:
         writer = writer.partitionBy(DAY)
     try:
@@ -266,8 +270,10 @@ def extend_table(
             require_unique(rows, keys, spec.name)
         known = touched_days(read_parts(spark, database, parts), rows, spec)
         new = rows.join(known.select(*keys), keys, "left_anti")
-        if not new.isEmpty():
-            added.append(_write(spark, new, spec, database))
+        added.append(_write(spark, new, spec, database))
+        if spark.table(quoted(database, added[0])).isEmpty():  # told by the files, without the join once more
+            _drop(spark, database, added)
+            added.clear()
         if len(parts) + len(added) > MOST_PARTS:
             merged = _write(spark, read_parts(spark, database, [*parts[1:], *added]), spec, database)
             _drop(spark, database, added)
@@ -396,7 +402,7 @@ FREE_TEXT = {"staging_charging_stations", "staging_charging_points", "staging_co
 
 
 def staging_from_files(
-    spark: SparkSession, paths: Mapping[str, str | list[str]], file_format: str = "csv"
+    spark: SparkSession, paths: Mapping[str, str | list[str]], file_format: str = "csv", escaped: bool = False
 ) -> dict[str, DataFrame]:
     """``raw_<staging table>`` from delimited or Parquet files. Only stations and points read empty
     text as null."""
@@ -415,7 +421,7 @@ def staging_from_files(
     return {
         f"raw_{name}": read_delimited(
             spark, paths[name], STAGING[name],
-            names=FLAT_NAMES.get(name), empty_as_null=name in empty, multi_line=name in FREE_TEXT,
+            names=FLAT_NAMES.get(name), empty_as_null=name in empty, multi_line=name in FREE_TEXT and not escaped, escaped=escaped,
         )
         for name in STAGING
     }

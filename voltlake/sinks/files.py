@@ -5,12 +5,13 @@ from __future__ import annotations
 import datetime
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltlake.constants import ARCHIVE_PREFIX, SNAPSHOT_NAME
 from voltlake.functions.times import utc_day
+from voltlake.runtime import list_paths
+from voltlake.sources.delimited import escape_text
 from voltlake.sources.snapshots import (
     list_snapshots,
     newest_path,
@@ -19,10 +20,17 @@ from voltlake.sources.snapshots import (
 )
 
 
-def write_table(df: DataFrame, path: str, output_format: str = "csv", sep: str = ";") -> None:
-    """Quoted delimited files with a header, or Parquet; any other format is rejected."""
+def write_table(
+    df: DataFrame, path: str, output_format: str = "csv", sep: str = ";", escaped: bool = False
+) -> None:
+    """Quoted delimited files with a header, or Parquet; any other format is rejected.
+
+    With ``escaped`` texts hold no line break, so that a line is a row and many tasks share a file;
+    ``read_delimited(escaped=True)`` gives the texts back.
+    """
     if output_format == "csv":
-        df.write.mode("overwrite").options(
+        rows = escape_text(df) if escaped else df
+        rows.write.mode("overwrite").options(
             sep=sep, header=True, quote='"', escape='"',
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
             timestampFormat="yyyy-MM-dd HH:mm:ss.SSSSSSXXX",
@@ -86,12 +94,10 @@ def _write_days(files: DataFrame, path: str, mode: str) -> None:
 
 
 def _last_day(spark: SparkSession, path: str) -> datetime.date | None:
-    """Last day of an archive; None if there is no archive. Reads the partitions' names."""
-    try:
-        days = spark.read.parquet(path).agg(F.max("snapshot_date").alias("day"))
-    except AnalysisException:
-        return None
-    return days.first()["day"]
+    """Last day of an archive; None if there is no archive. Told by the folders' names; no file is opened."""
+    found = list_paths(spark, f"{path}/snapshot_date=*")
+    days = [d for p in found if (d := p.rsplit("=", 1)[1]) != "__HIVE_DEFAULT_PARTITION__"]
+    return datetime.date.fromisoformat(max(days)) if days else None
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:

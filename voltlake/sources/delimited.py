@@ -49,6 +49,29 @@ def empty_text(df: DataFrame, as_null: bool) -> DataFrame:
     )
 
 
+#: How texts without line breaks stand for those with them: a backslash is never followed by another letter.
+ESCAPES = {"\\": "\\b", "\n": "\\n", "\r": "\\r"}
+
+
+def _replaced(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    def fixed(name: str) -> Column:
+        column = F.col(name)
+        for old, new in pairs:
+            column = F.replace(column, F.lit(old), F.lit(new))
+        return column.alias(name)
+
+    return df.select(*[fixed(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in df.schema])
+
+
+def escape_text(df: DataFrame) -> DataFrame:
+    """Line breaks and backslashes of all string columns written out."""
+    return _replaced(df, list(ESCAPES.items()))  # backslashes first
+
+
+def unescape_text(df: DataFrame) -> DataFrame:
+    return _replaced(df, [(new, old) for old, new in reversed(ESCAPES.items())])  # backslashes last
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],
@@ -58,6 +81,7 @@ def read_delimited(
     empty_as_null: bool = False,
     sep: str = ";",
     multi_line: bool = False,
+    escaped: bool = False,
 ) -> DataFrame:
     """A file, or all files of a folder, as one table.
 
@@ -66,10 +90,11 @@ def read_delimited(
     another one fails the read instead of swapping columns, and so does a line with too few or
     too many fields, whichever columns are asked for. ``names`` renames file columns.
     ``multi_line`` takes line breaks inside quotes; such files are read whole by one task each.
+    ``escaped`` reads texts that ``write_table`` has escaped, whose files are split over tasks.
     """
     text = spark.read.options(
         sep=sep, header=True, quote='"', escape='"', enforceSchema=False, multiLine=multi_line,
         mode="FAILFAST", columnPruning=False,
     ).csv(path)
-    renamed = text.withColumnsRenamed(names or {})
+    renamed = (unescape_text(text) if escaped else text).withColumnsRenamed(names or {})
     return bind_by_name(empty_text(renamed, empty_as_null), schema)
