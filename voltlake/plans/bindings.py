@@ -33,6 +33,8 @@ CITIES = [*CITY_POI_NAMES, *(f"stadt{n}" for n in range(1, 34))]
 
 EVENTS_PER_SNAPSHOT = 1000
 SNAPSHOTS_PER_FILE = 16
+#: Snapshots whose texts one task puts together; they are some 32 MB.
+SNAPSHOTS_PER_TASK = 32
 SNAPSHOT_PATTERN = "*.txt"
 
 STATUS_OF_EVENT = {
@@ -103,22 +105,28 @@ class Inputs:
             utc_instant(F.col("ts")).alias("ts"),
         )
 
-    def raw_charging_stations(self) -> DataFrame:
-        s = self.table("supplier").join(
+    def _suppliers(self) -> DataFrame:
+        return self.table("supplier").join(
             self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey")
         )
-        key = F.col("s_suppkey")
+
+    def raw_charging_stations(self) -> DataFrame:
+        return self._suppliers().select(*self._station_columns(F.col))
+
+    def _station_columns(self, given: Callable[[str], Column]) -> list[Column]:
+        """A station's scalars from what is given of its supplier."""
+        key = given("s_suppkey")
         postal = (F.lit(10000) + key * 37 % 90000).cast("string")
-        return s.select(
+        return [
             key.cast("int").alias("id"),
-            F.col("s_name").alias("name"),
+            given("s_name").alias("name"),
             F.concat(F.lit("Street "), key).alias("address"),
-            F.col("n_name").alias("city"),
+            given("n_name").alias("city"),
             F.when(key % 2 == 0, F.concat(F.lit(" "), postal, F.lit(" ")))
             .otherwise(postal)
             .alias("postal_code"),
             F.lit("DE").alias("country"),
-            F.col("s_acctbal").alias("distance_in_m"),
+            given("s_acctbal").alias("distance_in_m"),
             F.when(key % 3 == 0, F.lit("")).otherwise(F.lit("Owner")).alias("owner"),
             (key % 2 == 0).alias("roaming"),
             self._latitude(key).alias("latitude"),
@@ -126,7 +134,7 @@ class Inputs:
             F.concat(F.lit("Operator "), key % 7).alias("operator_name"),
             F.when(key % 2 == 0, F.lit("0800")).otherwise(F.lit("-")).alias("operator_hotline"),
             ((key % 4 == 0) | (key % 8 == 1)).alias("open_24_7"),
-        )
+        ]
 
     def raw_charging_points(self) -> DataFrame:
         key = F.col("c_custkey")
@@ -226,7 +234,9 @@ class Inputs:
 
         A snapshot covers a block of event ids. The id is a key, so a document holds a fixed
         number of events however the users or stations are skewed. ``listing`` splits a
-        station into several listings in its city.
+        station into several listings in its city. Events are dealt by snapshot with what is known of
+        their stations, and only then become text: no text is shuffled, and as many tasks
+        as the events ask for keep each task's texts in memory.
         """
         key = F.col("user_id")
         event = F.col("event_id")
@@ -234,7 +244,7 @@ class Inputs:
         json_null = F.parse_json(F.lit("null"))
         # A variant field tells a key holding null (variant null) from an absent key (SQL null).
         sensor = F.when(F.col("event_type") == "error", json_null).when(
-            F.col("event_type") != "signup", json_text(F.get_json_object("props", "$.k"))
+            F.col("event_type") != "signup", json_text(F.col("k"))
         )
 
         def connector(side: int, state: Column) -> Column:
@@ -267,17 +277,22 @@ class Inputs:
                 "connectors"
             ),
         )
-        points = self.table("events").select(
+        events = self.table("events").select(
             F.floor(event / EVENTS_PER_SNAPSHOT).alias("snapshot_no"),
             (key % self._n_suppliers()).cast("int").alias("id_cs"),
             (F.lit(0) if listing is None else listing).alias("listing"),
-            F.col("ts").alias("ts"),
-            F.struct(event.alias("n"), F.to_json(point).alias("json")).alias("point"),
+            "ts", "event_id", "user_id", "event_type", F.get_json_object("props", "$.k").alias("k"),
         )
+        dealt = events.join(self._station_facts(), "id_cs").repartition(self._text_tasks(), "snapshot_no")
+        points = dealt.withColumn("point", F.struct(event.alias("n"), F.to_json(point).alias("json")))
         stations = points.groupBy("snapshot_no", "id_cs", "listing").agg(
-            F.min("ts").alias("ts"), F.sort_array(F.collect_list("point")).alias("points")
+            F.min("ts").alias("ts"), F.sort_array(F.collect_list("point")).alias("points"),
+            F.first("facts").alias("facts"),
         )
-        described = stations.join(self._station_json(), "id_cs")
+        described = stations.select("*", F.explode("facts").alias("fact")).select(
+            "snapshot_no", "id_cs", "listing", "ts", "points",
+            *self._station_columns(lambda name: F.col("fact")[name]),
+        ).withColumn("head", self._station_json())
         text = F.concat(
             F.regexp_replace("head", r"\}$", ""), F.lit(',"evses":['),
             F.array_join(F.transform("points", lambda p: p["json"]), ","), F.lit("]}"),
@@ -310,9 +325,21 @@ class Inputs:
             ).alias("content"),
         )
 
-    def _station_json(self) -> DataFrame:
-        """The scalars of each station as JSON text."""
-        s = self.raw_charging_stations()
+    def _text_tasks(self) -> int:
+        """Tasks that put the snapshots' texts together: at least one a core."""
+        n_events = self.table("events").count()
+        return max(self.spark.sparkContext.defaultParallelism, -(-n_events // (EVENTS_PER_SNAPSHOT * SNAPSHOTS_PER_TASK)))
+
+    def _station_facts(self) -> DataFrame:
+        """For each station id, what its text is made of: one entry for each supplier with that id."""
+        fact = F.struct("s_suppkey", "s_name", "s_acctbal", "n_name")
+        return self._suppliers().groupBy(F.col("s_suppkey").cast("int").alias("id_cs")).agg(
+            F.collect_list(fact).alias("facts")
+        )
+
+    @staticmethod
+    def _station_json() -> Column:
+        """The scalars of a station as JSON text."""
         key = F.col("id")
         # Any text but the empty one is true, zero and an absent key are false.
         always = (
@@ -337,7 +364,7 @@ class Inputs:
             ).alias("opening_times"),
             F.lit('left; then "right"').alias("directions"),
         )
-        return s.select(F.col("id").alias("id_cs"), "city", F.to_json(head).alias("head"))
+        return F.to_json(head)
 
     def snapshot_folder(self) -> str:
         """Folder with one file per snapshot, as the poll leaves them."""
