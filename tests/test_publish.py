@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import shutil
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -294,3 +295,23 @@ def test_merged_batches_keep_their_rows(spark, tmp_path):
     assert read() == before
     intake.compact_intake(spark, taken, upto=5)
     assert read() == before and intake.batches_of(spark, taken) == []
+
+
+def test_batch_writes_both_tables_at_once(spark, tmp_path, monkeypatch):
+    """Status and quarantine of a batch wait for each other here; one after the other they would never meet."""
+    both = threading.Barrier(2, timeout=60)
+
+    def meeting(function):
+        def waits(files):
+            both.wait()
+            return function(files)
+
+        return waits
+
+    monkeypatch.setattr(intake, "status_table", meeting(intake.status_table))
+    monkeypatch.setattr(intake, "quarantine_parts", meeting(intake.quarantine_parts))
+    text = '{"a":{"timestamp":"2024-01-01 00:00:00","data":[{"id":"1","evses":[{"id":"P","status":"AVAILABLE"}]}]},"b":5}'
+    files = spark.createDataFrame([("20240101_000000_cp_data_cities", text)], "path string, content string")
+    intake.write_batch(files, 0, str(tmp_path))
+    assert [r["id"] for r in intake.status_taken_in(spark, str(tmp_path)).collect()] == ["P"]
+    assert [r["city"] for r in spark.read.parquet(f"{tmp_path}/quarantine/batch=0").collect()] == ["b"]
