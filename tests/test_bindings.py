@@ -49,3 +49,15 @@ def test_documents_hold_every_event_and_listing(inputs):
         listed = sum(1 + (s == 5) for s in stations if s != 6)
         assert content.count('"uid":') == listed
         assert content.count('"evses":[') == 7
+
+
+def test_pairs_are_matched_once(spark, inputs, tmp_path):
+    """What a load reads of the mapping, to check and to write it, are the pairs and not their match."""
+    parts = [(n, "x", "b", "t", n % 50, 1.0) for n in range(200)]
+    schema = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    spark.createDataFrame(parts, schema).write.parquet(f"{tmp_path}/part.parquet")
+    own = Inputs(spark, str(tmp_path))
+    own._tables = {"supplier": inputs.table("supplier"), "nation": inputs.table("nation")}
+    pairs = own.warehouse_sources()["staging_mapping_poi_cs"]
+    assert pairs.count() > 0
+    assert "Join" not in pairs._jdf.queryExecution().optimizedPlan().toString()

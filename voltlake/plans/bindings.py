@@ -406,7 +406,11 @@ class Inputs:
         def mapping() -> DataFrame:
             stations = self.raw_charging_stations().withColumnRenamed("id", "id_cs")
             shapes = write_shapes(pois(), scratch_path(self.spark, "shapes"))
-            return match_pois(pois(), stations, shapes=shapes)
+            pairs = match_pois(pois(), stations, shapes=shapes)
+            # Matched once, as the job does for its mapping file; each load checks and then loads the pairs.
+            path = scratch_path(self.spark, "pairs")
+            pairs.write.parquet(path)
+            return self.spark.read.schema(pairs.schema).parquet(path)
 
         return LazyTables(
             {
