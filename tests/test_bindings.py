@@ -1,9 +1,12 @@
 """The derived snapshots: what is shuffled to build them, and by how many tasks."""
 
 import datetime
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from pyspark.sql import functions as F
 
+from voltlake.functions.times import utc_instant
 from voltlake.plans import bindings
 from voltlake.plans.bindings import Inputs
 
@@ -61,3 +64,25 @@ def test_pairs_are_matched_once(spark, inputs, tmp_path):
     pairs = own.warehouse_sources()["staging_mapping_poi_cs"]
     assert pairs.count() > 0
     assert "Join" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pois_are_prepared_once_for_match_and_loads(spark, tmp_path):
+    """What the match and every load read are written POIs, not the parts' geometry computed anew."""
+    spark.createDataFrame([(n, n) for n in range(40)], "p_partkey long, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(0, "S0", 0, 1.5)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    own = Inputs(spark, str(tmp_path))
+    sources = own.warehouse_sources()
+    with ThreadPoolExecutor(4) as pool:
+        files = {tuple(sorted(pois.inputFiles())) for pois in pool.map(lambda _: sources["staging_poi"], range(4))}
+    assert len(files) == 1 and not any("part.parquet" in path for path in files.pop())
+    wanted = own.planar_pois.where("poi_cat is not null").select("id_poi", "geometry", "longitude")
+    found = sources["staging_poi"].select("id_poi", "geometry", "longitude")
+    assert wanted.count() and not wanted.exceptAll(found).count() and not found.exceptAll(wanted).count()
+
+
+def test_instant_of_a_wall_time_needs_no_text(spark):
+    walls = ["2024-01-01 00:00:11.172425", "1969-12-31 23:59:59.999999", "0001-01-01 00:00:00", "2024-03-31 02:30:00.5", None]
+    rows = spark.createDataFrame([(w,) for w in walls], "text string").select(F.col("text").cast("timestamp_ntz").alias("wall"), "text")
+    instants = rows.select(utc_instant(F.col("wall")).alias("got"), F.concat("text", F.lit("Z")).cast("timestamp").alias("want"))
+    assert instants.where("got <=> want").count() == len(walls)
+    assert "string" not in instants.select("got")._jdf.queryExecution().optimizedPlan().expressions().toString()

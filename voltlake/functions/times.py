@@ -41,11 +41,14 @@ def wall_text(wall: Column) -> Column:
 
 
 def utc_instant(wall: Column) -> Column:
-    """The instant of a UTC wall time."""
-    return F.concat(wall.cast("string"), F.lit("Z")).try_cast("timestamp")
+    """The instant of a UTC wall time, by whole microseconds."""
+    minutes = F.unix_date(wall.cast("date")).cast("long") * 1440 + F.hour(wall) * 60 + F.minute(wall)
+    seconds = F.extract(F.lit("SECOND"), wall)  # with six digits of the fraction
+    return F.timestamp_micros(minutes * 60_000_000 + (seconds * 1_000_000).cast("long"))
 
 
 def utc_time(text: Column) -> Column:
     """Text to an instant; text without a zone is UTC, text that is no time gives null."""
-    plain = utc_instant(F.trim(text).try_cast("timestamp_ntz"))
+    wall = F.trim(text).try_cast("timestamp_ntz")
+    plain = F.concat(wall.cast("string"), F.lit("Z")).try_cast("timestamp")  # parses the text once in a lambda, too
     return F.when(text.rlike(ZONED), F.trim(text).try_cast("timestamp")).otherwise(plain)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import cache, cached_property
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -400,8 +401,19 @@ class Inputs:
     # ---- star schema -----------------------------------------------------------------
 
     def warehouse_sources(self) -> LazyTables:
+        one_at_a_time = Lock()
+
+        @cache
+        def prepared() -> DataFrame:
+            wanted = self.planar_pois.where(F.col("poi_cat").isNotNull())
+            path = scratch_path(self.spark, "pois")
+            wanted.write.parquet(path)
+            return self.spark.read.schema(wanted.schema).parquet(path)
+
         def pois() -> DataFrame:
-            return self.planar_pois.where(F.col("poi_cat").isNotNull())
+            # Prepared once, as the job does for its POI files; the match and each load read them.
+            with one_at_a_time:  # tables are loaded side by side
+                return prepared()
 
         def mapping() -> DataFrame:
             stations = self.raw_charging_stations().withColumnRenamed("id", "id_cs")
